@@ -75,17 +75,21 @@ def dictionary_hits(df: DataFrame, key: str, text: str, dictionary: DataFrame, w
     """
     entries = dictionary.select(F.col(word).alias("_w")).where("_w <> ''").distinct()
     # One row holding the distinct word lengths: a handful of integers.
-    lengths = entries.agg(F.collect_set(F.length("_w"))).scalar()
+    lengths = entries.agg(F.collect_set(F.length("_w")).alias("_lens")).scalar()
+    # Slices of a character array take time linear in the text, and each
+    # distinct piece of a text is looked up once.
+    def slices(size: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size("_chars") - size + 1)
+        return F.transform(starts, lambda at: F.array_join(F.slice("_chars", at, size), ""))
+
     pieces = (
-        df.select(F.col(key), F.col(text).alias("_t"))
-        .withColumn("_len", F.explode(lengths))
-        .where(F.length("_t") >= F.col("_len"))
-        .withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_len") + 1)))
-        .select(key, F.col("_t").substr(F.col("_at"), F.col("_len")).alias("_w"))
+        df.select(F.col(key), F.split(F.col(text), "").alias("_chars"))
+        .withColumn("_lens", lengths)
+        .withColumn("_size", F.explode(F.filter("_lens", lambda n: n <= F.size("_chars"))))
+        .select(key, F.explode(F.array_distinct(slices(F.col("_size")))).alias("_w"))
     )
     return (
         pieces.join(entries, "_w", "left_semi")
-        .distinct()
         .groupBy(key)
         .agg(F.array_sort(F.collect_list("_w")).alias("words"))
     )

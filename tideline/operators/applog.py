@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.text import first_token
+from tideline.operators.cdc import parse_once
 from tideline.schemas import APP_LOG
 
 KINDS = ("page", "err", "start", "display", "action")
@@ -12,12 +13,10 @@ KINDS = ("page", "err", "start", "display", "action")
 
 def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
     """Log text to its columns; ``dirty`` keeps the text of a record that cannot be read."""
-    text = F.col(value).cast("string")
-    parsed = df.where(F.col(value).isNotNull()).withColumn("_l", F.from_json(text, APP_LOG))
-    rest = [c for c in df.columns if c != value]
+    parsed = parse_once(df.withColumn("_text", F.col(value).cast("string")), value, APP_LOG)
     # A readable record has at least one of its parts, an unreadable one none.
-    readable = F.greatest(*[F.col(f"_l.{f.name}").isNotNull() for f in APP_LOG.fields])
-    return parsed.select(*rest, "_l.*", F.when(~readable, text).alias("dirty"))
+    readable = F.coalesce(*[F.when(F.col(f.name).isNotNull(), True) for f in APP_LOG.fields], F.lit(False))
+    return parsed.withColumn("dirty", F.when(~readable, F.col("_text"))).drop("_text")
 
 
 def clean(parsed: DataFrame) -> DataFrame:

@@ -17,49 +17,52 @@ BOOTSTRAP_PREFIX = "bootstrap-"
 
 # ---- decoding -------------------------------------------------------------
 
+def parse_once(df: DataFrame, value: str, schema: T.StructType, options: dict[str, str] | None = None) -> DataFrame:
+    """JSON text to the columns of ``schema``; rows with null text are dropped, other columns kept.
+
+    The parsed record comes out of a generator, which keeps later filters on
+    its fields from being pushed below it and parsing the text again.
+    """
+    rest = [c for c in df.columns if c != value]
+    record = F.from_json(F.col(value).cast("string"), schema, options or {})
+    return df.where(F.col(value).isNotNull()).select(*rest, F.inline(F.array(record)))
+
+
 def decode_changes(df: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
     """JSON text to change columns.
 
     Null payloads and unreadable records are dropped; with ``strict`` an
     unreadable record fails the job instead.  Other columns are kept.
     """
-    text = F.col(value).cast("string")
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    parsed = df.where(F.col(value).isNotNull()).withColumn("_c", F.from_json(text, CHANGE, options))
-    rest = [c for c in df.columns if c != value]
-    # A permissive parse turns a bad record into a struct of nulls.
-    return parsed.select(*rest, "_c.*").where(F.col("op").isNotNull())
+    # A permissive parse turns a bad record into nulls.
+    return parse_once(df, value, CHANGE, options).where(F.col("op").isNotNull())
 
 
 def decode_legacy_changes(df: DataFrame, value: str = "value", database: str | None = None) -> DataFrame:
     """Records of the older layout, in the current one."""
-    parsed = df.where(F.col(value).isNotNull()).withColumn(
-        "_c", F.from_json(F.col(value).cast("string"), LEGACY_CHANGE)
-    )
+    kind = F.col("type")
     op = (
-        F.when(F.col("_c.type") == "insert", CREATE)
-        .when(F.col("_c.type") == "update", UPDATE)
-        .when(F.col("_c.type") == "delete", DELETE)
-        .when(F.col("_c.type").startswith(BOOTSTRAP_PREFIX), F.col("_c.type"))
+        F.when(kind == "insert", CREATE)
+        .when(kind == "update", UPDATE)
+        .when(kind == "delete", DELETE)
+        .when(kind.startswith(BOOTSTRAP_PREFIX), kind)
     )
-    removed = F.col("_c.type") == "delete"
+    removed = kind == "delete"
+    no_cells = F.create_map().cast("map<string,string>")
+    old_cells = F.coalesce("old", no_cells)
     nothing = F.lit(None).cast("map<string,string>")
     # Updates list only the changed old cells; the rest of the old row is the new row.
-    old_row = F.when(
-        F.col("_c.type") == "update",
-        F.map_concat(
-            F.map_filter("_c.data", lambda k, v: ~F.map_contains_key(F.coalesce("_c.old", F.create_map().cast("map<string,string>")), k)),
-            F.coalesce("_c.old", F.create_map().cast("map<string,string>")),
-        ),
-    )
+    unchanged = F.map_filter("data", lambda k, v: ~F.map_contains_key(old_cells, k))
+    old_row = F.when(kind == "update", F.map_concat(unchanged, old_cells))
     rest = [c for c in df.columns if c != value]
-    changes = parsed.where(F.col("_c.type").isNotNull()).select(
+    changes = parse_once(df, value, LEGACY_CHANGE).where(kind.isNotNull()).select(
         *rest,
-        F.when(removed, F.col("_c.data")).otherwise(old_row).alias("before"),
-        F.when(removed, nothing).otherwise(F.col("_c.data")).alias("after"),
-        F.create_map(F.lit("db"), F.col("_c.database"), F.lit("table"), F.col("_c.table")).alias("source"),
+        F.when(removed, F.col("data")).otherwise(old_row).alias("before"),
+        F.when(removed, nothing).otherwise(F.col("data")).alias("after"),
+        F.create_map(F.lit("db"), F.col("database"), F.lit("table"), F.col("table")).alias("source"),
         op.alias("op"),
-        (F.col("_c.ts") * 1000).alias("ts_ms"),
+        (F.col("ts") * 1000).alias("ts_ms"),
     )
     return changes if database is None else changes.where(F.col("source")["db"] == database)
 

@@ -42,14 +42,14 @@ def order_details(
 ) -> DataFrame:
     """Order lines with their order, and activity and coupon where there is one.
 
-    ``details`` has ``id, order_id, create_ms``; ``orders`` has ``order_id,
+    ``details`` has ``id, order_id, sku_id, create_ms``; ``orders`` has ``order_id,
     user_id, province_id``; ``activities`` and ``coupons`` are keyed by ``id``
     of the line.  Only keys of ``details`` are sketched for skew, never the
     join result.
     """
-    joined = salted_join(details, orders, ["order_id"], "inner", rows_per_salt)
-    joined = salted_join(joined, activities, ["id"], "left", rows_per_salt, sketch=details)
-    joined = salted_join(joined, coupons, ["id"], "left", rows_per_salt, sketch=details)
+    joined = salted_join(details, orders, ["order_id"], "inner", ["id", "create_ms"], rows_per_salt)
+    joined = salted_join(joined, activities, ["id"], "left", ["create_ms", "sku_id"], rows_per_salt, details)
+    joined = salted_join(joined, coupons, ["id"], "left", ["create_ms", "sku_id"], rows_per_salt, details)
     return joined.withColumn("date_id", date_text(from_millis(F.col("create_ms"))))
 
 
@@ -66,7 +66,7 @@ def cancelled_details(
     events = events.select(
         "order_id", date_text(when).alias("order_cancel_date_id"), datetime_text(when).alias("cancel_time")
     )
-    return salted_join(details, events, ["order_id"], "inner", rows_per_salt)
+    return salted_join(details, events, ["order_id"], "inner", ["id", "sku_id"], rows_per_salt)
 
 
 def paid_details(
@@ -76,11 +76,12 @@ def paid_details(
     """Order lines from 30 minutes before to 5 seconds after the payment of their order.
 
     ``payments`` has ``order_id, payment_type_code, pay_ms``; ``details`` has
-    ``order_id, detail_ms``; ``dictionary`` has ``dic_code, dic_name``.
+    ``order_id, sku_id, detail_ms``; ``dictionary`` has ``dic_code, dic_name``.
     Payments of an unknown type are dropped.
     """
     paid = interval_join(
-        payments, details, ["order_id"], "pay_ms", "detail_ms", -before_ms, after_ms, "inner", rows_per_salt
+        details, payments, ["order_id"], "detail_ms", "pay_ms", -after_ms, before_ms, ["detail_ms", "sku_id"],
+        rows_per_salt,
     )
     return lookup(paid, dictionary, "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
 
@@ -92,7 +93,7 @@ def refunds(
 
     The dictionary is looked up twice under two names.
     """
-    joined = salted_join(requests, orders, ["order_id"], "inner", rows_per_salt)
+    joined = salted_join(requests, orders, ["order_id"], "inner", ["id", "sku_id"], rows_per_salt)
     joined = lookup(joined, dictionary, "refund_type", "dic_code", {"dic_name": "refund_type_name"}, "inner")
     return lookup(
         joined, dictionary, "refund_reason_type", "dic_code", {"dic_name": "refund_reason_type_name"}, "inner"
@@ -104,8 +105,8 @@ def paid_refunds(
     rows_per_salt: int | None = ROWS_PER_SALT,
 ) -> DataFrame:
     """Refund payments matched to their request by order and product, then to the order."""
-    joined = salted_join(payments, requests, ["order_id", "sku_id"], "inner", rows_per_salt)
-    joined = salted_join(joined, orders, ["order_id"], "inner", rows_per_salt, sketch=payments)
+    joined = salted_join(payments, requests, ["order_id", "sku_id"], "inner", ["id", "callback_ms"], rows_per_salt)
+    joined = salted_join(joined, orders, ["order_id"], "inner", ["id", "callback_ms"], rows_per_salt, payments)
     joined = lookup(joined, dictionary, "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
     when = from_millis(F.col("callback_ms"))
     return joined.withColumn("date_id", date_text(when)).withColumn("callback_time", datetime_text(when))
@@ -133,6 +134,6 @@ def comments_with_orders(
     """
     info = orders.select(F.col("id").alias("order_id"), *[F.col(c).alias(f"info_{c}") for c in orders.columns])
     pairs = interval_join(
-        comments, info, ["order_id"], "ts_ms", "info_tm_ms", -within_ms, within_ms, "inner", rows_per_salt
+        comments, info, ["order_id"], "ts_ms", "info_tm_ms", -within_ms, within_ms, ["id"], rows_per_salt
     )
     return pairs.withColumn("ds", compact_date_text(from_millis(F.col("ts_ms"))))

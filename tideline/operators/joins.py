@@ -10,31 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 ROWS_PER_SALT = 2_000_000
 TRACKED_KEYS = 64
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    def plain(t: T.DataType) -> bool:
-        if isinstance(t, T.MapType):
-            return False
-        if isinstance(t, T.ArrayType):
-            return plain(t.elementType)
-        if isinstance(t, T.StructType):
-            return all(plain(f.dataType) for f in t.fields)
-        return not isinstance(t, T.VariantType)
-
-    return [f.name for f in df.schema.fields if plain(f.dataType)]
-
-
 def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> Column:
     """Map from key hash to number of salts for the keys with more than ``rows_per_salt`` rows.
 
     A scalar subquery over the key columns alone: one heavy-hitter sketch per
     scan task, no shuffle of rows, at most ``TRACKED_KEYS`` entries.  A key the
-    sketch misses only stays unsalted; the join result is the same.
+    sketch misses only stays unsalted; no result depends on it.
     """
     sketch = (
         df.select(F.xxhash64(*on).alias("h"))
@@ -52,37 +39,32 @@ def salted_join(
     one: DataFrame,
     on: Sequence[str],
     how: str = "inner",
+    spread: Sequence[str] = (),
     rows_per_salt: int | None = ROWS_PER_SALT,
     sketch: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join whose ``many`` side may hold a very frequent key.
 
-    Rows of a hot key are spread over salts by a hash of their content and the
-    matching rows of ``one`` are repeated once per salt; every other key is
-    joined as usual.  ``how`` is ``inner``, ``left``, ``left_semi`` or
-    ``left_anti``.
+    Rows of a hot key are spread over salts by a hash of their ``spread``
+    columns, which should tell the rows of one key apart, and the matching rows
+    of ``one`` are repeated once per salt; every other key is joined as usual.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
     The keys are sketched on ``many`` unless ``sketch`` names a cheaper table
     with the same key distribution, which matters when ``many`` is itself the
-    result of a join.  ``rows_per_salt=None`` leaves skew to AQE alone.
+    result of a join.  Without ``spread``, or with ``rows_per_salt=None``, skew
+    is left to AQE.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if rows_per_salt is None:
+    if rows_per_salt is None or not spread:
         return many.join(one, list(on), how)
     hot = hot_keys(many if sketch is None else sketch, on, rows_per_salt)
-    key_hash = F.xxhash64(*on)
-    salted = (
-        many.withColumn("_n", F.coalesce(F.try_element_at(hot, key_hash), F.lit(1)))
-        .withColumn(
-            "_salt",
-            F.when(F.col("_n") > 1, F.pmod(F.xxhash64(*_hashable(many)), F.col("_n")).cast("int")).otherwise(0),
-        )
-        .drop("_n")
-    )
-    repeated = one.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.try_element_at(hot, key_hash), F.lit(1)) - 1))
+    salts = F.coalesce(F.try_element_at(hot, F.xxhash64(*on)), F.lit(1))
+    salted = many.withColumn(
+        "_salt", F.when(salts > 1, F.pmod(F.xxhash64(*spread), salts).cast("int")).otherwise(0)
     )
+    repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
@@ -94,7 +76,7 @@ def interval_join(
     right_ms: str,
     lower_ms: int,
     upper_ms: int,
-    how: str = "inner",
+    spread: Sequence[str] = (),
     rows_per_salt: int | None = ROWS_PER_SALT,
     sketch: DataFrame | None = None,
 ) -> DataFrame:
@@ -103,8 +85,8 @@ def interval_join(
     Time is cut into slices as wide as the interval and the slice joins the
     equi key: a right row lies in one slice, a left row looks into at most two,
     so a key with very many rows is spread over time instead of compared
-    all-against-all.  Slices that are still hot are salted.  Column names other
-    than the keys must differ between the sides.
+    all-against-all.  Slices that are still hot on the left are salted by
+    ``spread``.  Column names other than the keys must differ between the sides.
     """
     width = max(upper_ms - lower_ms, 1)
 
@@ -117,24 +99,10 @@ def interval_join(
 
     probe = probes(left)
     build = right.withColumn("_slice", slice_of(F.col(right_ms)))
-    gap = F.col(right_ms) - F.col(left_ms)
-    pairs = (
-        salted_join(
-            probe, build, [*on, "_slice"], "inner", rows_per_salt,
-            None if sketch is None else probes(sketch),
-        )
-        .where(gap.between(lower_ms, upper_ms))
-        .drop("_slice")
+    pairs = salted_join(
+        probe, build, [*on, "_slice"], "inner", spread, rows_per_salt, None if sketch is None else probes(sketch)
     )
-    if how == "inner":
-        return pairs
-    if how == "left":
-        # A left row with no partner in either slice; content identifies it, so
-        # rows that are equal in every column share their fate.
-        matched = pairs.select(*left.columns).distinct()
-        alone = left.join(matched, [left[c].eqNullSafe(matched[c]) for c in left.columns], "left_anti")
-        return pairs.unionByName(alone, allowMissingColumns=True)
-    raise ValueError(f"unsupported join type: {how}")
+    return pairs.where((F.col(right_ms) - F.col(left_ms)).between(lower_ms, upper_ms)).drop("_slice")
 
 
 def with_prefix(df: DataFrame, prefix: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A single key may own a large share of the rows.  Results that only need one
 row per key or per key and day are aggregates (combined before the shuffle).
-Results that need the neighbouring row or a running value are computed inside
-time buckets, and only one summary row per key and bucket crosses buckets.
+Results that need the neighbouring row or a running value use a window; the
+rows of a hot key are windowed bucket by bucket, and only one summary row per
+hot key and bucket carries over.  Key columns must not be null.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.times import local_date
+from tideline.operators.joins import ROWS_PER_SALT, hot_keys, salted_join
+
+HOT_KEY_ROWS = ROWS_PER_SALT
 
 
 def _pick(cols: Sequence[str]) -> Column:
@@ -42,6 +46,22 @@ def distinct_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str] | No
 
 # ---- neighbours -----------------------------------------------------------
 
+def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int) -> DataFrame:
+    """Add ``_bucket``: the bucket for rows of a hot key, null for all other rows."""
+    hot = F.try_element_at(hot_keys(df, keys, hot_rows), F.xxhash64(*keys))
+    return df.withColumn("_bucket", F.when(hot.isNotNull(), bucket))
+
+
+def _carry(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join the carried values of hot keys.
+
+    The window before has arranged ``rows`` by the same columns, and there are
+    at most TRACKED_KEYS times the number of buckets carried rows, so they are
+    broadcast.
+    """
+    return rows.join(F.broadcast(carried), [*keys, "_bucket"], "left")
+
+
 def neighbor(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,31 +70,28 @@ def neighbor(
     out: str,
     bucket: Column,
     following: bool = False,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add struct ``out`` with ``values`` of the previous (or following) row of the key.
 
     ``order`` must order the rows of a key completely and ``bucket`` must not
-    decrease along it.  The window runs inside (key, bucket); the value that
-    crosses a bucket border comes from a table with one row per key and bucket.
-    ``out`` is null when the key has no such row.
+    decrease along it.  ``out`` is null when the key has no such row.
     """
     keys = list(keys)
-    b = "_bucket"
-    rows = df.withColumn(b, bucket)
-    inside = Window.partitionBy(*keys, b).orderBy(*order)
+    rows = _bucketed(df, keys, bucket, hot_rows)
     step = F.lead if following else F.lag
     edge = F.min_by if following else F.max_by
-
-    edges = rows.groupBy(*keys, b).agg(edge(_pick(values), _pick(order)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy(b)
-    carried = edges.withColumn("_carry", step("_edge").over(across)).select(
-        *[F.col(c).alias(f"_k_{c}") for c in keys], F.col(b).alias("_k_bucket"), "_carry"
+    edges = (
+        rows.where(F.col("_bucket").isNotNull())
+        .groupBy(*keys, "_bucket")
+        .agg(edge(_pick(values), _pick(order)).alias("_edge"))
     )
+    # One row per hot key and bucket.
+    across = Window.partitionBy(*keys).orderBy("_bucket")
+    carried = edges.select(*keys, "_bucket", step("_edge").over(across).alias("_far"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     near = rows.withColumn("_near", step(_pick(values)).over(inside))
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys] + [F.col(b).eqNullSafe(F.col("_k_bucket"))]
-    return near.join(carried, same, "left").select(
-        *df.columns, F.coalesce("_near", "_carry").alias(out)
-    )
+    return _carry(near, carried, keys).select(*df.columns, F.coalesce("_near", "_far").alias(out))
 
 
 # ---- daily unique, returning users, visitor repair -------------------------
@@ -90,7 +107,7 @@ def first_of_day(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[st
 
 def daily_unique_by_arrival(
     df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], bucket: Column, out: str = "uv_ct",
-    tz: str = "UTC",
+    tz: str = "UTC", hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Flag 1 when the previous row of the key, in arrival order, is of another day.
 
@@ -98,7 +115,7 @@ def daily_unique_by_arrival(
     again, as it does for a job that remembers only the last date.
     """
     dated = df.withColumn("_date", local_date(F.col(ts), tz))
-    seen = neighbor(dated, keys, order, ["_date"], "_prev", bucket)
+    seen = neighbor(dated, keys, order, ["_date"], "_prev", bucket, hot_rows=hot_rows)
     changed = F.col("_prev").isNull() | (F.col("_prev._date") != F.col("_date"))
     return seen.withColumn(out, changed.cast("bigint")).drop("_date", "_prev")
 
@@ -124,13 +141,12 @@ def returning_users(
 
 def repair_new_visitors(
     df: DataFrame, key: str, ts: str, flag: str, order: Sequence[str], tz: str = "UTC", out: str | None = None,
+    rows_per_salt: int | None = ROWS_PER_SALT,
 ) -> DataFrame:
     """Correct a claimed ``is_new`` = '1' on any day but the visitor's first.
 
     A visitor whose first row says '0' counts as first seen the day before.
     """
-    from tideline.operators.joins import salted_join
-
     origin = df.groupBy(key).agg(
         F.min_by(F.struct(F.col(ts).alias("t"), F.col(flag).alias("f")), _pick(order)).alias("_first")
     )
@@ -140,7 +156,7 @@ def repair_new_visitors(
         F.when(F.col("_first.f") == "1", first_day).otherwise(F.date_sub(first_day, 1)).alias("_first_day"),
     )
     wrong = (F.col(flag) == "1") & (local_date(F.col(ts), tz) != F.col("_first_day"))
-    repaired = salted_join(df, origin, [key], "left").withColumn(
+    repaired = salted_join(df, origin, [key], "left", order, rows_per_salt).withColumn(
         out or flag, F.when(wrong, "0").otherwise(F.col(flag))
     )
     names = df.columns + ([out] if out and out not in df.columns else [])
@@ -151,7 +167,7 @@ def repair_new_visitors(
 
 def mark_superseded(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-    ts_ms: str | None = None, ttl_ms: int | None = None, out: str = "superseded",
+    ts_ms: str | None = None, ttl_ms: int | None = None, out: str = "superseded", hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Flag versions that a later version of the same key replaces.
 
@@ -159,7 +175,7 @@ def mark_superseded(
     time of ``ts_ms``.
     """
     values = [ts_ms] if ts_ms else [order[0]]
-    rows = neighbor(df, keys, order, values, "_next", bucket, following=True)
+    rows = neighbor(df, keys, order, values, "_next", bucket, following=True, hot_rows=hot_rows)
     replaced = F.col("_next").isNotNull()
     if ttl_ms is not None:
         if ts_ms is None:
@@ -170,14 +186,14 @@ def mark_superseded(
 
 def retract(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[str], bucket: Column,
-    ts_ms: str | None = None, ttl_ms: int | None = None,
+    ts_ms: str | None = None, ttl_ms: int | None = None, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Every version, plus a negated copy of each replaced one at its own event time.
 
     ``row_kind`` is ``+`` or ``-``; summing the measures leaves the surviving
     versions only.
     """
-    rows = mark_superseded(df, keys, order, bucket, ts_ms, ttl_ms)
+    rows = mark_superseded(df, keys, order, bucket, ts_ms, ttl_ms, hot_rows=hot_rows)
     kinds = F.when(F.col("superseded"), F.array(F.lit("+"), F.lit("-"))).otherwise(F.array(F.lit("+")))
     both = rows.withColumn("row_kind", F.explode(kinds)).drop("superseded")
     return both.withColumns({m: F.when(F.col("row_kind") == "-", -F.col(m)).otherwise(F.col(m)) for m in measures})
@@ -187,39 +203,38 @@ def retract(
 
 def running_profile(
     df: DataFrame, key: str, order: Sequence[str], sets: Sequence[str], bucket: Column, count: str = "pv",
-    as_text: bool = True,
+    as_text: bool = True, hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Running row count and running distinct values of a key, for every row.
 
     Each set becomes a sorted comma list, or an array without ``as_text``;
     null values are not collected.
     """
-    b = "_bucket"
-    rows = df.withColumn(b, bucket)
-    inside = Window.partitionBy(key, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # One row per key and bucket: rows seen and values seen there ...
-    summary = rows.groupBy(key, b).agg(
+    rows = _bucketed(df, [key], bucket, hot_rows)
+    # What a hot key showed in one bucket ...
+    summary = rows.where(F.col("_bucket").isNotNull()).groupBy(key, "_bucket").agg(
         F.count("*").alias("_n"), *[F.collect_set(s).alias(f"_s_{s}") for s in sets]
     )
-    # ... and everything seen in the buckets before.
-    before = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    # ... and in all buckets before.
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        F.col(key).alias("_k"),
-        F.col(b).alias("_kb"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        key,
+        "_bucket",
+        F.sum("_n").over(before).alias("_n0"),
         *[F.array_distinct(F.flatten(F.collect_list(f"_s_{s}").over(before))).alias(f"_s0_{s}") for s in sets],
     )
-    local_rows = rows.select(
+    inside = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.select(
         "*", F.count("*").over(inside).alias("_c"), *[F.collect_set(s).over(inside).alias(f"_l_{s}") for s in sets]
     )
-    joined = local_rows.join(
-        carried, F.col(key).eqNullSafe(F.col("_k")) & F.col(b).eqNullSafe(F.col("_kb")), "left"
-    )
+    joined = _carry(running, carried, [key])
     kept = [c for c in df.columns if c not in sets]
-    found = {s: F.array_sort(F.array_union(f"_s0_{s}", f"_l_{s}")) for s in sets}
+
+    def found(s: str) -> Column:
+        earlier = F.coalesce(f"_s0_{s}", F.array().cast("array<string>"))
+        values = F.array_sort(F.array_union(earlier, f"_l_{s}"))
+        return (F.array_join(values, ",") if as_text else values).alias(s)
+
     return joined.select(
-        *kept,
-        (F.col("_c") + F.col("_n0")).alias(count),
-        *[(F.array_join(v, ",") if as_text else v).alias(s) for s, v in found.items()],
+        *kept, (F.col("_c") + F.coalesce("_n0", F.lit(0))).alias(count), *[found(s) for s in sets]
     )

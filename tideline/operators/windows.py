@@ -130,19 +130,16 @@ def keyword_window(
 
 
 def province_order_window(
-    details: DataFrame, bucket: Column, width: str = "10 seconds", province: str = "province_id",
-    amount: str = "split_total_amount", order_id: str = "order_id", keys: Sequence[str] = ("id",),
-    order: Sequence[str] = ("ts_ms", "seq"), ttl_ms: int | None = None, legacy_count: bool = False, tz: str = "UTC",
+    marked: DataFrame, width: str = "10 seconds", province: str = "province_id",
+    amount: str = "split_total_amount", order_id: str = "order_id", legacy_count: bool = False, tz: str = "UTC",
 ) -> DataFrame:
     """Order amount and number of orders by province, net of replaced detail rows.
 
-    Orders are counted over the surviving versions; ``legacy_count`` counts the
+    ``marked`` carries ``superseded`` from :func:`keyed.mark_superseded`, which
+    needs the detail rows alone and belongs before any join.  Orders are counted over the surviving versions; ``legacy_count`` counts the
     orders of replaced versions too, as a set that never forgets would.
     """
-    rows = keyed.mark_superseded(
-        details.select(*dict.fromkeys([*keys, *order, "ts_ms", province, amount, order_id])),
-        list(keys), list(order), bucket, "ts_ms", ttl_ms,
-    ).withColumn("_ts", from_millis(F.col("ts_ms")))
+    rows = marked.withColumn("_ts", from_millis(F.col("ts_ms")))
     live = ~F.col("superseded")
     counted = F.col(order_id) if legacy_count else F.when(live, F.col(order_id))
     net = F.sum(F.when(live, F.col(amount)).otherwise(F.col(amount) - F.col(amount)))

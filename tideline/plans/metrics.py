@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.functions.text import register_word_function
 from tideline.operators import keyed, windows
-from tideline.operators.joins import lookup, lookup_chain
+from tideline.operators.joins import lookup, lookup_chain, salted_join
 from tideline.plans import sql
 from tideline.plans.tables import ORDER, as_double, day_slice, details, hour_slice, month_slice, orders, page_log, table
 
@@ -89,21 +89,16 @@ def _keywords_sql(seconds: int) -> str:
 
 
 def _province(spark: SparkSession, folder: str, legacy: bool) -> DataFrame:
-    lines = details(spark, folder)
-    net = windows.province_order_window(
-        _with_province(spark, folder, lines), month_slice(), "1 day", order=ORDER, legacy_count=legacy
-    )
+    lines = details(spark, folder).select("id", "order_id", "split_total_amount", *ORDER)
+    marked = keyed.mark_superseded(lines, ["id"], ORDER, month_slice())
+    placed = orders(spark, folder).select("order_id", "province_id")
+    located = salted_join(marked, placed, ["order_id"], "inner", ["id", "ts_ms"], sketch=lines)
+    net = windows.province_order_window(located, "1 day", legacy_count=legacy)
     nation = table(spark, folder, "nation")
     named = lookup(net, nation, "province_id", "n_nationkey", {"n_name": "province_name"})
     return as_double(named, "order_amount")
 
 
-def _with_province(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
-    from tideline.operators.joins import salted_join
-
-    return salted_join(lines, orders(spark, folder).select("order_id", "province_id"), ["order_id"])
-
-
 def province_order_window(spark: SparkSession, folder: str) -> DataFrame:
     return _province(spark, folder, legacy=False)
 
@@ -276,7 +271,7 @@ ORACLE = {
     "first_seen": f"""WITH {sql.DETAILS}
     SELECT id, ts_ms, sku_id, supplier_id, CAST(split_original_amount AS DOUBLE) AS split_original_amount
     FROM det QUALIFY row_number() OVER (PARTITION BY id ORDER BY v) = 1""",
-    "exact_dedup": "SELECT DISTINCT l_orderkey AS order_id, epoch_ms(l_shipdate) AS ts_ms FROM lineitem",
+    "exact_dedup": "SELECT DISTINCT l_orderkey AS order_id, epoch_us(l_shipdate) // 1000 AS ts_ms FROM lineitem",
     "user_running_profile": _PROFILE_SQL,
     "last_in_window": f"""WITH {sql.LOG}, f AS (SELECT *, {sql.start('ts', 30)} AS w FROM log)
     SELECT {sql.bounds('w', 30)}, mid, seq, page_id, during_time FROM f

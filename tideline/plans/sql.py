@@ -4,7 +4,7 @@ from __future__ import annotations
 
 # The page log of ``tables.as_page_log``.
 LOG = """log AS (
-  SELECT event_id AS seq, ts, epoch_ms(ts) AS ts_ms, user_id, event_type, k,
+  SELECT event_id AS seq, ts, epoch_us(ts) // 1000 AS ts_ms, user_id, event_type, k,
     'mid_' || user_id AS mid,
     CASE WHEN k % 10 <> 9 THEN CAST(user_id AS VARCHAR) END AS uid,
     'v2.' || (k % 5) AS vc, 'ch' || (k % 3) AS ch, CAST(k % 7 AS VARCHAR) AS ar, CAST(k % 2 AS VARCHAR) AS is_new,
@@ -28,12 +28,12 @@ DETAILS = """det AS (
       CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_discount AS DECIMAL(4,2)) AS split_activity_amount,
       CAST(l_extendedprice AS DECIMAL(16,2)) * CAST(l_tax AS DECIMAL(4,2)) AS split_coupon_amount,
       CAST(l_extendedprice AS DECIMAL(16,2)) AS split_total_amount,
-      l_returnflag AS return_flag, l_linestatus AS line_status, epoch_ms(l_shipdate) AS ts_ms
+      l_returnflag AS return_flag, l_linestatus AS line_status, epoch_us(l_shipdate) // 1000 AS ts_ms
     FROM lineitem))"""
 
 ORDERS = """ord AS (
   SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderstatus AS order_status, o_totalprice AS total_amount,
-    o_orderpriority AS priority, epoch_ms(o_orderdate) AS order_ms, c_nationkey AS province_id
+    o_orderpriority AS priority, epoch_us(o_orderdate) // 1000 AS order_ms, c_nationkey AS province_id
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 

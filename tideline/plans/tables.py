@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.functions.times import to_millis
+from tideline.operators.joins import salted_join
 from tideline.session import prepare
 
 DAY_MS = 86_400_000
@@ -131,8 +132,6 @@ def day_slice(ts: str = "ts") -> Column:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the province of their customer."""
-    from tideline.operators.joins import salted_join
-
     placed = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -144,7 +143,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     people = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("province_id")
     )
-    return salted_join(placed, people, ["user_id"], "left")
+    return salted_join(placed, people, ["user_id"], "left", ["order_id"])
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.operators.cdc import decode_changes
+from tideline.operators.cdc import decode_changes, parse_once
 
 
 # ---- topics ---------------------------------------------------------------
@@ -61,10 +61,8 @@ def json_table(messages: DataFrame, schema: T.StructType, name: str | None = Non
     """
     # PERMISSIVE parsing keeps a bad message as text, which marks it.
     marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    parsed = messages.where(F.col(value).isNotNull()).select(
-        F.from_json(value, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("_j")
-    )
-    table = parsed.where(F.col("_j._bad").isNull()).select(*[F.col(f"_j.{f.name}") for f in schema.fields])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    table = parse_once(messages.select(value), value, marked, options).where(F.col("_bad").isNull()).drop("_bad")
     if name:
         table.createOrReplaceTempView(name)
     return table

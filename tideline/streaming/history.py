@@ -54,7 +54,7 @@ def repaired_visitors(
     everyone = origins.read(schema, before=batch_id + 1).select(key, "first_day")
     wrong = (F.col(flag) == "1") & (local_date(F.col(ts), tz) != F.col("first_day"))
     return (
-        salted_join(batch, everyone, [key], "left")
+        salted_join(batch, everyone, [key], "left", order)
         .withColumn(flag, F.when(wrong, "0").otherwise(F.col(flag)))
         .select(*batch.columns)
     )
@@ -90,7 +90,7 @@ def profiles(
     )
     totals.write(summary, batch_id)
     empty = F.array().cast("array<string>")
-    joined = salted_join(rows, before, [key], "left")
+    joined = salted_join(rows, before, [key], "left", order)
     return joined.select(
         *[c for c in rows.columns if c not in (count, *sets)],
         (F.col(count) + F.coalesce("n", F.lit(0))).alias(count),
