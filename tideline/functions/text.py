@@ -66,6 +66,10 @@ def words_in_text(text: Column, dictionary: Sequence[str]) -> Column:
     )
 
 
+# Characters per block of a text that is searched for dictionary words.
+BLOCK = 128
+
+
 def dictionary_hits(df: DataFrame, key: str, text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """``(key, words)`` for a dictionary too long to test word by word.
 
@@ -76,20 +80,29 @@ def dictionary_hits(df: DataFrame, key: str, text: str, dictionary: DataFrame, w
     entries = dictionary.select(F.col(word).alias("_w")).where("_w <> ''").distinct()
     # One row holding the distinct word lengths: a handful of integers.
     lengths = entries.agg(F.collect_set(F.length("_w")).alias("_lens")).scalar()
-    # Slices of a character array take time linear in the text, and each
-    # distinct piece of a text is looked up once.
-    def slices(size: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_chars") - size + 1)
-        return F.transform(starts, lambda at: F.array_join(F.slice("_chars", at, size), ""))
-
-    pieces = (
+    # A text is cut into blocks that overlap by the longest word, in time linear
+    # in its length; a position inside a block is then found by a short scan.
+    first = F.sequence(F.lit(0), F.floor((F.size("_chars") - 1) / BLOCK).cast("int"))
+    overlap = F.array_max("_lens") - 1
+    blocks = (
         df.select(F.col(key), F.split(F.col(text), "").alias("_chars"))
+        .where(F.size("_chars") > 0)
         .withColumn("_lens", lengths)
-        .withColumn("_size", F.explode(F.filter("_lens", lambda n: n <= F.size("_chars"))))
-        .select(key, F.explode(F.array_distinct(slices(F.col("_size")))).alias("_w"))
+        .select(key, "_lens", F.explode(F.transform(
+            first, lambda b: F.array_join(F.slice("_chars", b * BLOCK + 1, F.lit(BLOCK) + overlap), "")
+        )).alias("_block"))
+    )
+    fitting = F.filter("_lens", lambda n: n <= F.length("_block"))
+    starts = F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.length("_block") - F.col("_size") + 1))
+    pieces = (
+        blocks.select(key, "_block", F.explode(fitting).alias("_size"))
+        .select(key, F.explode(F.array_distinct(F.transform(
+            starts, lambda at: F.substring("_block", at, F.col("_size"))
+        ))).alias("_w"))
     )
     return (
         pieces.join(entries, "_w", "left_semi")
+        .distinct()
         .groupBy(key)
         .agg(F.array_sort(F.collect_list("_w")).alias("words"))
     )

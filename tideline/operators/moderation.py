@@ -11,11 +11,11 @@ from tideline.operators.joins import member_flag
 
 # A dictionary up to this size is folded into the plan as a literal; a longer
 # one is joined.  Both give the same rows.
-LITERAL_WORDS = 200
+LITERAL_WORDS = 5_000
 
 
 def moderate(df: DataFrame, text: str, dictionary: Sequence[str]) -> DataFrame:
-    """Violation level of each text, for a dictionary of up to a few hundred words.
+    """Violation level of each text, for a dictionary of up to LITERAL_WORDS words.
 
     ``P0`` when the last comma-separated part is a banned word, else ``P1``
     when the text contains any, else empty.  ``violation_msg`` names the word

@@ -53,9 +53,9 @@ def cdc_route_dim(spark: SparkSession, folder: str) -> DataFrame:
     return routed.select("sink_table", "sink_family", "row_key", "op", F.explode("data").alias("column", "cell"))
 
 
-def order_changes(spark: SparkSession, folder: str) -> DataFrame:
+def order_changes(orders: DataFrame) -> DataFrame:
     """Orders as changes: open ones new, pending ones updated, finished ones deleted."""
-    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     image = cdc.row_as_map(rows)
     nothing = F.lit(None).cast("map<string,string>")
     op = F.when(F.col("o_orderstatus") == "O", "c").when(F.col("o_orderstatus") == "P", "u").otherwise("d")
@@ -72,7 +72,7 @@ def cdc_route_dwd(spark: SparkSession, folder: str) -> DataFrame:
     config = literal_rows(
         spark, FACT_CONFIG, "source_table string, source_type string, sink_table string, sink_columns string, op string"
     )
-    routed = cdc.route_facts(cdc.keep_changes(order_changes(spark, folder), "shop"), config)
+    routed = cdc.route_facts(cdc.keep_changes(order_changes(table(spark, folder, "orders")), "shop"), config)
     return routed.select(
         "sink_table", "op", F.col("data")["o_orderkey"].alias("row_key"), F.explode("data").alias("column", "cell")
     )
@@ -80,7 +80,7 @@ def cdc_route_dwd(spark: SparkSession, folder: str) -> DataFrame:
 
 def cdc_image(spark: SparkSession, folder: str) -> DataFrame:
     """Row image of every change, deletes included, with mapped columns."""
-    rows = cdc.drop_bootstrap(order_changes(spark, folder)).withColumn("image", cdc.row_image())
+    rows = cdc.drop_bootstrap(order_changes(table(spark, folder, "orders"))).withColumn("image", cdc.row_image())
     return cdc.fields(
         rows, {"o_orderkey": "id", "o_custkey": "user_id", "o_orderstatus": "status"}, "image", ["op", "ts_ms"]
     )

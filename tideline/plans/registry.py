@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tideline.plans import feeds, metrics, profiles, trade
+from tideline.plans import feeds, metrics, profiles, streams, trade
 
-_MODULES = [metrics, trade, feeds, profiles]
+_MODULES = [metrics, trade, feeds, profiles, streams]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: text for m in _MODULES for name, text in m.ORACLE.items()}

@@ -7,17 +7,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tideline.functions.times import to_millis
 from tideline.operators.joins import salted_join
 from tideline.session import prepare
+from tideline.sources.readers import read_files
 
 DAY_MS = 86_400_000
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One sample table; zone-less timestamps are read as UTC instants."""
-    df = prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+def _zoned(df: DataFrame) -> DataFrame:
+    """Zone-less timestamps read as UTC instants."""
     zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One sample table."""
+    return _zoned(prepare(spark).read.parquet(f"{folder}/{name}.parquet"))
+
+
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A sample table as a stream of the files named like it."""
+    schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
+    return _zoned(read_files(spark, folder, schema, f"{name}.parquet"))
+
+
 def pick(index: Column, values: list[str]) -> Column:
     """Value at a position of a fixed list, counted from 0."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
@@ -25,7 +36,8 @@ def pick(index: Column, values: list[str]) -> Column:
 
 def as_page_log(events: DataFrame) -> DataFrame:
     """Events as a flat page log.  ``k`` out of ``props`` stands for everything the events do not have."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    # Out of a generator, so that filters on columns made of ``k`` do not parse again.
+    k = F.explode(F.array(F.get_json_object("props", "$.k").cast("int")))
     search = F.col("k") % 4 == 2
     page = (
         F.when(F.col("event_type") == "view", "home")
@@ -88,7 +100,7 @@ def app_log_text(pages: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.create_map(F.lit("code"), F.col("k").cast("string"))).alias("err"),
         F.col("ts_ms").alias("ts"),
     )
-    return pages.select("seq", F.to_json(record).alias("value"))
+    return pages.select("seq", F.explode(F.array(F.to_json(record))).alias("value"))
 
 
 def details(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,8 +108,12 @@ def details(spark: SparkSession, folder: str) -> DataFrame:
 
     ``ORDER`` orders the versions completely.
     """
+    return as_details(table(spark, folder, "lineitem"))
+
+
+def as_details(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(16,2)")
-    return table(spark, folder, "lineitem").select(
+    return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),

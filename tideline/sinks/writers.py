@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tideline.operators.cdc import DELETE
@@ -63,9 +63,9 @@ class BatchTable:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
-    def read(self, schema, before: int | None = None) -> DataFrame:
+    def read(self, schema: T.StructType, before: int | None = None) -> DataFrame:
         """All rows with their ``batch``; no rows when nothing was written yet."""
-        full = schema.add("batch", "bigint") if schema[-1].name != "batch" else schema
+        full = T.StructType([f for f in schema.fields if f.name != "batch"] + [T.StructField("batch", T.LongType())])
         if not self.exists():
             return self.spark.createDataFrame([], full)
         df = self.spark.read.schema(full).parquet(self.path)

@@ -26,16 +26,14 @@ def daily_uniques(
     batch: DataFrame, batch_id: int, seen: BatchTable, keys: Sequence[str], ts: str, order: Sequence[str],
     tz: str = "UTC",
 ) -> DataFrame:
-    """Rows of this batch that are the first of their key and day; remembers the (key, day) pairs."""
+    """Rows of this batch that are the first of their key and day; remembers them."""
     firsts = keyed.first_of_day(batch, list(keys), ts, list(order), tz)
     marks = [*keys, "visit_date"]
-    known = seen.read(_schema(firsts, *keys, "visit_date"), before=batch_id).select(*marks)
+    known = seen.read(firsts.schema, before=batch_id).select(*marks)
     # Only days of this batch can match, and the day is part of the key.
-    fresh = firsts.join(known, marks, "left_anti")
-    seen.write(fresh.select(*marks), batch_id)
-    # Read back what was stored, so the result and the memory cannot differ.
-    stored = seen.read(_schema(firsts, *keys, "visit_date")).where(F.col("batch") == batch_id).select(*marks)
-    return firsts.join(stored, marks, "left_semi")
+    seen.write(firsts.join(known, marks, "left_anti"), batch_id)
+    # What was stored is the result, so the two cannot differ.
+    return seen.read(firsts.schema).where(F.col("batch") == batch_id).drop("batch")
 
 
 def repaired_visitors(

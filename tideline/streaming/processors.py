@@ -8,14 +8,18 @@ rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Processors travel with the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STATE = T.StructType([T.StructField("day", T.DateType())])
-DAY_MS = 86_400_000
 
 
 def _first_of_days(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
