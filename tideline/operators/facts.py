@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.text import md5_key
 from tideline.functions.times import compact_date_text, date_text, datetime_text, from_millis
-from tideline.operators.joins import ROWS_PER_SALT, interval_join, lookup, salted_join
+from tideline.operators.joins import ROWS_PER_SALT, interval_join, lookup, salted_join, salted_joins
 
 AMOUNT = "decimal(16,2)"
 
@@ -48,8 +48,9 @@ def order_details(
     join result.
     """
     joined = salted_join(details, orders, ["order_id"], "inner", ["id", "create_ms"], rows_per_salt)
-    joined = salted_join(joined, activities, ["id"], "left", ["create_ms", "sku_id"], rows_per_salt, details)
-    joined = salted_join(joined, coupons, ["id"], "left", ["create_ms", "sku_id"], rows_per_salt, details)
+    joined = salted_joins(
+        joined, [(activities, "left"), (coupons, "left")], ["id"], ["create_ms", "sku_id"], rows_per_salt, details
+    )
     return joined.withColumn("date_id", date_text(from_millis(F.col("create_ms"))))
 
 

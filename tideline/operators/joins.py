@@ -34,38 +34,56 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SAL
     return sketch.select(F.map_from_entries(salts).alias("hot")).scalar()
 
 
-def salted_join(
+def salted_joins(
     many: DataFrame,
-    one: DataFrame,
+    sides: Sequence[tuple[DataFrame, str]],
     on: Sequence[str],
-    how: str = "inner",
     spread: Sequence[str] = (),
     rows_per_salt: int | None = ROWS_PER_SALT,
     sketch: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi join whose ``many`` side may hold a very frequent key.
+    """Equi joins on one key of a ``many`` side that may hold a very frequent key.
 
-    Rows of a hot key are spread over salts by a hash of their ``spread``
-    columns, which should tell the rows of one key apart, and the matching rows
-    of ``one`` are repeated once per salt; every other key is joined as usual.
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``sides`` are ``(table, how)`` with ``how`` one of ``inner``, ``left``,
+    ``left_semi`` and ``left_anti``.  Rows of a hot key are spread over salts by
+    a hash of their ``spread`` columns, which should tell the rows of one key
+    apart, and the matching rows of a side are repeated once per salt; every
+    other key is joined as usual.  ``many`` is shuffled once for all sides.
 
     The keys are sketched on ``many`` unless ``sketch`` names a cheaper table
     with the same key distribution, which matters when ``many`` is itself the
     result of a join.  Without ``spread``, or with ``rows_per_salt=None``, skew
     is left to AQE.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"unsupported join type: {how}")
+    for _, how in sides:
+        if how not in ("inner", "left", "left_semi", "left_anti"):
+            raise ValueError(f"unsupported join type: {how}")
     if rows_per_salt is None or not spread:
-        return many.join(one, list(on), how)
+        for one, how in sides:
+            many = many.join(one, list(on), how)
+        return many
     hot = hot_keys(many if sketch is None else sketch, on, rows_per_salt)
     salts = F.coalesce(F.try_element_at(hot, F.xxhash64(*on)), F.lit(1))
-    salted = many.withColumn(
+    joined = many.withColumn(
         "_salt", F.when(salts > 1, F.pmod(F.xxhash64(*spread), salts).cast("int")).otherwise(0)
     )
-    repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    for one, how in sides:
+        repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        joined = joined.join(repeated, [*on, "_salt"], how)
+    return joined.drop("_salt")
+
+
+def salted_join(
+    many: DataFrame,
+    one: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    spread: Sequence[str] = (),
+    rows_per_salt: int | None = ROWS_PER_SALT,
+    sketch: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`salted_joins` with one side."""
+    return salted_joins(many, [(one, how)], on, spread, rows_per_salt, sketch)
 
 
 def interval_join(

@@ -129,6 +129,11 @@ def keyword_window(
     return tumble(split, ts, width, [*keys, "keyword"], [F.count("*").alias("keyword_count")], tz)
 
 
+def _live(measure: str) -> Column:
+    """The measure of a surviving version, zero for a replaced one."""
+    return F.when(F.col("superseded"), F.lit(0)).otherwise(F.col(measure))
+
+
 def province_order_window(
     marked: DataFrame, width: str = "10 seconds", province: str = "province_id",
     amount: str = "split_total_amount", order_id: str = "order_id", legacy_count: bool = False, tz: str = "UTC",
@@ -140,9 +145,8 @@ def province_order_window(
     orders of replaced versions too, as a set that never forgets would.
     """
     rows = marked.withColumn("_ts", from_millis(F.col("ts_ms")))
-    live = ~F.col("superseded")
-    counted = F.col(order_id) if legacy_count else F.when(live, F.col(order_id))
-    net = F.sum(F.when(live, F.col(amount)).otherwise(F.col(amount) - F.col(amount)))
+    counted = F.col(order_id) if legacy_count else F.when(~F.col("superseded"), F.col(order_id))
+    net = F.sum(_live(amount))
     return tumble(
         rows, "_ts", width, [province],
         [net.alias("order_amount"), F.count_distinct(counted).alias("order_count")], tz,
@@ -161,11 +165,14 @@ def sku_order_window(
         "split_coupon_amount": "coupon_reduce_amount",
         "split_total_amount": "order_amount",
     }
-    rows = keyed.retract(
+    rows = keyed.mark_superseded(
         details.select(*dict.fromkeys([*keys, *order, "ts_ms", sku, *measures])),
-        list(keys), list(order), list(measures), bucket, "ts_ms", ttl_ms,
+        list(keys), list(order), bucket, "ts_ms", ttl_ms,
     ).withColumn("_ts", from_millis(F.col("ts_ms")))
-    return tumble(rows, "_ts", width, [sku], [F.sum(m).alias(out) for m, out in measures.items()], tz)
+    # A negated copy would fall into the window of the row it cancels, so the
+    # row counts as zero there and no copy is made.
+    aggs = [F.sum(_live(m)).alias(out) for m, out in measures.items()]
+    return tumble(rows, "_ts", width, [sku], aggs, tz)
 
 
 def last_in_window(

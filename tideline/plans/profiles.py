@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.functions import labels, times
 from tideline.functions.text import first_token, joined_set, last_token, md5_key, negate
-from tideline.operators import joins, moderation
+from tideline.operators import joins, moderation, people as people_ops
 from tideline.plans import sql
 from tideline.plans.tables import DAY_MS, literal_rows, page_log, pick, table
 
@@ -126,6 +126,43 @@ def device_search_score(spark: SparkSession, folder: str) -> DataFrame:
     return labels.search_scores(labels.device_scores(named))
 
 
+def age_label_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The label chain on events: sign-ups are profiles, purchases orders, searches searches.
+
+    Ages follow from the user number, and the intervals are wide enough for
+    the sample: three hours around a profile and twelve around an order.
+    """
+    pages = page_log(spark, folder)
+    people = pages.where("event_type = 'signup'").select(
+        F.col("user_id").alias("uid"), F.col("seq").alias("profile_seq"), F.concat("mid", "vc").alias("login_name"),
+        "ts_ms", labels.age_group(F.lit(15) + F.pmod("user_id", F.lit(40))).alias("age_group"),
+    )
+    bought = pages.where("event_type = 'purchase'").select(
+        F.col("user_id").alias("uid"), F.col("seq").alias("order_id"), F.col("ts_ms").alias("order_ms"),
+        F.col("ts_ms").alias("create_ms"), F.col("during_time").cast("double").alias("original_total_amount"),
+        pick(F.col("k") % len(_value_list("category")), _value_list("category")).alias("category1_name"),
+        pick(F.col("k") % len(_value_list("brand")), _value_list("brand")).alias("tm_name"),
+    )
+    searches = pages.where("item_type = 'keyword'").select(
+        F.col("user_id").alias("uid"), F.col("seq").alias("search_seq"), F.col("ts_ms").alias("search_ms"),
+        first_token(F.col("os")).alias("os"), F.col("item").alias("keyword"),
+    )
+    # One dictionary change per word and day.
+    topics = (
+        pages.where("item_type = 'keyword' AND event_type = 'error'")
+        .groupBy(F.col("item").alias("keyword"), F.to_date("ts").alias("d"))
+        .agg(F.min("ts_ms").alias("topic_ms"), F.min("k").alias("k"))
+        .select("keyword", "topic_ms", pick(F.col("k") % 7, _value_list("keyword")).alias("keyword_type"))
+    )
+    scored = people_ops.age_label_job(
+        people, bought, searches, topics, profile_ms=3 * 3_600_000, search_ms=12 * 3_600_000, topic_ms=DAY_MS
+    )
+    return scored.select(
+        "profile_seq", "order_id", "search_seq", "topic_ms", "age_group", "time_period", "price_sensitive",
+        F.col("total_score").cast("double").alias("total_score"), "new_age_group",
+    )
+
+
 # ---- scalar functions -----------------------------------------------------
 
 def time_convert(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,6 +197,7 @@ QUERIES = {
     "order_bands": order_bands,
     "age_score": age_score,
     "age_total": age_total,
+    "age_label_job": age_label_job,
     "category_levels": category_levels,
     "device_search_score": device_search_score,
     "time_convert": time_convert,
@@ -254,6 +292,27 @@ ORACLE = {
     "age_total": f"""WITH {_AGE_SQL}, t AS (SELECT id, round({_TOTAL}, 3) AS total_score FROM scored
       WHERE age_group = '18-24') SELECT id, total_score, """
     + _bands("total_score", labels.TOTAL_BANDS, labels.INVALID_TOTAL, ">=") + " AS new_age_group FROM t",
+    "age_label_job": f"""WITH {sql.LOG}, {_score_rows()},
+    p AS (SELECT user_id AS uid, seq, ts_ms FROM log WHERE event_type = 'signup' AND 15 + user_id % 40 BETWEEN 18 AND 24),
+    o AS (SELECT user_id AS uid, seq, ts_ms, CAST(during_time AS DOUBLE) AS amount,
+      {_value_list('category')}[k % {len(_value_list('category'))} + 1] AS cat,
+      {_value_list('brand')}[k % {len(_value_list('brand'))} + 1] AS brand,
+      (ts_ms // 3600000 + 8) % 24 AS h FROM log WHERE event_type = 'purchase'),
+    s AS (SELECT user_id AS uid, seq, ts_ms, split_part(os, ' ', 1) AS os, item FROM log WHERE item_type = 'keyword'),
+    t AS (SELECT item, min(ts_ms) AS topic_ms, {_value_list('keyword')}[min(k) % 7 + 1] AS topic FROM log
+      WHERE item_type = 'keyword' AND event_type = 'error' GROUP BY item, d),
+    j AS (SELECT p.seq AS profile_seq, o.seq AS order_id, s.seq AS search_seq, topic_ms, cat, brand, os, topic,
+      {_bands('h', labels.DAY_PARTS['label'], None, '<')} AS time_period,
+      CASE WHEN amount < 1000 THEN '低价商品' WHEN amount <= 4000 THEN '中价商品' ELSE '高价商品' END AS price_sensitive
+      FROM p JOIN o ON p.uid = o.uid AND abs(p.ts_ms - o.ts_ms) <= 10800000
+      JOIN s ON s.uid = o.uid AND abs(s.ts_ms - o.ts_ms) <= 43200000
+      JOIN t ON t.item = s.item AND abs(topic_ms - o.ts_ms) <= {DAY_MS}),
+    r AS (SELECT j.*, (SELECT round(coalesce(sum(pts), 0), 3) FROM score WHERE grp = '18-24' AND (
+      (dim = 'category' AND val = cat) OR (dim = 'brand' AND val = brand) OR (dim = 'os' AND val = os)
+      OR (dim = 'keyword' AND val = topic) OR (dim = 'time' AND val = time_period)
+      OR (dim = 'price' AND val = price_sensitive))) AS total_score FROM j)
+    SELECT profile_seq, order_id, search_seq, topic_ms, '18-24' AS age_group, time_period, price_sensitive, total_score,
+    """ + _bands("total_score", labels.TOTAL_BANDS, labels.INVALID_TOTAL, ">=") + " AS new_age_group FROM r",
     "category_levels": """SELECT n_nationkey AS id, n_name AS b3name, r2.r_name AS b2name, r1.r_name AS b1name
     FROM nation JOIN region r2 ON n_regionkey = r2.r_regionkey JOIN region r1 ON r2.r_regionkey = r1.r_regionkey""",
     "device_search_score": f"""WITH {sql.LOG}, {sql.values(REGION_TOPICS, 'topic', 'category_name, search_category')},
