@@ -207,3 +207,24 @@ def test_sql_word_function(spark):
 
 def test_user_schema_names():
     assert USER_INFO.names[0] == "id"
+
+
+def test_landed_changes_are_read_by_table(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    feed = cdc.decode_changes(messages(spark, change("a", "c", after={"id": 1}), change("b", "c", after={"id": 2})))
+    writers.land_changes(feed, path, 0)
+    writers.land_changes(feed, path, 0)
+    one = spark.read.parquet(path).where("source_table = 'a'")
+    assert [r.after["id"] for r in one.collect()] == ["1"]
+    assert "PartitionFilters: [isnotnull(source_table" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_size_follows_the_input(spark, sf):
+    from tideline.session import size_shuffle
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle(spark, sf) == spark.sparkContext.defaultParallelism
+        assert size_shuffle(spark, sf, target_mb=1, expansion=100) > 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

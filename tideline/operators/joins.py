@@ -149,23 +149,29 @@ def lookup(
     columns: dict[str, str],
     how: str = "left",
     default: str | None = None,
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Add dimension ``columns`` (dimension name to output name) for ``key``.
 
     ``left`` leaves a row without a match as it is (or fills ``default``),
-    ``inner`` drops it.  ``dim_key`` must be unique in ``dim``.
+    ``inner`` drops it.  ``dim_key`` must be unique in ``dim``.  ``spread``
+    salts a frequent key, for facts looked up in a dimension too large to
+    broadcast; a small one is broadcast either way.
     """
     side = dim.select(F.col(dim_key).alias(key), *[F.col(c).alias(out) for c, out in columns.items()])
-    joined = df.join(side, key, how)
+    joined = salted_join(df, side, [key], how, spread)
     if default is not None:
         joined = joined.fillna(default, list(columns.values()))
     return joined
 
 
-def lookup_chain(df: DataFrame, steps: Sequence[tuple], how: str = "left") -> DataFrame:
-    """Follow a snowflake: each step is ``(dim, key, dim_key, columns)`` and may use columns of earlier steps."""
-    for dim, key, dim_key, columns in steps:
-        df = lookup(df, dim, key, dim_key, columns, how)
+def lookup_chain(df: DataFrame, steps: Sequence[tuple], how: str = "left", spread: Sequence[str] = ()) -> DataFrame:
+    """Follow a snowflake: each step is ``(dim, key, dim_key, columns)`` and may use columns of earlier steps.
+
+    ``spread`` salts the first step, the one whose key the rows bring along.
+    """
+    for i, (dim, key, dim_key, columns) in enumerate(steps):
+        df = lookup(df, dim, key, dim_key, columns, how, spread=() if i else spread)
     return df
 
 

@@ -231,7 +231,7 @@ def dim_lookup_inner(spark: SparkSession, folder: str) -> DataFrame:
     return joins.lookup_chain(lines, [
         (supplier, "supplier_id", "s_suppkey", {"s_name": "spu_name", "s_nationkey": "nation_id"}),
         (table(spark, folder, "nation"), "nation_id", "n_nationkey", {"n_name": "nation_name"}),
-    ], "inner")
+    ], "inner", spread=["id", "ts_ms"])
 
 
 def dim_lookup_misses(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -47,6 +48,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffle(spark: SparkSession, *paths: str, target_mb: int = 256, expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the input files.
+
+    Compressed columns grow by about ``expansion`` as rows.  AQE merges
+    partitions that turn out small, so the number only has to be high enough.
+    """
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    total = 0
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        total += folder.getFileSystem(jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    needed = math.ceil(total * expansion / (target_mb * 1024 * 1024))
+    partitions = max(needed, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 

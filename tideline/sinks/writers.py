@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tideline.functions.times import local
 from tideline.operators.cdc import DELETE
 
 
@@ -93,6 +94,19 @@ def write_partitioned(df: DataFrame, path: str, by: str = "sink_table") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def land_changes(changes: DataFrame, path: str, batch_id: int, tz: str = "UTC") -> None:
+    """Store change records by source table and day.
+
+    A table name inside a map cannot be pushed to a scan; as a partition column
+    ``source_table`` lets a job read the changes of its tables alone.
+    """
+    rows = changes.withColumns({
+        "source_table": F.col("source")["table"],
+        "day": F.to_date(local(F.timestamp_millis("ts_ms"), tz)),
+    })
+    BatchTable(changes.sparkSession, path).write(rows, batch_id, ["source_table", "day"])
+
+
 def write_kinds(kinds: Mapping[str, DataFrame], path: str, batch_id: int) -> None:
     """Write several outputs of one input, each to its own folder."""
     for name, df in kinds.items():

@@ -29,11 +29,12 @@ def daily_uniques(
     """Rows of this batch that are the first of their key and day; remembers them."""
     firsts = keyed.first_of_day(batch, list(keys), ts, list(order), tz)
     marks = [*keys, "visit_date"]
-    known = seen.read(firsts.schema, before=batch_id).select(*marks)
-    # Only days of this batch can match, and the day is part of the key.
-    seen.write(firsts.join(known, marks, "left_anti"), batch_id)
+    # The memory is partitioned by day, and only days of this batch are read.
+    days = batch.select(local_date(F.col(ts), tz).alias("visit_date")).distinct()
+    known = seen.read(firsts.schema, before=batch_id).select(*marks).join(days, "visit_date", "left_semi")
+    seen.write(firsts.join(known, marks, "left_anti"), batch_id, ["visit_date"])
     # What was stored is the result, so the two cannot differ.
-    return seen.read(firsts.schema).where(F.col("batch") == batch_id).drop("batch")
+    return seen.read(firsts.schema).where(F.col("batch") == batch_id).select(*firsts.columns)
 
 
 def repaired_visitors(
