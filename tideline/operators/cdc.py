@@ -221,6 +221,29 @@ def merge_cells(
     )
 
 
+def merge_columns(
+    changes: DataFrame, keys: Sequence[str], columns: Sequence[str], data: str = "data", op: str = "op",
+    seq: str = "seq",
+) -> DataFrame:
+    """As :func:`merge_cells` for known columns, one row per key: no explode and a single aggregate."""
+    keys = list(keys)
+    written = {
+        c: (F.col(op) != DELETE) & F.coalesce(F.col(data)[c] != "", F.lit(False)) for c in columns
+    }
+    winners = changes.groupBy(*keys).agg(
+        F.max(F.when(F.col(op) == DELETE, F.col(seq))).alias("_gone"),
+        *[
+            F.max_by(F.struct(F.col(data)[c].alias("cell"), F.col(seq).alias("at")), F.when(w, F.col(seq))).alias(c)
+            for c, w in written.items()
+        ],
+    )
+    rows = winners.select(*keys, *[
+        F.when(F.col("_gone").isNull() | (F.col(f"{c}.at") > F.col("_gone")), F.col(f"{c}.cell")).alias(c)
+        for c in columns
+    ])
+    return rows.where(F.coalesce(*columns).isNotNull())
+
+
 def cells_to_maps(cells: DataFrame, keys: Sequence[str], out: str = "data") -> DataFrame:
     """One row per key with its cells as a map; a row has as many cells as its table has columns."""
     return cells.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "cell")))).alias(out))

@@ -23,15 +23,13 @@ def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SAL
     scan task, no shuffle of rows, at most ``TRACKED_KEYS`` entries.  A key the
     sketch misses only stays unsalted; no result depends on it.
     """
-    sketch = (
-        df.select(F.xxhash64(*on).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {TRACKED_KEYS}, {TRACKED_KEYS * 8})").alias("top"))
+    counted = df.select(F.xxhash64(*on).alias("h")).selectExpr(
+        f"approx_top_k(h, {TRACKED_KEYS}, {TRACKED_KEYS * 8}) AS top"
     )
-    salts = F.transform(
-        F.filter("top", lambda x: x["count"] > rows_per_salt),
-        lambda x: F.struct(x["item"].alias("h"), F.ceil(x["count"] / rows_per_salt).cast("int").alias("n")),
-    )
-    return sketch.select(F.map_from_entries(salts).alias("hot")).scalar()
+    return counted.selectExpr(
+        f"map_from_entries(transform(filter(top, x -> x.count > {rows_per_salt}), "
+        f"x -> struct(x.item, CAST(ceil(x.count / {rows_per_salt}) AS INT)))) AS hot"
+    ).scalar()
 
 
 def salted_joins(
@@ -181,12 +179,17 @@ def missing_keys(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataF
     return df.groupBy(key).agg(F.count("*").alias("rows")).join(side, key, "left_anti")
 
 
-def member_flag(df: DataFrame, words: DataFrame, column: str, word: str, out: str) -> DataFrame:
+def member_flag(
+    df: DataFrame, words: DataFrame, column: str, word: str, out: str, spread: Sequence[str] = ()
+) -> DataFrame:
     """1 when ``column`` is in the word set, else 0."""
     side = words.select(F.col(word).alias(column)).distinct().withColumn(out, F.lit(1))
-    return df.join(side, column, "left").fillna(0, [out])
+    return salted_join(df, side, [column], "left", spread).fillna(0, [out])
 
 
-def members(df: DataFrame, words: DataFrame, column: str, word: str, negate: bool = False) -> DataFrame:
+def members(
+    df: DataFrame, words: DataFrame, column: str, word: str, negate: bool = False, spread: Sequence[str] = ()
+) -> DataFrame:
+    """Rows whose ``column`` is (not) in the word set."""
     side = words.select(F.col(word).alias(column))
-    return df.join(side, column, "left_anti" if negate else "left_semi")
+    return salted_join(df, side, [column], "left_anti" if negate else "left_semi", spread)

@@ -106,6 +106,11 @@ def cdc_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.merge_cells(_line_changes(spark, folder), ["sink_table", "row_key"])
 
 
+def cdc_upsert_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge with the columns known ahead, one row per key."""
+    return cdc.merge_columns(_line_changes(spark, folder), ["row_key"], ["sku_id", "flag", "num"])
+
+
 def cdc_delete(spark: SparkSession, folder: str) -> DataFrame:
     """Upsert view: the last version per line, lines whose last change is a delete are gone."""
     rows = _line_changes(spark, folder).select("row_key", "op", F.col("data")["sku_id"].alias("sku_id"), "seq")
@@ -208,6 +213,7 @@ QUERIES = {
     "cdc_route_dwd": cdc_route_dwd,
     "cdc_image": cdc_image,
     "cdc_upsert": cdc_upsert,
+    "cdc_upsert_columns": cdc_upsert_columns,
     "cdc_delete": cdc_delete,
     "dim_scan_limit": dim_scan_limit,
     "log_split_page": log_split_page,
@@ -251,6 +257,14 @@ def _cell_sql(name: str, value: str) -> str:
       max(v) FILTER (NOT gone AND {value} <> '') AS seen_at FROM chg GROUP BY id"""
 
 
+_CELLS = f"""WITH {_CHG}, cells AS (
+  {_cell_sql('sku_id', 'CAST(sku_id AS VARCHAR)')} UNION ALL
+  {_cell_sql('flag', "CASE WHEN return_flag <> 'N' THEN return_flag ELSE '' END")} UNION ALL
+  {_cell_sql('num', "CASE WHEN sku_num % 3 <> 0 THEN CAST(sku_num AS VARCHAR) END")}),
+del AS (SELECT id, max(v) AS gone_at FROM chg WHERE gone GROUP BY id),
+live AS (SELECT * FROM cells LEFT JOIN del ON row_key = id
+  WHERE cell IS NOT NULL AND seen_at > coalesce(gone_at, 0))"""
+
 ORACLE = {
     "cdc_route_dim": " UNION ALL ".join([
         _cells("dim_base_province", "nation", "n_nationkey", ["n_nationkey", "n_name"]),
@@ -264,13 +278,9 @@ ORACLE = {
     "cdc_image": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
       o_orderstatus AS status, CASE o_orderstatus WHEN 'O' THEN 'c' WHEN 'P' THEN 'u' ELSE 'd' END AS op,
       o_orderkey * 1000 AS ts_ms FROM orders""",
-    "cdc_upsert": f"""WITH {_CHG}, cells AS (
-      {_cell_sql('sku_id', 'CAST(sku_id AS VARCHAR)')} UNION ALL
-      {_cell_sql('flag', "CASE WHEN return_flag <> 'N' THEN return_flag ELSE '' END")} UNION ALL
-      {_cell_sql('num', "CASE WHEN sku_num % 3 <> 0 THEN CAST(sku_num AS VARCHAR) END")}),
-    del AS (SELECT id, max(v) AS gone_at FROM chg WHERE gone GROUP BY id)
-    SELECT 'dim_line' AS sink_table, row_key, "column", cell FROM cells LEFT JOIN del ON row_key = id
-    WHERE cell IS NOT NULL AND seen_at > coalesce(gone_at, 0)""",
+    "cdc_upsert": f"""{_CELLS} SELECT 'dim_line' AS sink_table, row_key, "column", cell FROM live""",
+    "cdc_upsert_columns": f"""{_CELLS} SELECT row_key, max(cell) FILTER ("column" = 'sku_id') AS sku_id,
+      max(cell) FILTER ("column" = 'flag') AS flag, max(cell) FILTER ("column" = 'num') AS num FROM live GROUP BY 1""",
     "cdc_delete": f"""WITH {_CHG}
     SELECT id AS row_key, 'u' AS op, CAST(sku_id AS VARCHAR) AS sku_id FROM (
       SELECT * FROM chg QUALIFY row_number() OVER (PARTITION BY id ORDER BY v DESC) = 1) WHERE NOT gone""",

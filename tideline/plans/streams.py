@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tideline.functions.text import explode_words
 from tideline.functions.times import date_text
 from tideline.operators import applog, cdc, windows
-from tideline.operators.joins import with_prefix
 from tideline.plans import metrics, sql
 from tideline.plans.feeds import order_changes
 from tideline.plans.tables import (
@@ -18,6 +17,7 @@ from tideline.plans.tables import (
 from tideline.session import new_folder
 from tideline.sinks.writers import BatchTable, newest_rows, write_kinds
 from tideline.streaming import history, processors
+from tideline.streaming.joins import interval_join_stream
 from tideline.streaming.runner import Job, bounded_delay, monotonous
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
@@ -104,16 +104,28 @@ def stream_login(spark: SparkSession, folder: str) -> DataFrame:
     return windows.tumble(marked, "ts", "10 seconds", [], [windows.total("back_ct"), windows.total("uu_ct")])
 
 
+def _pay(spark: SparkSession, folder: str, name: str, hot: list[int]) -> DataFrame:
+    pages = _pages(spark, folder)
+    pay = pages.where("event_type = 'purchase'").select(
+        "user_id", F.col("seq").alias("p_seq"), F.col("ts").alias("p_ts")
+    )
+    click = pages.where("event_type = 'click'").select(
+        "user_id", F.col("seq").alias("d_seq"), F.col("ts").alias("d_ts")
+    )
+    pairs = interval_join_stream(
+        pay, click, "user_id", "p_ts", "d_ts", -30 * 60_000, 5_000, hot=hot, spread=["p_seq"]
+    ).select("user_id", "p_seq", "d_seq")
+    return _run(spark, name, pairs, pairs.schema).drop("batch")
+
+
 def stream_pay(spark: SparkSession, folder: str) -> DataFrame:
     """Purchases and the clicks from 30 minutes before to 5 seconds after, stream against stream."""
-    pages = _pages(spark, folder)
-    columns = ["user_id", "seq", "ts"]
-    pay = bounded_delay(with_prefix(pages.where("event_type = 'purchase'").select(*columns), "p_"), "p_ts")
-    click = bounded_delay(with_prefix(pages.where("event_type = 'click'").select(*columns), "d_"), "d_ts")
-    pairs = pay.join(click, F.expr(
-        "p_user_id = d_user_id AND d_ts >= p_ts - INTERVAL 30 MINUTES AND d_ts <= p_ts + INTERVAL 5 SECONDS"
-    )).select("p_user_id", "p_seq", "d_seq")
-    return _run(spark, "stream-pay", pairs, pairs.schema).drop("batch")
+    return _pay(spark, folder, "stream-pay", [])
+
+
+def stream_pay_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with two users treated as hot."""
+    return _pay(spark, folder, "stream-pay-salted", [1, 7])
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,6 +134,17 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, "stream-dedup", pairs, pairs.schema).drop("batch")
 
 
+def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
+    """Earliest row of every user and page, repeats dropped ahead of the shuffle."""
+    seen = _state(spark, "first-seen")
+    rows = _pages(spark, folder).select("user_id", "page_id", "ts", "seq")
+
+    def each(batch: DataFrame, batch_id: int) -> DataFrame:
+        return history.first_seen(batch, batch_id, seen, ["user_id", "page_id"], ["ts", "seq"])
+
+    return _run(spark, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
+
+
 def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct user and day, forgotten once a day is over."""
     rows = bounded_delay(_pages(spark, folder).select("user_id", F.date_trunc("day", "ts").alias("day")), "day", "1 day")
@@ -236,6 +259,8 @@ QUERIES = {
     "stream_daily_unique": stream_daily_unique,
     "stream_login": stream_login,
     "stream_pay": stream_pay,
+    "stream_pay_salted": stream_pay_salted,
+    "stream_first_seen": stream_first_seen,
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_retract": stream_retract,
@@ -246,15 +271,20 @@ QUERIES = {
     "stream_keyword": stream_keyword,
 }
 
+_PAY_SQL = f"""WITH {sql.LOG}
+SELECT p.user_id, p.seq AS p_seq, c.seq AS d_seq FROM log p JOIN log c ON p.user_id = c.user_id
+  AND c.ts >= p.ts - INTERVAL 30 MINUTE AND c.ts <= p.ts + INTERVAL 5 SECOND
+WHERE p.event_type = 'purchase' AND c.event_type = 'click'"""
+
 ORACLE = {
     "stream_traffic": metrics.ORACLE["traffic_window"],
     "stream_daily_unique": f"""WITH {sql.LOG} SELECT mid, seq, strftime(d, '%Y-%m-%d') AS visit_date FROM log
     QUALIFY row_number() OVER (PARTITION BY mid, d ORDER BY ts, seq) = 1""",
     "stream_login": metrics.ORACLE["login_window"],
-    "stream_pay": f"""WITH {sql.LOG}
-    SELECT p.user_id AS p_user_id, p.seq AS p_seq, c.seq AS d_seq FROM log p JOIN log c ON p.user_id = c.user_id
-      AND c.ts >= p.ts - INTERVAL 30 MINUTE AND c.ts <= p.ts + INTERVAL 5 SECOND
-    WHERE p.event_type = 'purchase' AND c.event_type = 'click'""",
+    "stream_pay": _PAY_SQL,
+    "stream_pay_salted": _PAY_SQL,
+    "stream_first_seen": f"""WITH {sql.LOG} SELECT user_id, page_id, seq FROM log
+    QUALIFY row_number() OVER (PARTITION BY user_id, page_id ORDER BY ts, seq) = 1""",
     "stream_dedup": f"WITH {sql.LOG} SELECT DISTINCT user_id, page_id FROM log",
     "stream_dedup_watermark": f"WITH {sql.LOG} SELECT DISTINCT user_id, strftime(d, '%Y-%m-%d') AS day FROM log",
     "stream_retract": metrics.ORACLE["retract_dedup"],

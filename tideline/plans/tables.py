@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tideline.functions.times import to_millis
 from tideline.operators.joins import salted_join
@@ -18,15 +20,22 @@ def _zoned(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
 
+@lru_cache(maxsize=128)
+def _schema(path: str) -> T.StructType:
+    """Schema of a sample file, read once: a query often reads a table several times."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One sample table."""
-    return _zoned(prepare(spark).read.parquet(f"{folder}/{name}.parquet"))
+    path = f"{folder}/{name}.parquet"
+    return _zoned(prepare(spark).read.schema(_schema(path)).parquet(path))
 
 
 def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A sample table as a stream of the files named like it."""
-    schema = prepare(spark).read.parquet(f"{folder}/{name}.parquet").schema
-    return _zoned(read_files(spark, folder, schema, f"{name}.parquet"))
+    schema = _schema(f"{folder}/{name}.parquet")
+    return _zoned(read_files(prepare(spark), folder, schema, f"{name}.parquet"))
 
 
 def pick(index: Column, values: list[str]) -> Column:
@@ -37,40 +46,32 @@ def pick(index: Column, values: list[str]) -> Column:
 def as_page_log(events: DataFrame) -> DataFrame:
     """Events as a flat page log.  ``k`` out of ``props`` stands for everything the events do not have."""
     # Out of a generator, so that filters on columns made of ``k`` do not parse again.
-    k = F.explode(F.array(F.get_json_object("props", "$.k").cast("int")))
-    search = F.col("k") % 4 == 2
-    page = (
-        F.when(F.col("event_type") == "view", "home")
-        .when(F.col("event_type") == "click", "good_detail")
-        .when(F.col("event_type") == "purchase", "cart")
-        .when(F.col("event_type") == "signup", "login")
-        .otherwise("error")
+    keyed = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value",
+        "explode(array(CAST(get_json_object(props, '$.k') AS INT))) AS k",
     )
-    return events.withColumn("k", k).select(
-        F.col("event_id").alias("seq"),
+    return keyed.selectExpr(
+        "event_id AS seq",
         "ts",
-        to_millis(F.col("ts")).alias("ts_ms"),
+        "unix_millis(ts) AS ts_ms",
         "user_id",
         "event_type",
         "k",
-        F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
-        F.when(F.col("k") % 10 != 9, F.col("user_id").cast("string")).alias("uid"),
-        F.concat(F.lit("v2."), (F.col("k") % 5).cast("string")).alias("vc"),
-        F.concat(F.lit("ch"), (F.col("k") % 3).cast("string")).alias("ch"),
-        (F.col("k") % 7).cast("string").alias("ar"),
-        (F.col("k") % 2).cast("string").alias("is_new"),
-        F.concat(F.lit("md"), (F.col("k") % 9).cast("string")).alias("md"),
-        F.concat(F.lit("ba"), (F.col("k") % 4).cast("string")).alias("ba"),
-        pick(F.col("k") % 3, ["Android 13.0", "iOS 16.1", "Harmony 4.0"]).alias("os"),
-        page.alias("page_id"),
-        F.when(F.col("k") % 4 == 1, "login").when(search, "search").when(F.col("k") % 4 == 3, "home").alias(
-            "last_page_id"
-        ),
-        F.when(search, "keyword").otherwise("sku_id").alias("item_type"),
-        F.when(search, F.concat(F.lit("NATION_"), (F.col("k") % 30).cast("string")))
-        .otherwise(F.col("k").cast("string"))
-        .alias("item"),
-        F.round(F.col("value") * 100).cast("bigint").alias("during_time"),
+        "concat('mid_', user_id) AS mid",
+        "CASE WHEN k % 10 <> 9 THEN CAST(user_id AS STRING) END AS uid",
+        "concat('v2.', k % 5) AS vc",
+        "concat('ch', k % 3) AS ch",
+        "CAST(k % 7 AS STRING) AS ar",
+        "CAST(k % 2 AS STRING) AS is_new",
+        "concat('md', k % 9) AS md",
+        "concat('ba', k % 4) AS ba",
+        "element_at(array('Android 13.0', 'iOS 16.1', 'Harmony 4.0'), k % 3 + 1) AS os",
+        "CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail' WHEN 'purchase' THEN 'cart' "
+        "WHEN 'signup' THEN 'login' ELSE 'error' END AS page_id",
+        "CASE k % 4 WHEN 1 THEN 'login' WHEN 2 THEN 'search' WHEN 3 THEN 'home' END AS last_page_id",
+        "CASE WHEN k % 4 = 2 THEN 'keyword' ELSE 'sku_id' END AS item_type",
+        "CASE WHEN k % 4 = 2 THEN concat('NATION_', k % 30) ELSE CAST(k AS STRING) END AS item",
+        "CAST(round(value * 100) AS BIGINT) AS during_time",
     )
 
 
@@ -112,21 +113,21 @@ def details(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_details(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(16,2)")
-    return lineitem.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("sku_id"),
-        F.col("l_suppkey").alias("supplier_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.col("l_quantity").cast("int").alias("sku_num"),
-        price.alias("split_original_amount"),
-        (price * F.col("l_discount").cast("decimal(4,2)")).alias("split_activity_amount"),
-        (price * F.col("l_tax").cast("decimal(4,2)")).alias("split_coupon_amount"),
-        price.alias("split_total_amount"),
-        F.col("l_returnflag").alias("return_flag"),
-        F.col("l_linestatus").alias("line_status"),
-        to_millis(F.col("l_shipdate")).alias("ts_ms"),
+    price = "CAST(l_extendedprice AS DECIMAL(16,2))"
+    return lineitem.selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) AS id",
+        "l_orderkey AS order_id",
+        "l_partkey AS sku_id",
+        "l_suppkey AS supplier_id",
+        "l_linenumber AS line_number",
+        "CAST(l_quantity AS INT) AS sku_num",
+        f"{price} AS split_original_amount",
+        f"{price} * CAST(l_discount AS DECIMAL(4,2)) AS split_activity_amount",
+        f"{price} * CAST(l_tax AS DECIMAL(4,2)) AS split_coupon_amount",
+        f"{price} AS split_total_amount",
+        "l_returnflag AS return_flag",
+        "l_linestatus AS line_status",
+        "unix_millis(l_shipdate) AS ts_ms",
     )
 
 

@@ -244,7 +244,7 @@ def dim_lookup_misses(spark: SparkSession, folder: str) -> DataFrame:
 def _member(spark: SparkSession, folder: str, negate: bool) -> DataFrame:
     words = table(spark, folder, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("word"))
     lines = details(spark, folder).select("id", "supplier_id", "ts_ms")
-    return joins.members(lines, words, "supplier_id", "word", negate)
+    return joins.members(lines, words, "supplier_id", "word", negate, ["id", "ts_ms"])
 
 
 def member_batch(spark: SparkSession, folder: str) -> DataFrame:
