@@ -33,7 +33,10 @@ def _run(
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write(each(batch, batch_id) if each else batch, batch_id)
 
-    Job(name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode).run(source)
+    Job(
+        name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode,
+        persist=each is not None,
+    ).run(source)
     return table.read(schema)
 
 

@@ -18,7 +18,9 @@ class Job:
     """``name`` identifies the job across restarts together with ``checkpoint``.
 
     ``interval`` is the trigger interval; ``None`` processes what is there and
-    stops.  ``each_batch`` must tolerate being called twice for one batch id.
+    stops.  ``each_batch`` must tolerate being called twice for one batch id;
+    with ``persist`` the batch is kept while it runs, for writers that read it
+    more than once.
     """
 
     name: str
@@ -30,6 +32,17 @@ class Job:
     output_mode: str = "append"
     interval: str | None = "5 seconds"
     once: bool = False
+    persist: bool = False
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
+        if not self.persist:
+            self.each_batch(batch, batch_id)
+            return
+        batch.persist()
+        try:
+            self.each_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
 
     def start(self, source: DataFrame) -> StreamingQuery:
         out = self.transform(source)
@@ -45,7 +58,7 @@ class Job:
         else:
             writer = writer.trigger(processingTime=self.interval)
         if self.each_batch is not None:
-            return writer.foreachBatch(self.each_batch).start()
+            return writer.foreachBatch(self._write).start()
         return writer.format(self.sink_format or "console").options(**self.sink_options).start()
 
     def run(self, source: DataFrame, timeout: int = 600) -> StreamingQuery:
