@@ -218,3 +218,11 @@ def test_cluster_session_needs_a_shared_folder(spark):
 
 def test_page_log_stream_has_the_batch_columns(spark, sf):
     assert as_page_log(table(spark, sf, "events")).columns == page_log(spark, sf).columns
+
+
+def test_state_partitions_are_set_for_one_job(spark, feed):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    _, _, query = run(spark, "t-partitions", feed.select("mid").dropDuplicates(["mid"]), partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    operators = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert {op["numShufflePartitions"] for op in operators} == {2}

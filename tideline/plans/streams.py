@@ -14,7 +14,7 @@ from tideline.plans.feeds import order_changes
 from tideline.plans.tables import (
     ORDER, app_log_text, as_details, as_double, as_page_log, day_slice, literal_rows, month_slice, stream,
 )
-from tideline.session import new_folder
+from tideline.session import new_folder, partitions_for
 from tideline.sinks.writers import BatchTable, newest_rows, write_kinds
 from tideline.streaming import history, processors
 from tideline.streaming.joins import interval_join_stream
@@ -24,10 +24,13 @@ BatchFn = Callable[[DataFrame, int], DataFrame]
 
 
 def _run(
-    spark: SparkSession, name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
+    spark: SparkSession, folder: str, name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
     mode: str = "append",
 ) -> DataFrame:
-    """Run a job whose batches, after ``each``, land in a batch table; returns that table."""
+    """Run a job whose batches, after ``each``, land in a batch table; returns that table.
+
+    The state is partitioned for the size of ``folder``.
+    """
     table = BatchTable(spark, new_folder(spark, name))
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -35,7 +38,7 @@ def _run(
 
     Job(
         name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode,
-        persist=each is not None,
+        persist=each is not None, partitions=partitions_for(spark, folder),
     ).run(source)
     return table.read(schema)
 
@@ -85,7 +88,7 @@ def stream_traffic(spark: SparkSession, folder: str) -> DataFrame:
         )
         return views.unionByName(visitors)
 
-    parts = _run(spark, "stream-traffic", _pages(spark, folder), TRAFFIC, partial)
+    parts = _run(spark, folder, "stream-traffic", _pages(spark, folder), TRAFFIC, partial)
     return windows.tumble(
         parts, "w", "10 seconds", dims, [windows.total(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")]
     )
@@ -95,7 +98,7 @@ def stream_daily_unique(spark: SparkSession, folder: str) -> DataFrame:
     """First visit of each visitor and day, with keyed state."""
     rows = _pages(spark, folder).select("mid", "seq", "ts", F.to_date("ts").alias("visit_date"))
     out = processors.daily_unique_stream(rows, "mid", ["ts", "seq"])
-    found = _run(spark, "stream-daily-unique", out, rows.schema)
+    found = _run(spark, folder, "stream-daily-unique", out, rows.schema)
     return found.select("mid", "seq", date_text(F.col("visit_date")).alias("visit_date"))
 
 
@@ -103,7 +106,7 @@ def stream_login(spark: SparkSession, folder: str) -> DataFrame:
     """Active and returning users, with keyed state."""
     rows = windows.login_rows(_pages(spark, folder)).select("uid", "seq", "ts", F.to_date("ts").alias("visit_date"))
     out = processors.returning_user_stream(rows, "uid", ["ts", "seq"])
-    marked = _run(spark, "stream-login", out, out.schema)
+    marked = _run(spark, folder, "stream-login", out, out.schema)
     return windows.tumble(marked, "ts", "10 seconds", [], [windows.total("back_ct"), windows.total("uu_ct")])
 
 
@@ -118,7 +121,7 @@ def _pay(spark: SparkSession, folder: str, name: str, hot: list[int]) -> DataFra
     pairs = interval_join_stream(
         pay, click, "user_id", "p_ts", "d_ts", -30 * 60_000, 5_000, hot=hot, spread=["p_seq"]
     ).select("user_id", "p_seq", "d_seq")
-    return _run(spark, name, pairs, pairs.schema).drop("batch")
+    return _run(spark, folder, name, pairs, pairs.schema).drop("batch")
 
 
 def stream_pay(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,7 +137,7 @@ def stream_pay_salted(spark: SparkSession, folder: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct pairs of user and page, remembered for ever in the state store."""
     pairs = _pages(spark, folder).select("user_id", "page_id").dropDuplicates(["user_id", "page_id"])
-    return _run(spark, "stream-dedup", pairs, pairs.schema).drop("batch")
+    return _run(spark, folder, "stream-dedup", pairs, pairs.schema).drop("batch")
 
 
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,14 +148,14 @@ def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.first_seen(batch, batch_id, seen, ["user_id", "page_id"], ["ts", "seq"])
 
-    return _run(spark, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
+    return _run(spark, folder, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
 
 
 def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct user and day, forgotten once a day is over."""
     rows = bounded_delay(_pages(spark, folder).select("user_id", F.date_trunc("day", "ts").alias("day")), "day", "1 day")
     out = rows.dropDuplicatesWithinWatermark(["user_id", "day"])
-    found = _run(spark, "stream-dedup-watermark", out, out.schema)
+    found = _run(spark, folder, "stream-dedup-watermark", out, out.schema)
     return found.select("user_id", date_text(F.col("day")).alias("day"))
 
 
@@ -167,7 +170,7 @@ def stream_retract(spark: SparkSession, folder: str) -> DataFrame:
             batch, batch_id, versions, ["id"], ORDER, ["split_original_amount"], month_slice()
         )
 
-    return as_double(_run(spark, "stream-retract", rows, schema, each).drop("batch"), "split_original_amount")
+    return as_double(_run(spark, folder, "stream-retract", rows, schema, each).drop("batch"), "split_original_amount")
 
 
 def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,7 +186,7 @@ def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.profiles(batch, batch_id, totals, "mid", ["ts", "seq"], sets, day_slice()).drop("ts")
 
-    return _run(spark, "stream-profile", rows, schema, each).drop("batch")
+    return _run(spark, folder, "stream-profile", rows, schema, each).drop("batch")
 
 
 def stream_visitor_repair(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +197,7 @@ def stream_visitor_repair(spark: SparkSession, folder: str) -> DataFrame:
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.repaired_visitors(batch, batch_id, origins, "mid", "ts", "is_new_fixed", ["ts", "seq"])
 
-    return _run(spark, "stream-visitor-repair", rows, rows.schema, each).drop("batch", "ts")
+    return _run(spark, folder, "stream-visitor-repair", rows, rows.schema, each).drop("batch", "ts")
 
 
 def stream_route(spark: SparkSession, folder: str) -> DataFrame:
@@ -253,7 +256,7 @@ def stream_keyword(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.count("*").alias("keyword_count"))
         .select(*windows.window_bounds(), "keyword", "keyword_count")
     )
-    rows = _run(spark, "stream-keyword", counts, counts.schema, mode="update")
+    rows = _run(spark, folder, "stream-keyword", counts, counts.schema, mode="update")
     return newest_rows(rows, ["stt", "edt", "cur_date", "keyword"]).drop("batch")
 
 

@@ -48,11 +48,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffle(spark: SparkSession, *paths: str, target_mb: int = 256, expansion: float = 3.0) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the size of the input files.
+def partitions_for(spark: SparkSession, *paths: str, target_mb: int = 256, expansion: float = 3.0) -> int:
+    """Number of shuffle partitions for the input files.
 
-    Compressed columns grow by about ``expansion`` as rows.  AQE merges
-    partitions that turn out small, so the number only has to be high enough.
+    Compressed columns grow by about ``expansion`` as rows.
     """
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
     total = 0
@@ -60,7 +59,16 @@ def size_shuffle(spark: SparkSession, *paths: str, target_mb: int = 256, expansi
         folder = jvm.org.apache.hadoop.fs.Path(path)
         total += folder.getFileSystem(jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
     needed = math.ceil(total * expansion / (target_mb * 1024 * 1024))
-    partitions = max(needed, spark.sparkContext.defaultParallelism)
+    return max(needed, spark.sparkContext.defaultParallelism)
+
+
+def size_shuffle(spark: SparkSession, *paths: str, target_mb: int = 256, expansion: float = 3.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the input files.
+
+    AQE merges partitions that turn out small, so the number only has to be
+    high enough.
+    """
+    partitions = partitions_for(spark, *paths, target_mb=target_mb, expansion=expansion)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return partitions
 

@@ -21,6 +21,10 @@ class Job:
     stops.  ``each_batch`` must tolerate being called twice for one batch id;
     with ``persist`` the batch is kept while it runs, for writers that read it
     more than once.
+
+    ``partitions`` is the number of state partitions.  A checkpoint keeps the
+    number it started with and AQE does not resize state, so choose it for the
+    volume to come, e.g. with :func:`tideline.session.partitions_for`.
     """
 
     name: str
@@ -33,6 +37,7 @@ class Job:
     interval: str | None = "5 seconds"
     once: bool = False
     persist: bool = False
+    partitions: int | None = None
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
         if not self.persist:
@@ -58,8 +63,17 @@ class Job:
         else:
             writer = writer.trigger(processingTime=self.interval)
         if self.each_batch is not None:
-            return writer.foreachBatch(self._write).start()
-        return writer.format(self.sink_format or "console").options(**self.sink_options).start()
+            writer = writer.foreachBatch(self._write)
+        else:
+            writer = writer.format(self.sink_format or "console").options(**self.sink_options)
+        conf, name = source.sparkSession.conf, "spark.sql.shuffle.partitions"
+        before = conf.get(name)
+        try:
+            # A query keeps the settings of the moment it starts.
+            conf.set(name, str(self.partitions or before))
+            return writer.start()
+        finally:
+            conf.set(name, before)
 
     def run(self, source: DataFrame, timeout: int = 600) -> StreamingQuery:
         """Start and wait for a job that ends by itself."""
