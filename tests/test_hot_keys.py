@@ -34,8 +34,10 @@ def by_user(rows):
 
 
 @pytest.mark.parametrize("following", [False, True])
-def test_neighbor(rows, following):
-    out = keyed.neighbor(rows, ["user"], ["seq"], ["seq", "v"], "n", slices(), following, hot_rows=HOT)
+@pytest.mark.parametrize("hot_rows", [HOT, 10**6])
+def test_neighbor(rows, following, hot_rows):
+    out = keyed.neighbor(rows, ["user"], ["seq"], ["seq", "v"], "n", slices(), following, hot_rows=hot_rows)
+    assert ("_bucket" in out._jdf.queryExecution().executedPlan().toString()) == (hot_rows == HOT)
     got = {r.seq: None if r.n is None else (r.n.seq, r.n.v) for r in out.collect()}
     want = {}
     for group in by_user(rows).values():
@@ -45,8 +47,9 @@ def test_neighbor(rows, following):
     assert got == want
 
 
-def test_running_profile(rows):
-    out = keyed.running_profile(rows, "user", ["seq"], ["v"], slices(), hot_rows=HOT)
+@pytest.mark.parametrize("hot_rows", [HOT, 10**6])
+def test_running_profile(rows, hot_rows):
+    out = keyed.running_profile(rows, "user", ["seq"], ["v"], slices(), hot_rows=hot_rows)
     got = {r.seq: (r.pv, r.v) for r in out.collect()}
     for group in by_user(rows).values():
         seen = set()
@@ -93,8 +96,9 @@ def test_salted_join(spark, rows, how):
 
 
 def test_salted_join_uses_several_salts_for_the_hot_key(rows):
-    hot = rows.limit(1).select(joins.hot_keys(rows, ["user"], HOT).alias("h")).first().h
-    assert max(hot.values()) >= 2000 // HOT
+    hot = joins.hot_keys(rows, ["user"], HOT)
+    assert len(hot) == 1 and max(hot.values()) >= 2000 // HOT
+    assert joins.hot_keys(rows, ["user"], ROWS) == {} == joins.hot_keys(rows.limit(0), ["user"], 1)
 
 
 def test_salted_join_spreads_over_all_sides(spark, rows):

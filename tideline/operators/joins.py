@@ -16,20 +16,28 @@ ROWS_PER_SALT = 2_000_000
 TRACKED_KEYS = 64
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> Column:
-    """Map from key hash to number of salts for the keys with more than ``rows_per_salt`` rows.
-
-    A scalar subquery over the key columns alone: one heavy-hitter sketch per
-    scan task, no shuffle of rows, at most ``TRACKED_KEYS`` entries.  A key the
-    sketch misses only stays unsalted; no result depends on it.
+def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> dict[int, int]:
+    """Number of salts per key hash, for the keys with more than ``rows_per_salt`` rows.
+
+    One job over the key columns alone: a heavy-hitter sketch per scan task, no
+    shuffle of rows, and at most ``TRACKED_KEYS`` pairs of numbers as its
+    result.  It runs while the plan is built, so both sides of a join work with
+    the same salts; a subquery evaluated twice could disagree with itself.  A
+    key the sketch misses only stays unsalted.  A stream has no hot keys here.
     """
+    if df.isStreaming:
+        return {}
     counted = df.select(F.xxhash64(*on).alias("h")).selectExpr(
         f"approx_top_k(h, {TRACKED_KEYS}, {TRACKED_KEYS * 8}) AS top"
     )
-    return counted.selectExpr(
-        f"map_from_entries(transform(filter(top, x -> x.count > {rows_per_salt}), "
-        f"x -> struct(x.item, CAST(ceil(x.count / {rows_per_salt}) AS INT)))) AS hot"
-    ).scalar()
+    hot = counted.selectExpr(f"filter(top, x -> x.count > {rows_per_salt}) AS hot").first().hot
+    return {x.item: -(-x["count"] // rows_per_salt) for x in hot or []}
+
+
+def salt_count(hot: dict[int, int], on: Sequence[str]) -> Column:
+    """Salts of the row's key, null when the key is not hot."""
+    entries = F.create_map(*[F.lit(v).cast(t) for h, n in hot.items() for v, t in ((h, "bigint"), (n, "int"))])
+    return F.try_element_at(entries, F.xxhash64(*on))
 
 
 def salted_joins(
@@ -50,18 +58,20 @@ def salted_joins(
 
     The keys are sketched on ``many`` unless ``sketch`` names a cheaper table
     with the same key distribution, which matters when ``many`` is itself the
-    result of a join.  Without ``spread``, or with ``rows_per_salt=None``, skew
-    is left to AQE.
+    result of a join.  Without hot keys, without ``spread`` or with
+    ``rows_per_salt=None`` the plan is that of the plain joins, with AQE behind.
     """
     for _, how in sides:
         if how not in ("inner", "left", "left_semi", "left_anti"):
             raise ValueError(f"unsupported join type: {how}")
-    if rows_per_salt is None or not spread:
+    hot = {}
+    if rows_per_salt is not None and spread:
+        hot = hot_keys(many if sketch is None else sketch, on, rows_per_salt)
+    if not hot:
         for one, how in sides:
             many = many.join(one, list(on), how)
         return many
-    hot = hot_keys(many if sketch is None else sketch, on, rows_per_salt)
-    salts = F.coalesce(F.try_element_at(hot, F.xxhash64(*on)), F.lit(1))
+    salts = F.coalesce(salt_count(hot, on), F.lit(1))
     joined = many.withColumn(
         "_salt", F.when(salts > 1, F.pmod(F.xxhash64(*spread), salts).cast("int")).otherwise(0)
     )

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.times import local_date
-from tideline.operators.joins import ROWS_PER_SALT, hot_keys, salted_join
+from tideline.operators.joins import ROWS_PER_SALT, hot_keys, salt_count, salted_join
 
 HOT_KEY_ROWS = ROWS_PER_SALT
 
@@ -46,10 +46,9 @@ def distinct_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str] | No
 
 # ---- neighbours -----------------------------------------------------------
 
-def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column, hot_rows: int) -> DataFrame:
+def _bucketed(df: DataFrame, hot: dict[int, int], keys: Sequence[str], bucket: Column) -> DataFrame:
     """Add ``_bucket``: the bucket for rows of a hot key, null for all other rows."""
-    hot = F.try_element_at(hot_keys(df, keys, hot_rows), F.xxhash64(*keys))
-    return df.withColumn("_bucket", F.when(hot.isNotNull(), bucket))
+    return df.withColumn("_bucket", F.when(salt_count(hot, keys).isNotNull(), bucket))
 
 
 def _carry(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,8 +77,11 @@ def neighbor(
     decrease along it.  ``out`` is null when the key has no such row.
     """
     keys = list(keys)
-    rows = _bucketed(df, keys, bucket, hot_rows)
     step = F.lead if following else F.lag
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot:
+        return df.withColumn(out, step(_pick(values)).over(Window.partitionBy(*keys).orderBy(*order)))
+    rows = _bucketed(df, hot, keys, bucket)
     edge = F.min_by if following else F.max_by
     edges = (
         rows.where(F.col("_bucket").isNotNull())
@@ -210,7 +212,16 @@ def running_profile(
     Each set becomes a sorted comma list, or an array without ``as_text``;
     null values are not collected.
     """
-    rows = _bucketed(df, [key], bucket, hot_rows)
+    hot = hot_keys(df, [key], hot_rows)
+    if not hot:
+        inside = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = [F.array_sort(F.collect_set(s).over(inside)) for s in sets]
+        return df.select(
+            *[c for c in df.columns if c not in sets],
+            F.count("*").over(inside).alias(count),
+            *[(F.array_join(v, ",") if as_text else v).alias(s) for v, s in zip(running, sets)],
+        )
+    rows = _bucketed(df, hot, [key], bucket)
     # What a hot key showed in one bucket ...
     summary = rows.where(F.col("_bucket").isNotNull()).groupBy(key, "_bucket").agg(
         F.count("*").alias("_n"), *[F.collect_set(s).alias(f"_s_{s}") for s in sets]
