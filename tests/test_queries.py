@@ -25,3 +25,13 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     assert difference(QUERIES[name](spark, sf), con, ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name,schema", [
+    ("traffic_window", "TRAFFIC_METRICS"), ("home_detail_uv_window", "HOME_DETAIL_METRICS"),
+    ("login_window", "LOGIN_METRICS"), ("cart_uu_window", "CART_METRICS"), ("province_order_window", "PROVINCE_METRICS"),
+])
+def test_metric_tables_have_the_declared_columns(spark, sf, name, schema):
+    from tideline import schemas
+
+    assert set(QUERIES[name](spark, sf).columns) == set(getattr(schemas, schema).names)

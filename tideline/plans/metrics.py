@@ -8,7 +8,7 @@ from tideline.functions.text import register_word_function
 from tideline.operators import keyed, windows
 from tideline.operators.joins import lookup, lookup_chain, salted_join
 from tideline.plans import sql
-from tideline.plans.tables import ORDER, as_double, day_slice, details, hour_slice, month_slice, orders, page_log, table
+from tideline.plans.tables import ORDER, as_double, day_slice, details, month_slice, orders, page_log, table
 
 DAY = 86_400
 

@@ -139,10 +139,6 @@ def month_slice(ms: str = "ts_ms") -> Column:
     return F.floor(F.col(ms) / (30 * DAY_MS))
 
 
-def hour_slice(ts: str = "ts") -> Column:
-    return F.date_trunc("hour", F.col(ts))
-
-
 def day_slice(ts: str = "ts") -> Column:
     return F.to_date(F.col(ts))
 
