@@ -131,7 +131,7 @@ class Block:
         return cls._built[1:]
 
 
-def _pass(df: DataFrame, text: str, names: tuple[str, str, str], block, key: str) -> DataFrame:
+def _pass(df: DataFrame, names: tuple[str, str, str], block, key: str) -> DataFrame:
     """Search one block; extend the word count, occurrences and items of each row."""
     count, places, ids = names
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
@@ -140,7 +140,7 @@ def _pass(df: DataFrame, text: str, names: tuple[str, str, str], block, key: str
         tables, items = Block.of(key, pickle.loads(block.value))
         for batch in batches:
             n_words, hits, found = [], [], []
-            for group in groups(batch.column(text)):
+            for group in groups(batch.column("text")):
                 spans = Spans(group, WORD)
                 n_words.append(np.diff(spans.first))
                 h = spans.hashes()
@@ -178,19 +178,22 @@ def _united(places: list[tuple[int, int]]) -> list[int]:
     return out
 
 
+#: Columns that a search adds: words, begins and ends of hit words, ids of the items found, whether any was.
+RESULTS = ("n_words", "hits", "item_ids", "contaminated")
+
+
 def find_items(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
+    names: tuple[str, str, str, str] = RESULTS,
 ) -> DataFrame:
-    """The documents with ``n_words``, ``hits`` (begins and ends of hit words), ``item_ids`` and ``contaminated``."""
+    """The documents with the columns ``names``."""
     spark = bounded_batches(docs.sparkSession)
     windows = stored(item_windows(benchmark, window).withColumn("block", F.xxhash64("pattern")), "windows")
-    total = windows.count()
-    blocks = max(1, -(-total // block_windows))
-    names = ("n_words", "hits", "item_ids")
+    blocks = max(1, -(-windows.count() // block_windows))
     df = docs.select(
-        *[docs[f"`{f.name}`"] for f in without(docs.schema, [*names, "contaminated"])],
-        F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hits"),
-        F.array().cast("array<string>").alias("item_ids"),
+        *[docs[f"`{f.name}`"] for f in without(docs.schema, [*names])],
+        F.lit(0).cast("long").alias(names[0]), F.array().cast("array<int>").alias(names[1]),
+        F.array().cast("array<string>").alias(names[2]),
     )
     search = uuid.uuid4().hex
     for b in range(blocks):
@@ -198,16 +201,14 @@ def find_items(
             (r.pattern, list(r["items"]))
             for r in windows.where(F.pmod("block", F.lit(blocks)) == b).select("pattern", "items").toLocalIterator()
         ]
-        df = _pass(df, "text", names, spark.sparkContext.broadcast(pickle.dumps(rows)), f"{search}/{b}")
-    return df.withColumn("contaminated", F.size("hits") > 0)
+        df = _pass(df, names[:3], spark.sparkContext.broadcast(pickle.dumps(rows)), f"{search}/{b}")
+    return df.withColumn(names[3], F.size(names[1]) > 0)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without any window of the benchmark, with their own columns."""
-    flag = free_name(docs, "_row")
-    kept = docs.withColumn(flag, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    kept = find_items(kept.select("text", flag), benchmark, window).where(~F.col("contaminated"))
-    return kept.select(*[F.col(f"`{flag}`.`{c}`").alias(c) for c in docs.columns])
+    names = tuple(free_name(docs, f"_{n}") for n in RESULTS)
+    return find_items(docs, benchmark, window, names=names).where(~F.col(names[3])).drop(*names)
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
