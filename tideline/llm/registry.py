@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tideline.llm import decontaminate
+from tideline.llm import decontaminate, quality, token_counts, toxicity
 
-_MODULES = [decontaminate]
+_MODULES = [decontaminate, toxicity, quality, token_counts]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: text for m in _MODULES for name, text in m.ORACLE.items()}
