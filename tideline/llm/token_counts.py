@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tideline.llm.classes import Words
 from tideline.llm.frames import bounded_batches, without
 from tideline.llm.merges import Memory, merge
 from tideline.plans.tables import table
@@ -42,10 +43,23 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
+def word_pattern(data: dict) -> Words:
+    """The pattern of the vocabulary file, with the character tables of its library."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    split = next(p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+
+    def members(pattern: str, text: str) -> list[str]:
+        cut = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        return [piece for piece, _ in cut.pre_tokenize_str(text)]
+
+    return Words.fitted(split["pattern"]["Regex"], members, normalizers.Lowercase().normalize_str)
+
+
 class WordCounter:
     """Counts the tokens of texts; built from the parsed vocabulary file."""
 
-    def __init__(self, data: dict):
+    def __init__(self, data: dict, words: Words):
         model = data["model"]
         self.end = model["end_of_word_suffix"]
         self.vocab = model["vocab"].keys()
@@ -53,8 +67,7 @@ class WordCounter:
         self.letters = byte_letters()
         special = [t["content"] for t in data["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        split = next(p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"])
+        self.words = words.compiled()
 
     def pieces(self, letters: str) -> list[str]:
         if not letters:
@@ -90,9 +103,8 @@ class WordCounter:
             parts = [text]
         for part in parts:
             if not part.isascii():
-                # One character at a time, without the rule for a final sigma.
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            total += sum(map(memory.__getitem__, self.words.findall(part.lower())))
+                part = unicodedata.normalize("NFC", part)
+            total += sum(map(memory.__getitem__, self.words.findall(part, lower=True)))
         return total
 
 
@@ -101,9 +113,9 @@ _built: dict[str, tuple[WordCounter, Memory]] = {}
 
 def _counter(key: str, packed) -> tuple[WordCounter, Memory]:
     if key not in _built:
-        data, proven = pickle.loads(packed.value)
+        data, words, proven = pickle.loads(packed.value)
         _built.clear()
-        counter = WordCounter(data)
+        counter = WordCounter(data, words)
         _built[key] = (counter, counter.memory(proven))
     return _built[key]
 
@@ -113,7 +125,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
     spark = bounded_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:
         data = json.load(file)
-    packed, key = spark.sparkContext.broadcast(pickle.dumps((data, WordCounter(data).prove()))), uuid.uuid4().hex
+    words = word_pattern(data)
+    packed = spark.sparkContext.broadcast(pickle.dumps((data, words, WordCounter(data, words).prove())))
+    key = uuid.uuid4().hex
     fields = without(docs.schema, ["n_bytes", "n_tokens", "over_limit"]).fields
     schema = T.StructType([
         *fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
