@@ -178,7 +178,7 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") ->
         best = F.array_min(F.filter(ranked, lambda x: x["r"].isNotNull()))
         return F.when(best.isNull(), acc).otherwise(F.concat(
             F.slice(acc, 1, best["i"]), F.array(F.get(pairs, best["i"])),
-            F.slice(acc, best["i"] + 2, F.size(acc)),
+            F.slice(acc, best["i"] + 3, F.size(acc)),
         ))
 
     raw = F.encode(F.col(word), "UTF-8")

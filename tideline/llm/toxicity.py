@@ -160,11 +160,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def bag(rows: pd.DataFrame) -> pd.DataFrame:
         split = [[np.asarray(x) for x in rows.x[rows.positive == kind]] for kind in (True, False)]
-        return pd.DataFrame({"w": [fit_bag(*split, vocabulary, share).tolist()] if all(split) else []})
+        weights = [fit_bag(*split, vocabulary, share).tolist()] if all(split) else []
+        return pd.DataFrame({"w": pd.Series(weights, dtype=object)})
 
     bags = sample.withColumn("bag", F.explode(F.when(
         F.col("positive"), F.sequence(F.lit(0), F.lit(BAGS - 1))).otherwise(F.array("bag"))))
     fitted = [r.w for r in bags.groupBy("bag").applyInPandas(bag, "w array<double>").collect()]
+    if not fitted:
+        return none, np.array([np.log(share / (1 - share))])
     return vocabulary.hashes, np.mean(fitted, axis=0)
 
 
