@@ -1,4 +1,4 @@
-"""One key with most of the rows: the salted and bucketed plans give the plain result."""
+"""One key with most of the rows: salted joins and bucketed windows give the plain result."""
 
 from collections import defaultdict
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.operators import joins, keyed, windows
 
 ROWS = 3000
-HOT = 100  # rows from which a key counts as hot
+SMALL = 100  # rows of a bucket, so that user 0 has many
 
 
 @pytest.fixture(scope="module")
@@ -34,10 +34,10 @@ def by_user(rows):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hot_rows", [HOT, 10**6])
-def test_neighbor(rows, following, hot_rows):
-    out = keyed.neighbor(rows, ["user"], ["seq"], ["seq", "v"], "n", slices(), following, hot_rows=hot_rows)
-    assert ("_bucket" in out._jdf.queryExecution().executedPlan().toString()) == (hot_rows == HOT)
+@pytest.mark.parametrize("along,size", [("ms", SMALL), ("ts", SMALL), ("ms", 10**6), (None, SMALL)])
+def test_neighbor(rows, following, along, size):
+    out = keyed.neighbor(rows, ["user"], ["seq"], ["seq", "v"], "n", along, following, rows_per_bucket=size)
+    assert out.columns == [*rows.columns, "n"]
     got = {r.seq: None if r.n is None else (r.n.seq, r.n.v) for r in out.collect()}
     want = {}
     for group in by_user(rows).values():
@@ -47,31 +47,55 @@ def test_neighbor(rows, following, hot_rows):
     assert got == want
 
 
-@pytest.mark.parametrize("hot_rows", [HOT, 10**6])
-def test_running_profile(rows, hot_rows):
-    out = keyed.running_profile(rows, "user", ["seq"], ["v"], slices(), hot_rows=hot_rows)
-    got = {r.seq: (r.pv, r.v) for r in out.collect()}
-    for group in by_user(rows).values():
-        seen = set()
+def test_buckets_follow_the_rows_of_a_key(rows):
+    cut = keyed._bucketed(rows, ["user"], "ms", SMALL)
+    sizes = {(r.user, r._bucket): r["count"] for r in cut.groupBy("user", "_bucket").count().collect()}
+    assert max(sizes.values()) < 2 * SMALL
+    assert sum(u == 0 for u, _ in sizes) == 21 and sum(u == 1 for u, _ in sizes) == 1
+
+
+def test_null_places_join_the_first_bucket(spark):
+    rows = spark.createDataFrame([("a", i, None if i < 3 else i * 10) for i in range(12)], "k string, seq long, ms long")
+    out = keyed.neighbor(rows, ["k"], ["ms", "seq"], ["seq"], "n", "ms", rows_per_bucket=2)
+    assert {r.seq: r.n and r.n.seq for r in out.collect()} == {i: i - 1 if i else None for i in range(12)}
+
+
+def test_two_hundred_large_keys(spark):
+    rows = spark.range(20_000).select((F.col("id") % 200).alias("k"), F.col("id").alias("seq"))
+    out = keyed.neighbor(rows, ["k"], ["seq"], ["seq"], "n", "seq", rows_per_bucket=10)
+    assert out.where("n.seq <> seq - 200 OR (n IS NULL AND seq >= 200)").count() == 0
+    assert "Broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("along,size", [("ms", SMALL), ("ms", 10**6), (None, SMALL)])
+def test_running_profile(rows, along, size):
+    typed = rows.withColumn("day", F.to_date("ts"))
+    out = keyed.running_profile(typed, "user", ["seq"], ["v", "day"], along, as_text=False, rows_per_bucket=size)
+    got = {r.seq: (r.pv, r.v, r.day) for r in out.collect()}
+    for group in by_user(typed).values():
+        seen, days = set(), set()
         for n, r in enumerate(group, 1):
             seen.add(r.v)
-            assert got[r.seq] == (n, ",".join(sorted(seen)))
+            days.add(r.day)
+            assert got[r.seq] == (n, sorted(seen), sorted(days))
 
 
 def test_retract_keeps_surviving_sum(rows):
     priced = rows.withColumn("amount", F.col("seq"))
-    out = keyed.retract(priced, ["user"], ["seq"], ["amount"], slices(), hot_rows=HOT)
+    out = keyed.retract(priced, ["user"], ["seq"], ["amount"])
     last = {u: g[-1].seq for u, g in by_user(rows).items()}
     got = {r.user: r.s for r in out.groupBy("user").agg(F.sum("amount").alias("s")).collect()}
     assert got == last
     assert out.count() == 2 * ROWS - len(last)
 
 
-def test_retract_ttl(rows):
-    out = keyed.retract(rows, ["user"], ["seq"], ["seq"], slices(), "ms", 70_000, hot_rows=HOT)
-    want = sum(
-        1 for g in by_user(rows).values() for a, b in zip(g, g[1:]) if b.ms - a.ms <= 70_000
-    )
+@pytest.mark.parametrize("size", [SMALL, 10**6])
+def test_retract_ttl(rows, size):
+    out = keyed.retract(rows, ["user"], ["ms", "seq"], ["seq"], "ms", 70_000, rows_per_bucket=size)
+    want = 0
+    for g in by_user(rows).values():
+        g = sorted(g, key=lambda r: (r.ms, r.seq))
+        want += sum(1 for a, b in zip(g, g[1:]) if b.ms - a.ms <= 70_000)
     assert out.where("row_kind = '-'").count() == want > 0
 
 
@@ -80,40 +104,56 @@ def test_daily_unique_by_arrival_counts_a_day_again(spark):
     rows = spark.createDataFrame(
         [("a", 1, 0), ("a", 2, day), ("a", 3, 5), ("a", 4, 6), ("b", 5, 0)], "mid string, seq long, ms long"
     ).withColumn("ts", F.timestamp_millis("ms"))
-    for hot in (1, 1000):
-        out = keyed.daily_unique_by_arrival(rows, ["mid"], "ts", ["seq"], F.floor(F.col("seq") / 2), hot_rows=hot)
+    for size in (1, 1000):
+        out = keyed.daily_unique_by_arrival(rows, ["mid"], "ts", ["seq"], "seq", rows_per_bucket=size)
         assert {r.seq: r.uv_ct for r in out.collect()} == {1: 1, 2: 1, 3: 1, 4: 0, 5: 1}
     assert keyed.first_of_day(rows, ["mid"], "ts", ["seq"]).count() == 3
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(spark, rows, how):
-    names = spark.range(0, 40, 2).select(F.col("id").alias("user"), F.concat(F.lit("u"), "id").alias("name"))
-    plain = rows.join(names, "user", how)
-    salted = joins.salted_join(rows, names, ["user"], how, ["seq"], HOT)
-    assert salted.columns == plain.columns
-    assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+HOWS = ["inner", "left", "left_semi", "left_anti"]
+#: Types of a key on either side; both must see the same hot keys.
+TYPES = [("bigint", "bigint"), ("bigint", "int"), ("int", "bigint"), ("string", "bigint"), ("bigint", "string"),
+         ("decimal(12,2)", "decimal(20,0)"), ("decimal(12,2)", "int")]
+
+
+def same_rows(a, b):
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
 
 
-def test_salted_join_uses_several_salts_for_the_hot_key(rows):
-    hot = joins.hot_keys(rows, ["user"], HOT)
-    assert len(hot) == 1 and max(hot.values()) >= 2000 // HOT
-    assert joins.hot_keys(rows, ["user"], ROWS) == {} == joins.hot_keys(rows.limit(0), ["user"], 1)
+@pytest.mark.parametrize("how", HOWS)
+@pytest.mark.parametrize("many,one", TYPES)
+def test_salted_join(spark, rows, how, many, one):
+    names = spark.range(0, 40, 2).select(F.col("id").cast(one).alias("user"), F.concat(F.lit("u"), "id").alias("name"))
+    typed = rows.withColumn("user", F.col("user").cast(many))
+    plain = typed.join(names, "user", how)
+    same_rows(joins.salted_join(typed, names, ["user"], how, ["seq"], hot=[0, 7], salts=5), plain)
+    same_rows(joins.salted_join(typed, names, ["user"], how, ["seq"]), plain)
+
+
+def test_named_keys_are_spread(spark, rows):
+    names = spark.range(40).select(F.col("id").alias("user"), (F.col("id") * 2).alias("a"))
+    out = joins.salted_join(rows, names, ["user"], "inner", ["seq"], hot=[0], salts=16)
+    assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        joins.salted_join(rows, names, ["user"], hot=[0])
+    with pytest.raises(ValueError):
+        joins.salted_join(rows, names, ["user"], "inner", ["seq"], hot=[(0, 1)])
 
 
 def test_salted_join_spreads_over_all_sides(spark, rows):
     names = spark.range(40).select(F.col("id").alias("user"), (F.col("id") * 2).alias("a"))
     more = spark.range(5).select(F.col("id").alias("user"), (F.col("id") * 3).alias("b"))
-    out = joins.salted_joins(rows, [(names, "inner"), (more, "left")], ["user"], ["seq"], HOT)
-    plain = rows.join(names, "user").join(more, "user", "left")
-    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    out = joins.salted_joins(rows, [(names, "inner"), (more, "left")], ["user"], ["seq"], [0])
+    same_rows(out, rows.join(names, "user").join(more, "user", "left"))
 
 
 @pytest.mark.parametrize("lower,upper", [(-60_000, 60_000), (-1_800_000, 5_000), (0, 0), (10, 90_000)])
-def test_interval_join(rows, lower, upper):
-    left = rows.select("user", F.col("seq").alias("a"), F.col("ms").alias("a_ms")).where("a % 2 = 0")
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_interval_join(rows, lower, upper, kind):
+    left = rows.select(F.col("user").cast(kind).alias("user"), F.col("seq").alias("a"), F.col("ms").alias("a_ms")).where("a % 2 = 0")
     right = rows.select("user", F.col("seq").alias("b"), F.col("ms").alias("b_ms")).where("b % 3 <> 1")
-    out = joins.interval_join(left, right, ["user"], "a_ms", "b_ms", lower, upper, ["a"], HOT)
+    out = joins.interval_join(left, right, ["user"], "a_ms", "b_ms", lower, upper, ["a"], hot=[0, 3], salts=4)
     plain = left.join(right, "user").where(F.expr(f"b_ms - a_ms BETWEEN {lower} AND {upper}"))
     got = sorted((r.a, r.b) for r in out.collect())
     assert got == sorted((r.a, r.b) for r in plain.collect())
@@ -136,8 +176,8 @@ def test_repair_new_visitors(spark):
     rows = spark.createDataFrame(data, "mid string, seq long, ms long, is_new string").withColumn(
         "ts", F.timestamp_millis("ms")
     )
-    for limit in (1, None):
-        out = keyed.repair_new_visitors(rows, "mid", "ts", "is_new", ["ts", "seq"], rows_per_salt=limit)
+    for hot in (["a"], ()):
+        out = keyed.repair_new_visitors(rows, "mid", "ts", "is_new", ["ts", "seq"], hot=hot)
         assert {r.seq: r.is_new for r in out.collect()} == {1: "1", 2: "1", 3: "0", 4: "0", 5: "0", 6: "0", 7: "1"}
 
 
@@ -163,7 +203,7 @@ def test_zero_window_of_replaced_rows_stays(spark):
     lines = spark.createDataFrame(
         [("x", 0, 0, 1, 10), ("x", day, 1, 2, 7)], "id string, ts_ms long, seq long, order_id long, amt long"
     ).selectExpr("*", "'p' AS province_id", "CAST(amt AS DECIMAL(16,2)) AS split_total_amount")
-    marked = keyed.mark_superseded(lines, ["id"], ["ts_ms", "seq"], F.lit(0))
+    marked = keyed.mark_superseded(lines, ["id"], ["ts_ms", "seq"])
     out = windows.province_order_window(marked, "1 day")
     got = {r.cur_date: (float(r.order_amount), r.order_count) for r in out.collect()}
     assert got == {"1970-01-01": (0.0, 0), "1970-01-02": (7.0, 1)}

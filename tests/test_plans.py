@@ -4,9 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tideline.plans.registry import QUERIES
 
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
 def plan(df):
@@ -19,7 +19,7 @@ def scans(text, name):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_join_and_no_python(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text
     assert "NestedLoopJoin" not in text
     assert "Python" not in text and "Pandas" not in text
@@ -35,43 +35,55 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize("name", ["order_detail_fact", "pay_success_fact", "refund_fact", "sku_order_window", "interval_order"])
 def test_large_sides_fall_back_to_shuffle_joins(spark, sf, no_broadcast, name):
-    text = plan(entry.queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert "SortMergeJoin" in text
     assert "BroadcastHashJoin" not in text
 
 
 def test_scans_read_only_needed_columns(spark, sf):
-    text = plan(entry.queries()["province_order_window"](spark, sf))
+    text = plan(QUERIES["province_order_window"](spark, sf))
     lineitem = [s for s in re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem", text)]
     assert lineitem and all("l_tax" not in s and "l_returnflag" not in s for s in lineitem)
-    text = plan(entry.queries()["exact_dedup"](spark, sf))
+    text = plan(QUERIES["exact_dedup"](spark, sf))
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>", text)
 
 
 def test_filters_reach_the_scan(spark, sf):
-    text = plan(entry.queries()["refund_fact"](spark, sf))
+    text = plan(QUERIES["refund_fact"](spark, sf))
     assert "EqualTo(l_returnflag,R)" in text
 
 
 def test_windows_are_combined_before_the_shuffle(spark, sf):
-    text = plan(entry.queries()["traffic_window"](spark, sf))
+    text = plan(QUERIES["traffic_window"](spark, sf))
     assert "partial_sum" in text and "partial_min_by" in text
     assert " Window " not in text
 
 
-def test_marking_replaced_versions_shuffles_the_rows_once(spark, sf):
+def test_marking_replaced_versions_sorts_no_history(spark, sf):
     from tideline.operators.keyed import mark_superseded
-    from tideline.plans.tables import ORDER, details, month_slice
+    from tideline.plans.tables import ORDER, details
 
-    lines = details(spark, sf).select("id", *ORDER)
-    text = plan(mark_superseded(lines, ["id"], ORDER, month_slice()))
-    assert text.count("Exchange hashpartitioning") == 1
-    # With hot keys the rows are still shuffled once; the summary of the hot keys comes as a broadcast.
-    text = plan(mark_superseded(lines, ["id"], ORDER, month_slice(), hot_rows=2))
-    assert text.split("BroadcastExchange")[0].count("Exchange hashpartitioning") == 1
+    text = plan(mark_superseded(details(spark, sf).select("id", *ORDER), ["id"], ORDER))
+    assert " Window " not in text and "partial_max" in text
+
+
+def jobs_of(spark, build):
+    """Number of jobs that run while ``build()`` makes a plan."""
+    spark.sparkContext.setJobGroup("build", "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_building_a_query_starts_no_job(spark, sf, name):
+    QUERIES[name](spark, sf)  # the schemas are read once
+    assert jobs_of(spark, lambda: QUERIES[name](spark, sf)) == 0
 
 
 def test_one_shuffle_for_two_joins_on_one_key(spark, sf, no_broadcast):
-    text = plan(entry.queries()["order_detail_fact"](spark, sf))
+    text = plan(QUERIES["order_detail_fact"](spark, sf))
     # One for the lines, one each for the activities and coupons.
     assert len(re.findall(r"Exchange hashpartitioning\(id#\d+", text)) == 3

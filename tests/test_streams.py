@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators import keyed
-from tideline.plans.tables import ORDER, as_page_log, details, month_slice, page_log, table
+from tideline.plans.tables import ORDER, as_page_log, details, page_log, table
 from tideline.session import new_folder
 from tideline.sinks.writers import BatchTable, newest_rows, print_rows
 from tideline.sources.readers import read_files
@@ -106,13 +106,12 @@ def test_visitor_repair(spark, pages, feed):
 def test_profiles(spark, pages, feed):
     totals = BatchTable(spark, new_folder(spark, "totals"))
     part = pages.select("seq", "mid", "ts", *SETS)
-    bucket = F.to_date("ts")
 
     def each(batch, n):
-        return history.profiles(batch, n, totals, "mid", ["ts", "seq"], SETS, bucket)
+        return history.profiles(batch, n, totals, "mid", ["ts", "seq"], SETS, "ts")
 
     table, _, _ = run(spark, "t-profile", feed.select(*part.columns), each)
-    want = keyed.running_profile(part, "mid", ["ts", "seq"], SETS, bucket)
+    want = keyed.running_profile(part, "mid", ["ts", "seq"], SETS, "ts")
     assert rows(table.read(want.schema), "seq", "pv", *SETS) == rows(want, "seq", "pv", *SETS)
 
 
@@ -127,11 +126,11 @@ def test_retractions(spark, sf, tmp_path):
     measure = ["split_original_amount"]
 
     def each(batch, n):
-        return history.retractions(batch, n, versions, ["id"], ORDER, measure, month_slice())
+        return history.retractions(batch, n, versions, ["id"], ORDER, measure)
 
     source = read_files(spark, str(tmp_path / "lines"), lines.schema, "*.parquet", max_files=1)
     table, batches, _ = run(spark, "t-retract", source, each)
-    want = keyed.retract(lines, ["id"], ORDER, measure, month_slice())
+    want = keyed.retract(lines, ["id"], ORDER, measure)
     # File order is write order, so versions arrive in time order.
     assert len(batches) == 3
     assert rows(table.read(want.schema), "id", *ORDER, "row_kind") == rows(want, "id", *ORDER, "row_kind")

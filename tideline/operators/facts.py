@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.text import md5_key
 from tideline.functions.times import compact_date_text, date_text, datetime_text, from_millis
-from tideline.operators.joins import ROWS_PER_SALT, interval_join, lookup, salted_join, salted_joins
+from tideline.operators.joins import interval_join, lookup, salted_join, salted_joins
 
 AMOUNT = "decimal(16,2)"
 
@@ -38,24 +40,21 @@ def cart_adds(changes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def order_details(
     details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame,
-    rows_per_salt: int | None = ROWS_PER_SALT,
+    hot: Sequence = (),
 ) -> DataFrame:
     """Order lines with their order, and activity and coupon where there is one.
 
     ``details`` has ``id, order_id, sku_id, create_ms``; ``orders`` has ``order_id,
     user_id, province_id``; ``activities`` and ``coupons`` are keyed by ``id``
-    of the line.  Only keys of ``details`` are sketched for skew, never the
-    join result.
+    of the line.  ``hot`` names order ids to salt.
     """
-    joined = salted_join(details, orders, ["order_id"], "inner", ["id", "create_ms"], rows_per_salt)
-    joined = salted_joins(
-        joined, [(activities, "left"), (coupons, "left")], ["id"], ["create_ms", "sku_id"], rows_per_salt, details
-    )
+    joined = salted_join(details, orders, ["order_id"], "inner", ["id", "create_ms"], hot)
+    joined = salted_joins(joined, [(activities, "left"), (coupons, "left")], ["id"])
     return joined.withColumn("date_id", date_text(from_millis(F.col("create_ms"))))
 
 
 def cancelled_details(
-    details: DataFrame, orders: DataFrame, status: str | None = None, rows_per_salt: int | None = ROWS_PER_SALT,
+    details: DataFrame, orders: DataFrame, status: str | None = None, hot: Sequence = (),
 ) -> DataFrame:
     """Lines of changed orders with the time of the change.
 
@@ -67,12 +66,12 @@ def cancelled_details(
     events = events.select(
         "order_id", date_text(when).alias("order_cancel_date_id"), datetime_text(when).alias("cancel_time")
     )
-    return salted_join(details, events, ["order_id"], "inner", ["id", "sku_id"], rows_per_salt)
+    return salted_join(details, events, ["order_id"], "inner", ["id", "sku_id"], hot)
 
 
 def paid_details(
     payments: DataFrame, details: DataFrame, dictionary: DataFrame, before_ms: int = 30 * 60_000,
-    after_ms: int = 5_000, rows_per_salt: int | None = ROWS_PER_SALT,
+    after_ms: int = 5_000, hot: Sequence = (),
 ) -> DataFrame:
     """Order lines from 30 minutes before to 5 seconds after the payment of their order.
 
@@ -82,19 +81,19 @@ def paid_details(
     """
     paid = interval_join(
         details, payments, ["order_id"], "detail_ms", "pay_ms", -after_ms, before_ms, ["detail_ms", "sku_id"],
-        rows_per_salt,
+        hot,
     )
     return lookup(paid, dictionary, "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
 
 
 def refunds(
-    requests: DataFrame, orders: DataFrame, dictionary: DataFrame, rows_per_salt: int | None = ROWS_PER_SALT
+    requests: DataFrame, orders: DataFrame, dictionary: DataFrame, hot: Sequence = ()
 ) -> DataFrame:
     """Refund requests with the names of their type and reason.
 
     The dictionary is looked up twice under two names.
     """
-    joined = salted_join(requests, orders, ["order_id"], "inner", ["id", "sku_id"], rows_per_salt)
+    joined = salted_join(requests, orders, ["order_id"], "inner", ["id", "sku_id"], hot)
     joined = lookup(joined, dictionary, "refund_type", "dic_code", {"dic_name": "refund_type_name"}, "inner")
     return lookup(
         joined, dictionary, "refund_reason_type", "dic_code", {"dic_name": "refund_reason_type_name"}, "inner"
@@ -103,11 +102,11 @@ def refunds(
 
 def paid_refunds(
     payments: DataFrame, requests: DataFrame, orders: DataFrame, dictionary: DataFrame,
-    rows_per_salt: int | None = ROWS_PER_SALT,
+    hot: Sequence = (),
 ) -> DataFrame:
     """Refund payments matched to their request by order and product, then to the order."""
-    joined = salted_join(payments, requests, ["order_id", "sku_id"], "inner", ["id", "callback_ms"], rows_per_salt)
-    joined = salted_join(joined, orders, ["order_id"], "inner", ["id", "callback_ms"], rows_per_salt, payments)
+    joined = payments.join(requests, ["order_id", "sku_id"])
+    joined = salted_join(joined, orders, ["order_id"], "inner", ["id", "callback_ms"], hot)
     joined = lookup(joined, dictionary, "payment_type_code", "dic_code", {"dic_name": "payment_type_name"}, "inner")
     when = from_millis(F.col("callback_ms"))
     return joined.withColumn("date_id", date_text(when)).withColumn("callback_time", datetime_text(when))
@@ -127,7 +126,7 @@ def rated_comments(comments: DataFrame, hashed_dictionary: DataFrame, default: s
 
 
 def comments_with_orders(
-    comments: DataFrame, orders: DataFrame, within_ms: int = 60_000, rows_per_salt: int | None = ROWS_PER_SALT
+    comments: DataFrame, orders: DataFrame, within_ms: int = 60_000, hot: Sequence = ()
 ) -> DataFrame:
     """Comments and the order changes up to a minute around them, order fields prefixed ``info_``.
 
@@ -135,6 +134,6 @@ def comments_with_orders(
     """
     info = orders.select(F.col("id").alias("order_id"), *[F.col(c).alias(f"info_{c}") for c in orders.columns])
     pairs = interval_join(
-        comments, info, ["order_id"], "ts_ms", "info_tm_ms", -within_ms, within_ms, ["id"], rows_per_salt
+        comments, info, ["order_id"], "ts_ms", "info_tm_ms", -within_ms, within_ms, ["id"], hot
     )
     return pairs.withColumn("ds", compact_date_text(from_millis(F.col("ts_ms"))))

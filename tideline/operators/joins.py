@@ -1,4 +1,4 @@
-"""Joins: salted equi joins, keyed interval joins and dictionary lookups.
+"""Joins: equi joins with named hot keys, keyed interval joins and dictionary lookups.
 
 Dimension sides carry no broadcast hint.  Catalyst broadcasts a side whose
 size it knows to be under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
@@ -12,32 +12,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ROWS_PER_SALT = 2_000_000
-TRACKED_KEYS = 64
+#: Salts over which the rows of a named key are spread.
+SALTS = 64
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> dict[int, int]:
-    """Number of salts per key hash, for the keys with more than ``rows_per_salt`` rows.
+def is_hot(on: Sequence[str], hot: Sequence) -> Column:
+    """Whether the row's key is one of the named ones; ``hot`` holds values, or tuples for several columns.
 
-    One job over the key columns alone: a heavy-hitter sketch per scan task, no
-    shuffle of rows, and at most ``TRACKED_KEYS`` pairs of numbers as its
-    result.  It runs while the plan is built, so both sides of a join work with
-    the same salts; a subquery evaluated twice could disagree with itself.  A
-    key the sketch misses only stays unsalted.  A stream has no hot keys here.
+    Compared with ``=``, as the join compares the two sides, so the sides agree
+    whatever the types of their key columns.
     """
-    if df.isStreaming:
-        return {}
-    counted = df.select(F.xxhash64(*on).alias("h")).selectExpr(
-        f"approx_top_k(h, {TRACKED_KEYS}, {TRACKED_KEYS * 8}) AS top"
-    )
-    hot = counted.selectExpr(f"filter(top, x -> x.count > {rows_per_salt}) AS hot").first().hot
-    return {x.item: -(-x["count"] // rows_per_salt) for x in hot or []}
-
-
-def salt_count(hot: dict[int, int], on: Sequence[str]) -> Column:
-    """Salts of the row's key, null when the key is not hot."""
-    entries = F.create_map(*[F.lit(v).cast(t) for h, n in hot.items() for v, t in ((h, "bigint"), (n, "int"))])
-    return F.try_element_at(entries, F.xxhash64(*on))
+    rows = [h if isinstance(h, tuple) else (h,) for h in hot]
+    if any(len(r) != len(on) for r in rows):
+        raise ValueError(f"named keys need {len(on)} values: {', '.join(on)}")
+    named = F.lit(False)
+    for row in rows:
+        same = F.lit(True)
+        for c, value in zip(on, row):
+            same = same & (F.col(c) == F.lit(value))
+        named = named | same
+    return F.coalesce(named, F.lit(False))
 
 
 def salted_joins(
@@ -45,38 +39,35 @@ def salted_joins(
     sides: Sequence[tuple[DataFrame, str]],
     on: Sequence[str],
     spread: Sequence[str] = (),
-    rows_per_salt: int | None = ROWS_PER_SALT,
-    sketch: DataFrame | None = None,
+    hot: Sequence = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Equi joins on one key of a ``many`` side that may hold a very frequent key.
 
     ``sides`` are ``(table, how)`` with ``how`` one of ``inner``, ``left``,
-    ``left_semi`` and ``left_anti``.  Rows of a hot key are spread over salts by
-    a hash of their ``spread`` columns, which should tell the rows of one key
-    apart, and the matching rows of a side are repeated once per salt; every
-    other key is joined as usual.  ``many`` is shuffled once for all sides.
-
-    The keys are sketched on ``many`` unless ``sketch`` names a cheaper table
-    with the same key distribution, which matters when ``many`` is itself the
-    result of a join.  Without hot keys, without ``spread`` or with
-    ``rows_per_salt=None`` the plan is that of the plain joins, with AQE behind.
+    ``left_semi`` and ``left_anti``.  By itself this is the plain join: AQE
+    measures the shuffled partitions and splits the skewed ones.  It cannot
+    split where an aggregate needs the same partitioning; for that case the
+    caller may name ``hot`` keys.  Their rows are spread over ``salts`` by a
+    hash of their ``spread`` columns, which should tell the rows of one key
+    apart, and the matching rows of a side are repeated once per salt.
+    Building the plan starts no job.
     """
     for _, how in sides:
         if how not in ("inner", "left", "left_semi", "left_anti"):
             raise ValueError(f"unsupported join type: {how}")
-    hot = {}
-    if rows_per_salt is not None and spread:
-        hot = hot_keys(many if sketch is None else sketch, on, rows_per_salt)
     if not hot:
         for one, how in sides:
             many = many.join(one, list(on), how)
         return many
-    salts = F.coalesce(salt_count(hot, on), F.lit(1))
+    if not spread:
+        raise ValueError("salting needs columns to spread the rows by")
     joined = many.withColumn(
-        "_salt", F.when(salts > 1, F.pmod(F.xxhash64(*spread), salts).cast("int")).otherwise(0)
+        "_salt", F.when(is_hot(on, hot), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
     )
     for one, how in sides:
-        repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        last = F.when(is_hot(on, hot), salts - 1).otherwise(0)
+        repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
         joined = joined.join(repeated, [*on, "_salt"], how)
     return joined.drop("_salt")
 
@@ -87,11 +78,11 @@ def salted_join(
     on: Sequence[str],
     how: str = "inner",
     spread: Sequence[str] = (),
-    rows_per_salt: int | None = ROWS_PER_SALT,
-    sketch: DataFrame | None = None,
+    hot: Sequence = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """:func:`salted_joins` with one side."""
-    return salted_joins(many, [(one, how)], on, spread, rows_per_salt, sketch)
+    return salted_joins(many, [(one, how)], on, spread, hot, salts)
 
 
 def interval_join(
@@ -103,38 +94,37 @@ def interval_join(
     lower_ms: int,
     upper_ms: int,
     spread: Sequence[str] = (),
-    rows_per_salt: int | None = ROWS_PER_SALT,
-    sketch: DataFrame | None = None,
+    hot: Sequence = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Pairs with equal keys and ``lower_ms <= right - left <= upper_ms``, both ends included.
 
     Time is cut into slices as wide as the interval and the slice joins the
     equi key: a right row lies in one slice, a left row looks into at most two,
     so a key with very many rows is spread over time instead of compared
-    all-against-all.  Slices that are still hot on the left are salted by
-    ``spread``.  Column names other than the keys must differ between the sides.
+    all-against-all.  AQE splits slices that are still skewed; ``hot`` names
+    keys to salt by ``spread`` beforehand, as in :func:`salted_joins`.  Column
+    names other than the keys must differ between the sides.
     """
     width = max(upper_ms - lower_ms, 1)
 
     def slice_of(ms: Column) -> Column:
         return F.floor(ms / width)
 
-    def probes(df: DataFrame) -> DataFrame:
-        first, last = slice_of(F.col(left_ms) + lower_ms), slice_of(F.col(left_ms) + upper_ms)
-        return df.withColumn("_slice", F.explode(F.sequence(first, last)))
-
-    probe = probes(left)
+    first, last = slice_of(F.col(left_ms) + lower_ms), slice_of(F.col(left_ms) + upper_ms)
+    probe = left.withColumn("_slice", F.explode(F.sequence(first, last)))
     build = right.withColumn("_slice", slice_of(F.col(right_ms)))
-    pairs = salted_join(
-        probe, build, [*on, "_slice"], "inner", spread, rows_per_salt, None if sketch is None else probes(sketch)
-    )
+    if hot:
+        salt = F.when(is_hot(on, hot), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+        last_salt = F.when(is_hot(on, hot), salts - 1).otherwise(0)
+        probe = probe.withColumn("_salt", salt)
+        build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
+        pairs = probe.join(build, [*on, "_slice", "_salt"]).drop("_salt")
+    else:
+        pairs = probe.join(build, [*on, "_slice"])
     return pairs.where((F.col(right_ms) - F.col(left_ms)).between(lower_ms, upper_ms)).drop("_slice")
 
 
-def with_prefix(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select([F.col(c).alias(prefix + c) for c in df.columns])
-
-
 def merge_right_wins(pairs: DataFrame, left: Sequence[str], right: Sequence[str], prefix: str) -> DataFrame:
     """Merge two records after a join: on equal names the right value wins.
 
@@ -157,29 +147,23 @@ def lookup(
     columns: dict[str, str],
     how: str = "left",
     default: str | None = None,
-    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Add dimension ``columns`` (dimension name to output name) for ``key``.
 
     ``left`` leaves a row without a match as it is (or fills ``default``),
-    ``inner`` drops it.  ``dim_key`` must be unique in ``dim``.  ``spread``
-    salts a frequent key, for facts looked up in a dimension too large to
-    broadcast; a small one is broadcast either way.
+    ``inner`` drops it.  ``dim_key`` must be unique in ``dim``.
     """
     side = dim.select(F.col(dim_key).alias(key), *[F.col(c).alias(out) for c, out in columns.items()])
-    joined = salted_join(df, side, [key], how, spread)
+    joined = df.join(side, key, how)
     if default is not None:
         joined = joined.fillna(default, list(columns.values()))
     return joined
 
 
-def lookup_chain(df: DataFrame, steps: Sequence[tuple], how: str = "left", spread: Sequence[str] = ()) -> DataFrame:
-    """Follow a snowflake: each step is ``(dim, key, dim_key, columns)`` and may use columns of earlier steps.
-
-    ``spread`` salts the first step, the one whose key the rows bring along.
-    """
-    for i, (dim, key, dim_key, columns) in enumerate(steps):
-        df = lookup(df, dim, key, dim_key, columns, how, spread=() if i else spread)
+def lookup_chain(df: DataFrame, steps: Sequence[tuple], how: str = "left") -> DataFrame:
+    """Follow a snowflake: each step is ``(dim, key, dim_key, columns)`` and may use columns of earlier steps."""
+    for dim, key, dim_key, columns in steps:
+        df = lookup(df, dim, key, dim_key, columns, how)
     return df
 
 
@@ -189,17 +173,13 @@ def missing_keys(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataF
     return df.groupBy(key).agg(F.count("*").alias("rows")).join(side, key, "left_anti")
 
 
-def member_flag(
-    df: DataFrame, words: DataFrame, column: str, word: str, out: str, spread: Sequence[str] = ()
-) -> DataFrame:
+def member_flag(df: DataFrame, words: DataFrame, column: str, word: str, out: str) -> DataFrame:
     """1 when ``column`` is in the word set, else 0."""
     side = words.select(F.col(word).alias(column)).distinct().withColumn(out, F.lit(1))
-    return salted_join(df, side, [column], "left", spread).fillna(0, [out])
+    return df.join(side, column, "left").fillna(0, [out])
 
 
-def members(
-    df: DataFrame, words: DataFrame, column: str, word: str, negate: bool = False, spread: Sequence[str] = ()
-) -> DataFrame:
+def members(df: DataFrame, words: DataFrame, column: str, word: str, negate: bool = False) -> DataFrame:
     """Rows whose ``column`` is (not) in the word set."""
     side = words.select(F.col(word).alias(column))
-    return salted_join(df, side, [column], "left_anti" if negate else "left_semi", spread)
+    return df.join(side, column, "left_anti" if negate else "left_semi")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions import labels
 from tideline.operators.cdc import of_table, row_image
-from tideline.operators.joins import ROWS_PER_SALT, interval_join
+from tideline.operators.joins import interval_join
 from tideline.operators.keyed import first_per_key
 
 MINUTE = 60_000
@@ -63,16 +65,16 @@ def body_records(changes: DataFrame, table: str = "user_info_sup_msg") -> DataFr
 
 
 def profiles(
-    users: DataFrame, bodies: DataFrame, within_ms: int = MINUTE, rows_per_salt: int | None = ROWS_PER_SALT
+    users: DataFrame, bodies: DataFrame, within_ms: int = MINUTE, hot: Sequence = ()
 ) -> DataFrame:
     """Users with the body measures recorded within a minute of them."""
     return interval_join(
-        users, bodies, ["uid"], "ts_ms", "body_ms", -within_ms, within_ms, ["login_name"], rows_per_salt
+        users, bodies, ["uid"], "ts_ms", "body_ms", -within_ms, within_ms, ["login_name"], hot
     ).drop("body_ms")
 
 
 def profiled_orders(
-    people: DataFrame, orders: DataFrame, within_ms: int = MINUTE // 2, rows_per_salt: int | None = ROWS_PER_SALT
+    people: DataFrame, orders: DataFrame, within_ms: int = MINUTE // 2, hot: Sequence = ()
 ) -> DataFrame:
     """Profiles and the orders within half a minute of them.
 
@@ -80,29 +82,27 @@ def profiled_orders(
     category and brand names.
     """
     return interval_join(
-        orders, people, ["uid"], "order_ms", "ts_ms", -within_ms, within_ms, ["create_ms", "order_id"], rows_per_salt
+        orders, people, ["uid"], "order_ms", "ts_ms", -within_ms, within_ms, ["create_ms", "order_id"], hot
     )
 
 
 def searched_orders(
-    orders: DataFrame, searches: DataFrame, within_ms: int = 60 * MINUTE, rows_per_salt: int | None = ROWS_PER_SALT,
-    sketch: DataFrame | None = None,
+    orders: DataFrame, searches: DataFrame, within_ms: int = 60 * MINUTE, hot: Sequence = (),
 ) -> DataFrame:
     """Order records and the searches ``(uid, search_ms, os, keyword)`` of the user within an hour."""
     return interval_join(
         orders, searches, ["uid"], "order_ms", "search_ms", -within_ms, within_ms, ["order_id", "ts_ms"],
-        rows_per_salt, sketch,
+        hot,
     )
 
 
 def with_topic(
-    orders: DataFrame, topics: DataFrame, within_ms: int = 3 * DAY, rows_per_salt: int | None = ROWS_PER_SALT,
-    sketch: DataFrame | None = None,
+    orders: DataFrame, topics: DataFrame, within_ms: int = 3 * DAY, hot: Sequence = (),
 ) -> DataFrame:
     """Add the topic of the search word from dictionary changes ``(keyword, topic_ms, keyword_type)``."""
     return interval_join(
         orders, topics.where(F.col("keyword_type").isNotNull()), ["keyword"], "order_ms", "topic_ms",
-        -within_ms, within_ms, ["order_id", "search_ms"], rows_per_salt, sketch,
+        -within_ms, within_ms, ["order_id", "search_ms"], hot,
     )
 
 
@@ -116,7 +116,7 @@ def scored(orders: DataFrame, group: str | None = labels.AGE_GROUPS[0]) -> DataF
 def age_label_job(
     people: DataFrame, orders: DataFrame, searches: DataFrame, topics: DataFrame,
     group: str | None = labels.AGE_GROUPS[0], profile_ms: int = MINUTE // 2, search_ms: int = 60 * MINUTE,
-    topic_ms: int = 3 * DAY, rows_per_salt: int | None = ROWS_PER_SALT,
+    topic_ms: int = 3 * DAY, hot: Sequence = (),
 ) -> DataFrame:
     """The whole chain from profiles to scored label records.
 
@@ -124,8 +124,6 @@ def age_label_job(
     the joins instead of after them.
     """
     wanted = people if group is None else people.where(F.col("age_group") == group)
-    found = profiled_orders(wanted, orders, profile_ms, rows_per_salt)
-    # The later joins look for hot keys in their inputs, not in the join before.
-    found = searched_orders(found, searches, search_ms, rows_per_salt, orders.select("uid", "order_ms"))
-    terms = searches.select("keyword", F.col("search_ms").alias("order_ms"))
-    return scored(with_topic(found, topics, topic_ms, rows_per_salt, terms), group)
+    found = profiled_orders(wanted, orders, profile_ms, hot)
+    found = searched_orders(found, searches, search_ms, hot)
+    return scored(with_topic(found, topics, topic_ms), group)

@@ -154,7 +154,7 @@ def province_order_window(
 
 
 def sku_order_window(
-    details: DataFrame, bucket: Column, width: str = "10 seconds", sku: str = "sku_id",
+    details: DataFrame, width: str = "10 seconds", sku: str = "sku_id",
     measures: dict[str, str] | None = None, keys: Sequence[str] = ("id",),
     order: Sequence[str] = ("ts_ms", "seq"), ttl_ms: int | None = None, tz: str = "UTC",
 ) -> DataFrame:
@@ -167,7 +167,7 @@ def sku_order_window(
     }
     rows = keyed.mark_superseded(
         details.select(*dict.fromkeys([*keys, *order, "ts_ms", sku, *measures])),
-        list(keys), list(order), bucket, "ts_ms", ttl_ms,
+        list(keys), list(order), "ts_ms", ttl_ms,
     ).withColumn("_ts", from_millis(F.col("ts_ms")))
     # A negated copy would fall into the window of the row it cancels, so the
     # row counts as zero there and no copy is made.

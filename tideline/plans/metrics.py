@@ -8,7 +8,7 @@ from tideline.functions.text import register_word_function
 from tideline.operators import keyed, windows
 from tideline.operators.joins import lookup, lookup_chain, salted_join
 from tideline.plans import sql
-from tideline.plans.tables import ORDER, as_double, day_slice, details, month_slice, orders, page_log, table
+from tideline.plans.tables import ORDER, as_double, details, orders, page_log, table
 
 DAY = 86_400
 
@@ -46,7 +46,7 @@ def login_window(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_unique_arrival(spark: SparkSession, folder: str) -> DataFrame:
     pages = page_log(spark, folder).select("seq", "mid", "ts")
-    flagged = keyed.daily_unique_by_arrival(pages, ["mid"], "ts", ["seq"], F.floor(F.col("seq") / 4096))
+    flagged = keyed.daily_unique_by_arrival(pages, ["mid"], "ts", ["seq"], "seq")
     return flagged.select("seq", "mid", "uv_ct")
 
 
@@ -90,9 +90,9 @@ def _keywords_sql(seconds: int) -> str:
 
 def _province(spark: SparkSession, folder: str, legacy: bool) -> DataFrame:
     lines = details(spark, folder).select("id", "order_id", "split_total_amount", *ORDER)
-    marked = keyed.mark_superseded(lines, ["id"], ORDER, month_slice())
+    marked = keyed.mark_superseded(lines, ["id"], ORDER)
     placed = orders(spark, folder).select("order_id", "province_id")
-    located = salted_join(marked, placed, ["order_id"], "inner", ["id", "ts_ms"], sketch=lines)
+    located = salted_join(marked, placed, ["order_id"])
     net = windows.province_order_window(located, "1 day", legacy_count=legacy)
     nation = table(spark, folder, "nation")
     named = lookup(net, nation, "province_id", "n_nationkey", {"n_name": "province_name"})
@@ -121,7 +121,7 @@ def _province_sql(legacy: bool) -> str:
 
 def sku_order_window(spark: SparkSession, folder: str) -> DataFrame:
     """Product amounts with a chain of dimensions: part, then supplier, nation and region."""
-    net = windows.sku_order_window(details(spark, folder), month_slice(), "1 day", order=ORDER)
+    net = windows.sku_order_window(details(spark, folder), "1 day", order=ORDER)
     part = table(spark, folder, "part").select(
         "p_partkey", "p_name", "p_brand",
         # The sample parts name no supplier; any fixed one serves as the next step.
@@ -157,7 +157,7 @@ FROM net LEFT JOIN part ON sku_id = p_partkey LEFT JOIN supplier ON p_partkey %
 
 def retract_dedup(spark: SparkSession, folder: str) -> DataFrame:
     lines = details(spark, folder).select("id", *ORDER)
-    rows = keyed.retract(lines, ["id"], ORDER, ["split_original_amount"], month_slice())
+    rows = keyed.retract(lines, ["id"], ORDER, ["split_original_amount"])
     return as_double(rows, "split_original_amount")
 
 
@@ -165,7 +165,7 @@ def retract_dedup_ttl(spark: SparkSession, folder: str) -> DataFrame:
     """A version is only taken back when the next one follows within 200 days."""
     lines = details(spark, folder).select("id", *ORDER)
     rows = keyed.retract(
-        lines, ["id"], ORDER, ["split_original_amount"], month_slice(), "ts_ms", 200 * DAY * 1000
+        lines, ["id"], ORDER, ["split_original_amount"], "ts_ms", 200 * DAY * 1000
     )
     return as_double(rows, "split_original_amount")
 
@@ -191,7 +191,7 @@ def user_running_profile(spark: SparkSession, folder: str) -> DataFrame:
     pages = page_log(spark, folder).select("seq", "ts_ms", "ts", "mid", "os", "ch", "md", "ba", F.when(
         F.col("item_type") == "keyword", F.col("item")).alias("search_item"))
     sets = ["os", "ch", "md", "ba", "search_item"]
-    return keyed.running_profile(pages, "mid", ["ts", "seq"], sets, day_slice()).drop("ts")
+    return keyed.running_profile(pages, "mid", ["ts", "seq"], sets, "ts").drop("ts")
 
 
 _PROFILE_SQL = f"""WITH {sql.LOG}, r AS (

@@ -1,4 +1,9 @@
-"""Streaming jobs over the sample tables: run until the input is used up, then read the result back."""
+"""Streaming jobs over the sample tables: run until the input is used up, then read the result back.
+
+A table arrives in slices of event time.  After each slice the job is started
+again from its checkpoint, so state, watermarks and restarts all take part in
+the result.
+"""
 
 from __future__ import annotations
 
@@ -12,10 +17,11 @@ from tideline.operators import applog, cdc, windows
 from tideline.plans import metrics, sql
 from tideline.plans.feeds import order_changes
 from tideline.plans.tables import (
-    ORDER, app_log_text, as_details, as_double, as_page_log, day_slice, literal_rows, month_slice, stream,
+    ORDER, app_log_text, as_details, as_double, as_page_log, literal_rows, table,
 )
 from tideline.session import new_folder, partitions_for
 from tideline.sinks.writers import BatchTable, newest_rows, write_kinds
+from tideline.sources.readers import read_files
 from tideline.streaming import history, processors
 from tideline.streaming.joins import interval_join_stream
 from tideline.streaming.runner import Job, bounded_delay, monotonous
@@ -23,28 +29,59 @@ from tideline.streaming.runner import Job, bounded_delay, monotonous
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
 
+SLICES = 3
+TIMES = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate"}
+
+
+class Feed:
+    """A sample table that arrives in ``SLICES`` parts, one after the other in event time."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str):
+        self.folder = folder
+        self.rows = table(spark, folder, name)
+        self.micros = F.coalesce(F.unix_micros(TIMES[name]), F.lit(-(1 << 62)))
+        cuts = [k / SLICES for k in range(1, SLICES)]
+        edges = self.rows.select(self.micros.alias("t")).approxQuantile("t", cuts, 0.01) or [0] * len(cuts)
+        self.bounds = [-(1 << 63), *map(int, edges), (1 << 63) - 1]
+        self.path = new_folder(spark, f"feed-{name}")
+        self.land(0)
+        self.stream = read_files(spark, self.path, self.rows.schema)
+
+    def land(self, k: int) -> None:
+        part = self.rows.where((self.micros >= self.bounds[k]) & (self.micros < self.bounds[k + 1]))
+        part.write.mode("append").parquet(self.path)
+
+    def run(self, job: Job, source: DataFrame) -> None:
+        """Run ``job`` on ``source``, made of ``stream``, once for each slice."""
+        for k in range(SLICES):
+            if k:
+                self.land(k)
+            job.run(source)
+
+
 def _run(
-    spark: SparkSession, folder: str, name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
+    spark: SparkSession, feed: Feed, name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
     mode: str = "append",
 ) -> DataFrame:
     """Run a job whose batches, after ``each``, land in a batch table; returns that table.
 
-    The state is partitioned for the size of ``folder``.
+    The state is partitioned for the size of the input.
     """
-    table = BatchTable(spark, new_folder(spark, name))
+    found = BatchTable(spark, new_folder(spark, name))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write(each(batch, batch_id) if each else batch, batch_id)
+        found.write(each(batch, batch_id) if each else batch, batch_id)
 
-    Job(
+    feed.run(Job(
         name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode,
-        persist=each is not None, partitions=partitions_for(spark, folder),
-    ).run(source)
-    return table.read(schema)
+        persist=each is not None, partitions=partitions_for(spark, feed.folder),
+    ), source)
+    return found.read(schema)
 
 
-def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return as_page_log(stream(spark, folder, "events"))
+def _pages(spark: SparkSession, folder: str) -> tuple[Feed, DataFrame]:
+    feed = Feed(spark, folder, "events")
+    return feed, as_page_log(feed.stream)
 
 
 def _state(spark: SparkSession, name: str) -> BatchTable:
@@ -69,6 +106,7 @@ TRAFFIC = T.StructType(
 
 def stream_traffic(spark: SparkSession, folder: str) -> DataFrame:
     """Traffic metrics: each batch stores its partial sums, the reader adds them up."""
+    feed, pages = _pages(spark, folder)
     seen = _state(spark, "traffic-seen")
     dims = ["vc", "ch", "ar", "is_new"]
     zero = F.lit(0).cast("bigint")
@@ -88,7 +126,7 @@ def stream_traffic(spark: SparkSession, folder: str) -> DataFrame:
         )
         return views.unionByName(visitors)
 
-    parts = _run(spark, folder, "stream-traffic", _pages(spark, folder), TRAFFIC, partial)
+    parts = _run(spark, feed, "stream-traffic", pages, TRAFFIC, partial)
     return windows.tumble(
         parts, "w", "10 seconds", dims, [windows.total(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")]
     )
@@ -96,22 +134,24 @@ def stream_traffic(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_daily_unique(spark: SparkSession, folder: str) -> DataFrame:
     """First visit of each visitor and day, with keyed state."""
-    rows = _pages(spark, folder).select("mid", "seq", "ts", F.to_date("ts").alias("visit_date"))
+    feed, pages = _pages(spark, folder)
+    rows = pages.select("mid", "seq", "ts", F.to_date("ts").alias("visit_date"))
     out = processors.daily_unique_stream(rows, "mid", ["ts", "seq"])
-    found = _run(spark, folder, "stream-daily-unique", out, rows.schema)
+    found = _run(spark, feed, "stream-daily-unique", out, rows.schema)
     return found.select("mid", "seq", date_text(F.col("visit_date")).alias("visit_date"))
 
 
 def stream_login(spark: SparkSession, folder: str) -> DataFrame:
     """Active and returning users, with keyed state."""
-    rows = windows.login_rows(_pages(spark, folder)).select("uid", "seq", "ts", F.to_date("ts").alias("visit_date"))
+    feed, pages = _pages(spark, folder)
+    rows = windows.login_rows(pages).select("uid", "seq", "ts", F.to_date("ts").alias("visit_date"))
     out = processors.returning_user_stream(rows, "uid", ["ts", "seq"])
-    marked = _run(spark, folder, "stream-login", out, out.schema)
+    marked = _run(spark, feed, "stream-login", out, out.schema)
     return windows.tumble(marked, "ts", "10 seconds", [], [windows.total("back_ct"), windows.total("uu_ct")])
 
 
 def _pay(spark: SparkSession, folder: str, name: str, hot: list[int]) -> DataFrame:
-    pages = _pages(spark, folder)
+    feed, pages = _pages(spark, folder)
     pay = pages.where("event_type = 'purchase'").select(
         "user_id", F.col("seq").alias("p_seq"), F.col("ts").alias("p_ts")
     )
@@ -121,7 +161,7 @@ def _pay(spark: SparkSession, folder: str, name: str, hot: list[int]) -> DataFra
     pairs = interval_join_stream(
         pay, click, "user_id", "p_ts", "d_ts", -30 * 60_000, 5_000, hot=hot, spread=["p_seq"]
     ).select("user_id", "p_seq", "d_seq")
-    return _run(spark, folder, name, pairs, pairs.schema).drop("batch")
+    return _run(spark, feed, name, pairs, pairs.schema).drop("batch")
 
 
 def stream_pay(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,47 +176,52 @@ def stream_pay_salted(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct pairs of user and page, remembered for ever in the state store."""
-    pairs = _pages(spark, folder).select("user_id", "page_id").dropDuplicates(["user_id", "page_id"])
-    return _run(spark, folder, "stream-dedup", pairs, pairs.schema).drop("batch")
+    feed, pages = _pages(spark, folder)
+    pairs = pages.select("user_id", "page_id").dropDuplicates(["user_id", "page_id"])
+    return _run(spark, feed, "stream-dedup", pairs, pairs.schema).drop("batch")
 
 
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     """Earliest row of every user and page, repeats dropped ahead of the shuffle."""
     seen = _state(spark, "first-seen")
-    rows = _pages(spark, folder).select("user_id", "page_id", "ts", "seq")
+    feed, pages = _pages(spark, folder)
+    rows = pages.select("user_id", "page_id", "ts", "seq")
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.first_seen(batch, batch_id, seen, ["user_id", "page_id"], ["ts", "seq"])
 
-    return _run(spark, folder, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
+    return _run(spark, feed, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
 
 
 def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct user and day, forgotten once a day is over."""
-    rows = bounded_delay(_pages(spark, folder).select("user_id", F.date_trunc("day", "ts").alias("day")), "day", "1 day")
+    feed, pages = _pages(spark, folder)
+    rows = bounded_delay(pages.select("user_id", F.date_trunc("day", "ts").alias("day")), "day", "1 day")
     out = rows.dropDuplicatesWithinWatermark(["user_id", "day"])
-    found = _run(spark, folder, "stream-dedup-watermark", out, out.schema)
+    found = _run(spark, feed, "stream-dedup-watermark", out, out.schema)
     return found.select("user_id", date_text(F.col("day")).alias("day"))
 
 
 def stream_retract(spark: SparkSession, folder: str) -> DataFrame:
     """Order-line versions with the ones they replace taken back."""
     versions = _state(spark, "retract-versions")
-    rows = as_details(stream(spark, folder, "lineitem")).select("id", *ORDER)
+    feed = Feed(spark, folder, "lineitem")
+    rows = as_details(feed.stream).select("id", *ORDER)
     schema = T.StructType(rows.schema.fields + _text("row_kind"))
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.retractions(
-            batch, batch_id, versions, ["id"], ORDER, ["split_original_amount"], month_slice()
+            batch, batch_id, versions, ["id"], ORDER, ["split_original_amount"]
         )
 
-    return as_double(_run(spark, folder, "stream-retract", rows, schema, each).drop("batch"), "split_original_amount")
+    return as_double(_run(spark, feed, "stream-retract", rows, schema, each).drop("batch"), "split_original_amount")
 
 
 def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Running profile of each user."""
     sets = ["os", "ch", "md", "ba", "search_item"]
-    rows = _pages(spark, folder).select(
+    feed, pages = _pages(spark, folder)
+    rows = pages.select(
         "seq", "ts_ms", "ts", "mid", "os", "ch", "md", "ba",
         F.when(F.col("item_type") == "keyword", F.col("item")).alias("search_item"),
     )
@@ -184,26 +229,28 @@ def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
     schema = T.StructType(_long("seq", "ts_ms") + _text("mid") + _long("pv") + _text(*sets))
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
-        return history.profiles(batch, batch_id, totals, "mid", ["ts", "seq"], sets, day_slice()).drop("ts")
+        return history.profiles(batch, batch_id, totals, "mid", ["ts", "seq"], sets, "ts").drop("ts")
 
-    return _run(spark, folder, "stream-profile", rows, schema, each).drop("batch")
+    return _run(spark, feed, "stream-profile", rows, schema, each).drop("batch")
 
 
 def stream_visitor_repair(spark: SparkSession, folder: str) -> DataFrame:
     """New-visitor flags corrected by the first day of each visitor."""
     origins = _state(spark, "visitor-origins")
-    rows = _pages(spark, folder).select("seq", "mid", "ts", "is_new", F.col("is_new").alias("is_new_fixed"))
+    feed, pages = _pages(spark, folder)
+    rows = pages.select("seq", "mid", "ts", "is_new", F.col("is_new").alias("is_new_fixed"))
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
         return history.repaired_visitors(batch, batch_id, origins, "mid", "ts", "is_new_fixed", ["ts", "seq"])
 
-    return _run(spark, folder, "stream-visitor-repair", rows, rows.schema, each).drop("batch", "ts")
+    return _run(spark, feed, "stream-visitor-repair", rows, rows.schema, each).drop("batch", "ts")
 
 
 def stream_route(spark: SparkSession, folder: str) -> DataFrame:
     """Order changes routed into a dimension store by a configuration that each batch reads again."""
     store = _state(spark, "route-store")
-    changes = order_changes(stream(spark, folder, "orders"))
+    feed = Feed(spark, folder, "orders")
+    changes = order_changes(feed.stream)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         config = cdc.current_config(
@@ -216,7 +263,7 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
         )
         history.routed_upserts(cdc.keep_changes(batch, "shop"), batch_id, config, store)
 
-    Job("stream-route", new_folder(spark, "stream-route-checkpoint"), each_batch=each, interval=None).run(changes)
+    feed.run(Job("stream-route", new_folder(spark, "stream-route-checkpoint"), each_batch=each, interval=None), changes)
     schema = T.StructType(
         _text("sink_table", "sink_family", "row_key", "op") + _long("ts_ms")
         + [T.StructField("data", T.MapType(T.StringType(), T.StringType()))]
@@ -225,38 +272,55 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.merge_cells(rows, ["sink_table", "row_key"])
 
 
+#: Payload columns of the five outputs, as text for the comparison.
+_FANOUT = {
+    "page": "concat_ws('|', common.mid, page.page_id, page.item, page.during_time, ts)",
+    "display": "concat_ws('|', common.mid, page.page_id, display.pos_seq, display.item, ts)",
+    "action": "concat_ws('|', common.mid, page.page_id, action['action_id'])",
+    "start": "concat_ws('|', common.mid, start['entry'], ts)",
+    "err": "concat_ws('|', common.mid, err['code'], ts)",
+}
+
+
 def stream_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """One log stream written to five outputs; the log is parsed once per batch."""
+    """One log stream written to five outputs and one of unreadable text; the log is parsed once per batch.
+
+    Every seventh record is unreadable.  All outputs hold whole records.
+    """
     path = new_folder(spark, "fanout")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        log = applog.clean(applog.parse_log(batch)).persist()
+        log = applog.parse_log(batch).persist()
         try:
-            kinds = applog.split_log(log, keep=("seq",))
-            write_kinds({name: df.select("seq", F.lit(name).alias("kind")) for name, df in kinds.items()}, path, batch_id)
+            kinds = dict(applog.split_log(applog.clean(log), keep=("seq",)))
+            write_kinds(kinds | {"dirty": applog.dirty(log).select("seq", "value")}, path, batch_id)
         finally:
             log.unpersist()
 
-    source = app_log_text(_pages(spark, folder))
-    Job("stream-fanout", new_folder(spark, "fanout-checkpoint"), each_batch=each, interval=None).run(source)
-    schema = T.StructType(_long("seq") + _text("kind"))
-    outputs = [BatchTable(spark, f"{path}/{kind}").read(schema) for kind in applog.KINDS]
-    merged = outputs[0]
-    for df in outputs[1:]:
+    feed, pages = _pages(spark, folder)
+    source = app_log_text(pages).withColumn("value", F.expr("if(seq % 7 = 3, concat('broken ', seq), value)"))
+    feed.run(Job("stream-fanout", new_folder(spark, "fanout-checkpoint"), each_batch=each, interval=None), source)
+    outputs = [
+        spark.read.parquet(f"{path}/{kind}").selectExpr(f"'{kind}' AS kind", "seq", f"{payload} AS payload")
+        for kind, payload in _FANOUT.items()
+    ]
+    merged = spark.read.parquet(f"{path}/dirty").selectExpr("'dirty' AS kind", "seq", "value AS payload")
+    for df in outputs:
         merged = merged.unionByName(df)
-    return merged.groupBy("kind", "seq").agg(F.count("*").alias("n"))
+    return merged
 
 
 def stream_keyword(spark: SparkSession, folder: str) -> DataFrame:
     """Search words per window in update mode; the newest count of a window wins."""
-    searches = windows.search_rows(monotonous(_pages(spark, folder), "ts"))
+    feed, pages = _pages(spark, folder)
+    searches = windows.search_rows(monotonous(pages, "ts"))
     counts = (
         explode_words(searches.select("ts", "item"), "item")
         .groupBy(F.window("ts", "1 hour"), "keyword")
         .agg(F.count("*").alias("keyword_count"))
         .select(*windows.window_bounds(), "keyword", "keyword_count")
     )
-    rows = _run(spark, folder, "stream-keyword", counts, counts.schema, mode="update")
+    rows = _run(spark, feed, "stream-keyword", counts, counts.schema, mode="update")
     return newest_rows(rows, ["stt", "edt", "cur_date", "keyword"]).drop("batch")
 
 
@@ -300,11 +364,14 @@ ORACLE = {
     FROM (SELECT o_orderkey, unnest(['o_orderkey', 'o_custkey', 'o_orderpriority']) AS c,
       unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderpriority]) AS x
       FROM orders WHERE o_orderstatus <> 'F')""",
-    "stream_fanout": f"""WITH {sql.LOG}, body AS (SELECT * FROM log WHERE event_type <> 'signup')
-    SELECT 'page' AS kind, seq, 1 AS n FROM body
-    UNION ALL SELECT 'err', seq, 1 FROM log WHERE event_type = 'error'
-    UNION ALL SELECT 'start', seq, 1 FROM log WHERE event_type = 'signup'
-    UNION ALL SELECT 'display', seq, k % 4 FROM body WHERE k % 4 > 0
-    UNION ALL SELECT 'action', seq, k % 4 - 1 FROM body WHERE k % 4 > 1""",
+    "stream_fanout": f"""WITH {sql.LOG}, body AS (SELECT * FROM log WHERE event_type <> 'signup' AND seq % 7 <> 3)
+    SELECT 'page' AS kind, seq, concat_ws('|', mid, page_id, item, during_time, ts_ms) AS payload FROM body
+    UNION ALL SELECT 'err', seq, concat_ws('|', mid, k, ts_ms) FROM log WHERE event_type = 'error' AND seq % 7 <> 3
+    UNION ALL SELECT 'start', seq, concat_ws('|', mid, ch, ts_ms) FROM log WHERE event_type = 'signup' AND seq % 7 <> 3
+    UNION ALL SELECT 'display', seq, concat_ws('|', mid, page_id, i, 'd' || i, ts_ms)
+      FROM (SELECT *, unnest(range(1, k % 4 + 1)) AS i FROM body)
+    UNION ALL SELECT 'action', seq, concat_ws('|', mid, page_id, 'a' || i)
+      FROM (SELECT *, unnest(range(2, k % 4 + 1)) AS i FROM body)
+    UNION ALL SELECT 'dirty', seq, 'broken ' || seq FROM log WHERE seq % 7 = 3""",
     "stream_keyword": metrics.ORACLE["keyword_sql"],
 }

@@ -134,15 +134,6 @@ def as_details(lineitem: DataFrame) -> DataFrame:
 ORDER = ["ts_ms", "sku_id", "supplier_id", "split_original_amount"]
 
 
-def month_slice(ms: str = "ts_ms") -> Column:
-    """Bucket along event time for line versions."""
-    return F.floor(F.col(ms) / (30 * DAY_MS))
-
-
-def day_slice(ts: str = "ts") -> Column:
-    return F.to_date(F.col(ts))
-
-
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the province of their customer."""
     placed = table(spark, folder, "orders").select(

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.functions.text import md5_key
 from tideline.operators import cdc, facts, joins, keyed
 from tideline.plans import sql
-from tideline.plans.tables import DAY_MS, ORDER, as_double, details, literal_rows, month_slice, orders, page_log, table
+from tideline.plans.tables import DAY_MS, ORDER, as_double, details, literal_rows, orders, page_log, table
 
 AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
-def order_detail_fact(spark: SparkSession, folder: str) -> DataFrame:
+#: Keys to salt in the queries that show the salted plans; every order is joined, these ones over several salts.
+HOT_ORDERS = tuple(range(64))
+
+
+def order_detail_fact(spark: SparkSession, folder: str, hot: Sequence = ()) -> DataFrame:
     """Lines with their order, and the activity and coupon of a part of them."""
     lines = details(spark, folder)
     placed = orders(spark, folder).select("order_id", "user_id", "province_id")
@@ -26,7 +32,7 @@ def order_detail_fact(spark: SparkSession, folder: str) -> DataFrame:
     rows = lines.withColumn("create_ms", F.col("ts_ms")).withColumn(
         "line_amount", facts.line_amount(F.col("sku_num").cast("string"), F.col("split_original_amount").cast("string"))
     )
-    joined = facts.order_details(rows, placed, activities, coupons)
+    joined = facts.order_details(rows, placed, activities, coupons, hot)
     return as_double(
         joined.select(
             "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
@@ -36,6 +42,11 @@ def order_detail_fact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_detail_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``order_detail_fact``, with named orders salted."""
+    return order_detail_fact(spark, folder, HOT_ORDERS)
+
+
 def order_cancel_fact(spark: SparkSession, folder: str) -> DataFrame:
     changed = orders(spark, folder).select("order_id", "order_status", F.col("order_ms").alias("operate_ms"))
     lines = details(spark, folder).select("id", "order_id", "sku_id", "sku_num", "split_total_amount")
@@ -134,7 +145,7 @@ def comment_named(spark: SparkSession, folder: str) -> DataFrame:
 def cart_delta(spark: SparkSession, folder: str) -> DataFrame:
     """Cart changes made of successive line quantities of an order."""
     lines = details(spark, folder).select("order_id", "sku_num", *ORDER)
-    before = keyed.neighbor(lines, ["order_id"], ORDER, ["sku_num"], "old", month_slice())
+    before = keyed.neighbor(lines, ["order_id"], ORDER, ["sku_num"], "old", "ts_ms")
     first = F.when(F.col("order_id") % 2 == 0, "c").otherwise("r")
     num = F.col("sku_num").cast("string")
     changes = before.select(
@@ -180,11 +191,16 @@ def interval_minute(spark: SparkSession, folder: str) -> DataFrame:
     return joins.interval_join(users, body, ["user_id"], "a_ts_ms", "b_ts_ms", -60_000, 60_000, ["a_seq"])
 
 
-def interval_order(spark: SparkSession, folder: str) -> DataFrame:
+def interval_order(spark: SparkSession, folder: str, hot: Sequence = ()) -> DataFrame:
     """Lines and their order when both changed within 60 days of each other."""
     lines = details(spark, folder).select("id", "order_id", "sku_id", "sku_num", F.col("ts_ms").alias("detail_ms"))
     placed = orders(spark, folder).select("order_id", "user_id", "total_amount", F.col("order_ms").alias("ts_ms"))
-    return joins.interval_join(lines, placed, ["order_id"], "detail_ms", "ts_ms", -60 * DAY_MS, 60 * DAY_MS, ["id", "sku_id"])
+    return joins.interval_join(lines, placed, ["order_id"], "detail_ms", "ts_ms", -60 * DAY_MS, 60 * DAY_MS, ["id", "sku_id"], hot)
+
+
+def interval_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``interval_order``, with named orders salted."""
+    return interval_order(spark, folder, HOT_ORDERS)
 
 
 def interval_nested(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +247,7 @@ def dim_lookup_inner(spark: SparkSession, folder: str) -> DataFrame:
     return joins.lookup_chain(lines, [
         (supplier, "supplier_id", "s_suppkey", {"s_name": "spu_name", "s_nationkey": "nation_id"}),
         (table(spark, folder, "nation"), "nation_id", "n_nationkey", {"n_name": "nation_name"}),
-    ], "inner", spread=["id", "ts_ms"])
+    ], "inner")
 
 
 def dim_lookup_misses(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,7 +260,7 @@ def dim_lookup_misses(spark: SparkSession, folder: str) -> DataFrame:
 def _member(spark: SparkSession, folder: str, negate: bool) -> DataFrame:
     words = table(spark, folder, "supplier").where("s_nationkey < 5").select(F.col("s_suppkey").alias("word"))
     lines = details(spark, folder).select("id", "supplier_id", "ts_ms")
-    return joins.members(lines, words, "supplier_id", "word", negate, ["id", "ts_ms"])
+    return joins.members(lines, words, "supplier_id", "word", negate)
 
 
 def member_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -257,6 +273,7 @@ def member_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "order_detail_fact": order_detail_fact,
+    "order_detail_hot": order_detail_hot,
     "order_cancel_fact": order_cancel_fact,
     "pay_success_fact": pay_success_fact,
     "refund_fact": refund_fact,
@@ -267,6 +284,7 @@ QUERIES = {
     "interval_profile": interval_profile,
     "interval_minute": interval_minute,
     "interval_order": interval_order,
+    "interval_hot": interval_hot,
     "interval_nested": interval_nested,
     "interval_search": interval_search,
     "interval_category": interval_category,
@@ -367,3 +385,6 @@ ORACLE = {
     "member_missing": f"""WITH {sql.DETAILS} SELECT id, supplier_id, ts_ms FROM det
     WHERE supplier_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 5)""",
 }
+
+ORACLE["order_detail_hot"] = ORACLE["order_detail_fact"]
+ORACLE["interval_hot"] = ORACLE["interval_order"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tideline.functions.times import local_date
 from tideline.operators import cdc, keyed
@@ -75,14 +75,14 @@ def repaired_visitors(
 
 def retractions(
     batch: DataFrame, batch_id: int, versions: BatchTable, keys: Sequence[str], order: Sequence[str],
-    measures: Sequence[str], bucket: Column, ts_ms: str | None = None, ttl_ms: int | None = None,
+    measures: Sequence[str], ts_ms: str | None = None, ttl_ms: int | None = None,
 ) -> DataFrame:
     """Rows of this batch plus negated copies of the versions they replace, also from earlier batches."""
     stored = versions.read(batch.schema, before=batch_id)
     touched = stored.join(batch.select(*keys).distinct(), list(keys), "left_semi")
     last = keyed.latest_per_key(touched, list(keys), list(order)).drop("batch").withColumn("_old", F.lit(True))
     together = last.unionByName(batch.withColumn("_old", F.lit(False)))
-    changed = keyed.retract(together, list(keys), list(order), list(measures), bucket, ts_ms, ttl_ms)
+    changed = keyed.retract(together, list(keys), list(order), list(measures), ts_ms, ttl_ms)
     versions.write(keyed.latest_per_key(batch, list(keys), list(order)), batch_id)
     # The stored version itself was emitted by its own batch.
     return changed.where(~F.col("_old") | (F.col("row_kind") == "-")).drop("_old")
@@ -90,10 +90,10 @@ def retractions(
 
 def profiles(
     batch: DataFrame, batch_id: int, totals: BatchTable, key: str, order: Sequence[str], sets: Sequence[str],
-    bucket: Column, count: str = "pv",
+    along: str | None = None, count: str = "pv",
 ) -> DataFrame:
     """Running profile of each row, continued from the totals of earlier batches."""
-    rows = keyed.running_profile(batch, key, order, sets, bucket, count, as_text=False)
+    rows = keyed.running_profile(batch, key, order, sets, along, count, as_text=False)
     summary = batch.groupBy(key).agg(
         F.count("*").alias("n"), *[F.collect_set(s).alias(f"v_{s}") for s in sets]
     )
@@ -102,13 +102,12 @@ def profiles(
         F.sum("n").alias("n"), *[F.array_distinct(F.flatten(F.collect_list(f"v_{s}"))).alias(f"v_{s}") for s in sets]
     )
     totals.write(summary, batch_id)
-    empty = F.array().cast("array<string>")
     joined = salted_join(rows, before, [key], "left", order)
     return joined.select(
         *[c for c in rows.columns if c not in (count, *sets)],
         (F.col(count) + F.coalesce("n", F.lit(0))).alias(count),
         *[
-            F.array_join(F.array_sort(F.array_union(s, F.coalesce(f"v_{s}", empty))), ",").alias(s)
+            F.array_join(F.array_sort(F.array_union(s, F.coalesce(f"v_{s}", F.slice(s, 1, 0)))), ",").alias(s)
             for s in sets
         ],
     )

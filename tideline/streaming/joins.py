@@ -28,8 +28,8 @@ def interval_join_stream(
 ) -> DataFrame:
     """Pairs with equal ``on`` and ``lower_ms <= right - left <= upper_ms``, both ends included.
 
-    The two watermarks bound the state.  A stream cannot be sketched ahead of time, so
-    known ``hot`` keys are given; their left rows are spread over ``salts`` by
+    The two watermarks bound the state.  AQE does not split the
+    partitions of a stream, so known ``hot`` keys are given; their left rows are spread over ``salts`` by
     ``spread`` and their right rows are repeated.
     """
     early, late = bounded_delay(left, left_ts, delay), bounded_delay(right, right_ts, delay)
