@@ -6,7 +6,7 @@ of hash buckets in the plan.  It gives the right ids, but encoding a corpus
 with it means either bringing the ids back to every place of a word by a
 shuffle of all places, or folding each text's words again; README.md has the
 figures.  ``encode`` therefore folds the same merges in the tasks, each
-distinct word once in the bounded memory of a worker, in one narrow pass.
+distinct word once in the bounded memory of a task, in one narrow pass.
 Decoding concatenates the binary pieces of the ids.
 
 Defined results: null counts as empty and gives no ids; repeated rows get equal
@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import pickle
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -73,29 +72,19 @@ class Coder:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_built: dict[str, Coder] = {}
-
-
-def _coder(key: str, packed) -> Coder:
-    if key not in _built:
-        _built.clear()
-        _built[key] = Coder(*pickle.loads(packed.value))
-    return _built[key]
-
-
 def _packed(spark: SparkSession, path: str, pattern: str):
     ranks = read_ranks(path)
-    return spark.sparkContext.broadcast(pickle.dumps((ranks, word_pattern(pattern, ranks)))), uuid.uuid4().hex
+    return spark.sparkContext.broadcast(pickle.dumps((ranks, word_pattern(pattern, ranks))))
 
 
-def _mapped(df: DataFrame, name: str, kind: T.DataType, path: str, pattern: str, make) -> DataFrame:
-    """``df`` with the column ``name`` made from each batch by ``make(coder, batch)``."""
-    packed, key = _packed(bounded_batches(df.sparkSession), path, pattern)
-    fields = without(df.schema, [name]).fields
+def _mapped(df: DataFrame, name: str, kind: T.DataType, path: str, pattern: str, make, gone: tuple = ()) -> DataFrame:
+    """``df``, without the columns ``gone``, with the column ``name`` made from each batch by ``make(coder, batch)``."""
+    packed = _packed(bounded_batches(df.sparkSession), path, pattern)
+    fields = without(df.schema, [name, *gone]).fields
     schema = T.StructType([*fields, T.StructField(name, kind)])
 
     def run(batches):
-        coder = _coder(key, packed)
+        coder = Coder(*pickle.loads(packed.value))  # lives as long as the task
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], make(coder, batch)], schema.names)
 
@@ -116,8 +105,8 @@ def decode(df: DataFrame, path: str, pattern: str, name: str = "decoded", ids: s
     ))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, name: str = "coded") -> DataFrame:
-    """The documents with a struct of ``n_tokens`` and the digests of ids and decoded bytes, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, name: str = "coded", gone: tuple = ()) -> DataFrame:
+    """The documents, without the columns ``gone``, with a struct of ``n_tokens`` and the digests of ids and decoded bytes, in one pass."""
     kind = T.StructType([
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
@@ -135,12 +124,12 @@ def round_trip(docs: DataFrame, path: str, pattern: str, name: str = "coded") ->
             ["n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    return _mapped(docs, name, kind, path, pattern, make)
+    return _mapped(docs, name, kind, path, pattern, make, gone)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    coded = round_trip(docs.select("doc_id", "text"), path, pattern)
+    coded = round_trip(docs.select("doc_id", "text"), path, pattern, gone=("text",))
     return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 

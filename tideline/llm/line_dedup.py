@@ -177,8 +177,9 @@ def dedupe_lines(
         F.col("doc_id").alias(there), F.col("digest").alias(digest), F.col("ranges").alias(ranges)
     )
     keyed = docs.withColumn(digest + "_", F.xxhash64("text"))
+    # Hash the ranges, the smaller side by far: the texts are shuffled but not sorted.
     joined = keyed.join(
-        found, F.col("doc_id").eqNullSafe(F.col(there)) & (F.col(digest + "_") == F.col(digest)), "left"
+        found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(there)) & (F.col(digest + "_") == F.col(digest)), "left"
     ).select(*[F.col(f"`{f.name}`") for f in without(docs.schema, [*names])], ranges)
     fields = joined.schema.fields[:-1]
     schema = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names]])

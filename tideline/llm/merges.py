@@ -5,8 +5,8 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable
 
-#: Words a Python worker remembers; beyond it starts afresh, so memory stays bounded.
-MEMORY = 400_000
+#: Words a task remembers; beyond it starts afresh, so memory stays bounded.
+MEMORY = 200_000
 #: Longer words are merged with a heap instead of a scan for each merge.
 SHORT = 64
 

@@ -16,6 +16,8 @@ input columns named like a result give way to it.  Labels of held-out rows
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -186,10 +188,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """The documents with the column ``name`` between 0 and 1."""
+def score(docs: DataFrame, model: Model, name: str = "score", gone: Sequence[str] = ()) -> DataFrame:
+    """The documents, without the columns ``gone``, with the column ``name`` between 0 and 1."""
     bounded_batches(docs.sparkSession)
-    fields = without(docs.schema, [name]).fields
+    fields = without(docs.schema, [name, *gone]).fields
     schema = T.StructType([*fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
@@ -210,7 +212,7 @@ def drop_rejected(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = score(docs, train(docs, table(spark, folder, "labels")))
+    scored = score(docs, train(docs, table(spark, folder, "labels")), gone=["text"])
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )

@@ -20,6 +20,8 @@ other (then null); an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -63,10 +65,10 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def with_fingerprint(docs: DataFrame, name: str = "fp") -> DataFrame:
-    """The documents with the fingerprint as a signed 64-bit number."""
+def with_fingerprint(docs: DataFrame, name: str = "fp", gone: Sequence[str] = ()) -> DataFrame:
+    """The documents, without the columns ``gone``, with the fingerprint as a signed 64-bit number."""
     bounded_batches(docs.sparkSession)
-    fields = without(docs.schema, [name]).fields
+    fields = without(docs.schema, [name, *gone]).fields
     schema = T.StructType([*fields, T.StructField(name, T.LongType())])
 
     def run(batches):
@@ -236,22 +238,22 @@ def component_ids(prints: DataFrame) -> DataFrame:
 
 def find_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, component_id`` of every document."""
-    prints = stored(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "simhash")
+    prints = stored(with_fingerprint(docs.select("doc_id", "text"), gone=["text"]), "simhash")
     return prints.join(component_ids(prints), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component: the one of the smallest id (null last), then of the first row."""
-    fp, row = free_name(docs, "_fp"), free_name(docs, "_row")
-    kept = stored(with_fingerprint(docs, fp).withColumn(row, F.monotonically_increasing_id()), "documents")
-    prints = kept.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
+    row = free_name(docs, "_row")
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    texts = kept.select("doc_id", F.col(row).alias("row"), "text")
+    prints = stored(with_fingerprint(texts, gone=["text"]), "simhash")
     groups = component_ids(prints.select("doc_id", "fp"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     best = prints.groupBy("fp").agg(first.alias("best")).join(groups, "fp")
-    return kept.join(
-        best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("chosen")),
-        F.col(row) == F.col("chosen"),
-    ).drop(fp, row, "chosen").select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row))
+    # Hash the numbers, a few bytes a document: the texts are shuffled but not sorted.
+    return kept.join(chosen.hint("shuffle_hash"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:

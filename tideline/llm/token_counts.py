@@ -3,7 +3,7 @@
 Before any text is read, the merges are run over the vocabulary itself: a
 string that ends up as a single token is proven to be one whenever it is a
 word of its own.  In the texts such words count 1 by a look-up; only the rest
-are merged, each distinct word once in the bounded memory of a worker.
+are merged, each distinct word once in the bounded memory of a task.
 
 Follows the normalisation of the vocabulary file: special strings are cut out
 of the raw text (1 token each), then NFC, lower case, and the file's own word
@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import pickle
 import unicodedata
-import uuid
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -108,34 +108,24 @@ class WordCounter:
         return total
 
 
-_built: dict[str, tuple[WordCounter, Memory]] = {}
-
-
-def _counter(key: str, packed) -> tuple[WordCounter, Memory]:
-    if key not in _built:
-        data, words, proven = pickle.loads(packed.value)
-        _built.clear()
-        counter = WordCounter(data, words)
-        _built[key] = (counter, counter.memory(proven))
-    return _built[key]
-
-
-def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFrame:
-    """The documents with ``n_bytes``, ``n_tokens`` and ``over_limit``; ``vocabulary`` is a file the driver reads."""
+def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT, gone: Sequence[str] = ()) -> DataFrame:
+    """The documents, without the columns ``gone``, with ``n_bytes``, ``n_tokens`` and ``over_limit``; ``vocabulary`` is a file the driver reads."""
     spark = bounded_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:
         data = json.load(file)
     words = word_pattern(data)
     packed = spark.sparkContext.broadcast(pickle.dumps((data, words, WordCounter(data, words).prove())))
-    key = uuid.uuid4().hex
-    fields = without(docs.schema, ["n_bytes", "n_tokens", "over_limit"]).fields
+    fields = without(docs.schema, ["n_bytes", "n_tokens", "over_limit", *gone]).fields
     schema = T.StructType([
         *fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("over_limit", T.BooleanType()),
     ])
 
     def run(batches):
-        counter, memory = _counter(key, packed)
+        # Lives as long as the task.
+        data, words, proven = pickle.loads(packed.value)
+        counter = WordCounter(data, words)
+        memory = counter.memory(proven)
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             counts = pa.array([counter.count(t, memory) for t in texts.to_pylist()], pa.int64())
@@ -152,7 +142,7 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    counted = count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    counted = count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), gone=["text"])
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

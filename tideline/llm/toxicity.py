@@ -20,6 +20,8 @@ Labels of held-out rows (``frames.held_out``) are never read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -171,11 +173,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return vocabulary.hashes, np.mean(fitted, axis=0)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score") -> DataFrame:
-    """The documents with the column ``name`` between 0 and 1."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score", gone: Sequence[str] = ()) -> DataFrame:
+    """The documents, without the columns ``gone``, with the column ``name`` between 0 and 1."""
     bounded_batches(docs.sparkSession)
     vocabulary, weights = Vocabulary(model[0]), model[1]
-    fields = without(docs.schema, [name]).fields
+    fields = without(docs.schema, [name, *gone]).fields
     schema = T.StructType([*fields, T.StructField(name, T.DoubleType())])
 
     def run(batches):
@@ -199,7 +201,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "sc
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    scored = score(docs, train(docs, table(spark, folder, "labels")))
+    scored = score(docs, train(docs, table(spark, folder, "labels")), gone=["text"])
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
