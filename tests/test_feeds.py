@@ -171,15 +171,25 @@ def test_dimension_is_all_text(spark, sf):
 def test_topic_options():
     options = readers.topic_options("host:1", "a", "latest", {"kafka.group.id": "g"})
     assert options["startingOffsets"] == "latest" and options["kafka.group.id"] == "g"
+    assert options["failOnDataLoss"] == "true"
+
+
+def test_snapshot_rows_come_before_changes_of_their_time(spark):
+    rows = "sink_table string, id string, v string, op string, ts_ms long"
+    snapshot = spark.createDataFrame([("t", "1", "s1", "r", 10), ("t", "2", "s2", "r", 10)], rows)
+    changes = spark.createDataFrame([("t", "1", "old", "u", 5), ("t", "2", "new", "u", 10)], rows)
+    feed = readers.initial_then_changes(snapshot, changes)
+    assert {r.id: r.v for r in cdc.current_rows(feed, ["id"], ["seq"]).collect()} == {"1": "s1", "2": "new"}
 
 
 def test_rows_go_to_the_target_they_name(spark, tmp_path):
     path = str(tmp_path / "sinks")
     first = spark.createDataFrame([("a", 1), ("b", 2)], "sink_table string, v int")
     writers.write_partitioned(first, path)
-    writers.write_partitioned(spark.createDataFrame([("b", 3)], "sink_table string, v int"), path)
+    for _ in range(2):  # a batch that runs again replaces its own rows
+        writers.write_partitioned(spark.createDataFrame([("b", 3)], "sink_table string, v int"), path, batch_id=1)
     got = sorted((r.sink_table, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 1), ("b", 3)]
+    assert got == [("a", 1), ("b", 2), ("b", 3)]
 
 
 def test_table_configuration(spark, tmp_path):
@@ -189,11 +199,16 @@ def test_table_configuration(spark, tmp_path):
     done = writers.apply_table_config(spark.createDataFrame([("d1", "id,name", "c"), ("d2", "id", "r")], config), "tideline_test", place)
     assert done == ["create d1", "create d2"]
     assert spark.table("tideline_test.d1").columns == ["id", "name"]
+    spark.sql("INSERT INTO tideline_test.d1 VALUES ('1', 'x')")
     writers.apply_table_config(spark.createDataFrame([("d1", "id,name,level", "u"), ("d2", "", "d")], config), "tideline_test", place)
     assert spark.table("tideline_test.d1").columns == ["id", "name", "level"]
     assert not spark.catalog.tableExists("tideline_test.d2")
-    with pytest.raises(ValueError):
-        writers.apply_table_config(spark.createDataFrame([("x", "id", "c")] * 3, config), "tideline_test", max_rows=2)
+    assert spark.table("tideline_test.d1").count() == 0
+    ordered = spark.createDataFrame(
+        [("d1", "id", "c", 2), ("d1", "", "d", 1), ("d3", "id", "c", 1), ("d3", "", "d", 2)], config + ", v int"
+    )
+    done = writers.apply_table_config(ordered, "tideline_test", place, ["v"])
+    assert done == ["drop d1", "create d1", "drop d3"] and spark.table("tideline_test.d1").columns == ["id"]
     spark.sql("DROP DATABASE tideline_test CASCADE")
 
 

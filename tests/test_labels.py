@@ -126,5 +126,14 @@ def test_moderation_forms_agree(spark, body):
     found = sorted(w for w in dictionary if w in body)
     last = body.rstrip(",").split(",")[-1]
     grade = "P0" if last in dictionary else "P1" if found else ""
+    assert tuple(moderation.moderate(df, "msg", words, "id").first()) == tuple(one)
     assert one.violation_grade == grade
     assert one.violation_msg == (last if grade == "P0" else ", ".join(found))
+
+
+def test_long_word_lists(spark):
+    dictionary = [f"w{i}x" for i in range(5_001)]
+    df = spark.createDataFrame([(1, "a w17x b w5000x"), (2, "none"), (3, "so,w3x")], "id int, msg string")
+    listed = {tuple(r) for r in moderation.moderate(df, "msg", dictionary).collect()}
+    assert listed == {tuple(r) for r in moderation.moderate(df, "msg", dictionary, "id").collect()}
+    assert {(r[0], r[3]) for r in listed} == {(1, "P1"), (2, ""), (3, "P0")}

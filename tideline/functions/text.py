@@ -30,10 +30,6 @@ def md5_key(text: Column) -> Column:
     return F.md5(text.cast("binary"))
 
 
-def numeric_hash(*cols: Column) -> Column:
-    return F.xxhash64(*cols)
-
-
 def negate(amount: Column, kind: str = "decimal(16,2)") -> Column:
     """Numeric negation of an amount held as text; unreadable text gives null."""
     return -amount.try_cast(kind)
@@ -66,43 +62,25 @@ def words_in_text(text: Column, dictionary: Sequence[str]) -> Column:
     )
 
 
-# Characters per block of a text that is searched for dictionary words.
-BLOCK = 128
-
-
 def dictionary_hits(df: DataFrame, key: str, text: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
     """``(key, words)`` for a dictionary too long to test word by word.
 
-    Every substring whose length occurs in the dictionary is looked up with a
-    join, so the work is text length times the number of distinct lengths and
-    the dictionary is never collected.  ``key`` must identify a row.
+    Every place of a text is looked up once, by as many characters as the
+    shortest word has; only the words that begin with them are then searched in
+    the text.  The work is linear in the text, whatever the lengths of the
+    words, and the dictionary is never collected.  ``key`` must identify a row.
     """
     entries = dictionary.select(F.col(word).alias("_w")).where("_w <> ''").distinct()
-    # One row holding the distinct word lengths: a handful of integers.
-    lengths = entries.agg(F.collect_set(F.length("_w")).alias("_lens")).scalar()
-    # A text is cut into blocks that overlap by the longest word, in time linear
-    # in its length; a position inside a block is then found by a short scan.
-    first = F.sequence(F.lit(0), F.floor((F.size("_chars") - 1) / BLOCK).cast("int"))
-    overlap = F.array_max("_lens") - 1
-    blocks = (
-        df.select(F.col(key), F.split(F.col(text), "").alias("_chars"))
-        .where(F.size("_chars") > 0)
-        .withColumn("_lens", lengths)
-        .select(key, "_lens", F.explode(F.transform(
-            first, lambda b: F.array_join(F.slice("_chars", b * BLOCK + 1, F.lit(BLOCK) + overlap), "")
-        )).alias("_block"))
-    )
-    fitting = F.filter("_lens", lambda n: n <= F.length("_block"))
-    starts = F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.length("_block") - F.col("_size") + 1))
-    pieces = (
-        blocks.select(key, "_block", F.explode(fitting).alias("_size"))
-        .select(key, F.explode(F.array_distinct(F.transform(
-            starts, lambda at: F.substring("_block", at, F.col("_size"))
-        ))).alias("_w"))
+    # One number: the length of the shortest word.
+    least = entries.agg(F.min(F.length("_w")).alias("_n")).scalar()
+    anchors = entries.select("_w", F.substring("_w", F.lit(1), least).alias("_a"))
+    # A look-ahead matches at every place, in one pass over the text.
+    at_each = F.concat(F.lit("(?s)(?=(.{"), least.cast("string"), F.lit("}))"))
+    pieces = df.select(
+        F.col(key), F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), at_each, F.lit(1)))).alias("_a")
     )
-    return (
-        pieces.join(entries, "_w", "left_semi")
-        .distinct()
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list("_w")).alias("words"))
+    likely = pieces.join(anchors, "_a").groupBy(key).agg(F.collect_set("_w").alias("_likely"))
+    found = df.select(F.col(key), F.col(text).alias("_text")).join(likely, key).select(
+        key, F.array_sort(F.filter("_likely", lambda w: F.contains(F.col("_text"), w))).alias("words")
     )
+    return found.where(F.size("words") > 0)

@@ -197,15 +197,21 @@ def route_facts(changes: DataFrame, config: DataFrame, extra: Sequence[str] = ()
 
 def merge_cells(
     changes: DataFrame, keys: Sequence[str], data: str = "data", op: str = "op", seq: str = "seq",
-    ignore: Sequence[str] = ("op",),
+    ignore: Sequence[str] = ("op",), columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Current cells ``(keys, column, cell)`` after upserts and deletes in ``seq`` order.
 
     An empty or null cell leaves the stored one as it is; a delete removes all
     cells written before it.  Cells are reduced before the shuffle, so a row
-    that changes very often is no heavier than any other.
+    that changes very often is no heavier than any other.  With ``columns``,
+    known from the configuration, the changes are read and grouped once and
+    cells are made of the merged rows; otherwise each change is one row per cell.
     """
     keys = list(keys)
+    if columns is not None:
+        merged = merge_columns(changes, keys, [c for c in columns if c not in ignore], data, op, seq)
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("cell")) for c in columns if c not in ignore])
+        return merged.select(*keys, F.inline(cells)).where(F.col("cell").isNotNull())
     cells = (
         changes.where(F.col(op) != DELETE)
         .select(*keys, F.col(seq).alias("_seq"), F.explode(data).alias("column", "_cell"))

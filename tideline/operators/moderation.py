@@ -9,21 +9,27 @@ from pyspark.sql import DataFrame, functions as F
 from tideline.functions.text import dictionary_hits, last_token, words_in_text
 from tideline.operators.joins import member_flag
 
-# A dictionary up to this size is folded into the plan as a literal; a longer
-# one is joined.  Both give the same rows.
+#: A list longer than this is joined as a table if the rows have a key; both plans give the same rows.
 LITERAL_WORDS = 5_000
 
 
-def moderate(df: DataFrame, text: str, dictionary: Sequence[str]) -> DataFrame:
-    """Violation level of each text, for a dictionary of up to LITERAL_WORDS words.
+def moderate(df: DataFrame, text: str, dictionary: Sequence[str] | DataFrame, key: str | None = None) -> DataFrame:
+    """Violation level of each text, for a list of words or a table with the column ``word``.
+
+    A list is folded into the plan; a table, or a long list where ``key``
+    identifies a row, is joined.
 
     ``P0`` when the last comma-separated part is a banned word, else ``P1``
     when the text contains any, else empty.  ``violation_msg`` names the word
     or words.
     """
+    if isinstance(dictionary, DataFrame):
+        if key is None:
+            raise ValueError("a table of words needs the name of a key of the rows")
+        return moderate_by_join(df, key, text, dictionary)
     banned = sorted(set(dictionary))
-    if len(banned) > LITERAL_WORDS:
-        raise ValueError("use moderate_by_join for a dictionary of this size")
+    if len(banned) > LITERAL_WORDS and key is not None:
+        return moderate_by_join(df, key, text, df.sparkSession.createDataFrame([(w,) for w in banned], "word string"))
     last = last_token(F.col(text))
     listed = F.coalesce(last.isin(*banned), F.lit(False))
     found = F.array_join(words_in_text(F.col(text), banned), ", ")

@@ -102,7 +102,8 @@ def _line_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    return cdc.merge_cells(_line_changes(spark, folder), ["sink_table", "row_key"])
+    changes = _line_changes(spark, folder)
+    return cdc.merge_cells(changes, ["sink_table", "row_key"], columns=["sku_id", "flag", "num"])
 
 
 def cdc_upsert_columns(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
@@ -85,13 +86,14 @@ def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("bat
     return latest if op is None else latest.where(F.col(op) != DELETE)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "sink_table") -> None:
-    """Route rows to the folder of the target named in each row, replacing only targets present.
+def write_partitioned(df: DataFrame, path: str, by: str = "sink_table", batch_id: int = 0) -> None:
+    """Route rows to the folder of the target named in each row, within the folder of the batch.
 
+    Earlier batches stay, and a batch that runs again replaces its own rows.
     Rows of one target stay spread over their tasks, so a busy target has many
     files instead of one slow writer.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    BatchTable(df.sparkSession, path).write(df, batch_id, [by])
 
 
 def land_changes(changes: DataFrame, path: str, batch_id: int, tz: str = "UTC") -> None:
@@ -126,26 +128,33 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
 
 # ---- catalog --------------------------------------------------------------
 
-def apply_table_config(config: DataFrame, database: str, location: str | None = None, max_rows: int = 10_000) -> list[str]:
+def apply_table_config(
+    config: DataFrame, database: str, location: str | None = None, order: Sequence[str] = ()
+) -> list[str]:
     """Create, drop or recreate sink tables for changed configuration rows.
 
     New and snapshot rows create the table, deletes drop it, updates do both.
-    Every column is a string.  Configuration is one row per sink table, so it
-    is read on the driver, and refused when it is larger than ``max_rows``.
+    The rows of a sink table count in ``order``: its last one decides whether
+    the table exists and its columns, and an earlier delete or update empties
+    it.  Every column is a string.  Each created table has a folder of its own
+    under ``location``, so it does not find the files of one it replaces.
+    Statements run on the driver, one sink table at a time.
     """
     spark = config.sparkSession
-    rows = config.select("sink_table", "sink_columns", "op").limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} configuration rows in one batch")
+    when = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
+    last = config.groupBy("sink_table").agg(
+        F.max_by(F.struct("sink_columns", "op"), when).alias("last"),
+        F.bool_or(F.col("op").isin("d", "u")).alias("anew"),
+    )
     done = []
-    for row in rows:
+    for row in last.orderBy("sink_table").toLocalIterator():
         name = f"`{database}`.`{row.sink_table}`"
-        if row.op in ("d", "u"):
+        if row.anew:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
             done.append(f"drop {row.sink_table}")
-        if row.op in ("r", "c", "u"):
-            columns = ", ".join(f"`{c.strip()}` STRING" for c in row.sink_columns.split(","))
-            where = f" LOCATION '{location}/{row.sink_table}'" if location else ""
+        if row.last.op in ("r", "c", "u"):
+            columns = ", ".join(f"`{c.strip()}` STRING" for c in row.last.sink_columns.split(","))
+            where = f" LOCATION '{location}/{row.sink_table}-{uuid.uuid4().hex}'" if location else ""
             spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
             done.append(f"create {row.sink_table}")
     return done

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tideline.operators.cdc import decode_changes, parse_once
+from tideline.operators.cdc import parse_once
 
 
 # ---- topics ---------------------------------------------------------------
@@ -16,12 +16,13 @@ def topic_options(servers: str, topics: str, start: str = "earliest", extra: Map
 
     ``start`` is ``earliest``, ``latest`` or a JSON map of offsets.  Committed
     positions are kept by the checkpoint, which wins over ``start`` on restart.
+    Lost offsets fail the job unless ``extra`` says otherwise.
     """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics,
         "startingOffsets": start,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         **(extra or {}),
     }
 
@@ -68,14 +69,17 @@ def json_table(messages: DataFrame, schema: T.StructType, name: str | None = Non
     return table
 
 
-def change_feed(messages: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Change records out of messages; see :func:`tideline.operators.cdc.decode_changes`."""
-    return decode_changes(messages, value, strict)
+def initial_then_changes(snapshot: DataFrame, changes: DataFrame, taken: Column | None = None) -> DataFrame:
+    """Snapshot records and changes of a table as one feed with the column ``seq`` to order it by.
 
-
-def initial_then_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
-    """Snapshot records of a table followed by its later changes, as one batch feed."""
-    return snapshot.unionByName(changes)
+    A snapshot row counts as of the time it was ``taken`` (its own ``ts_ms`` by
+    default), before a change of the same instant, so an older change never
+    overwrites it.  Works on batches, and on streams where both sides are.
+    """
+    at = F.col("ts_ms") if taken is None else taken
+    first = snapshot.withColumn("seq", F.struct(at.alias("at"), F.lit(0).alias("part")))
+    later = changes.withColumn("seq", F.struct(F.col("ts_ms").alias("at"), F.lit(1).alias("part")))
+    return first.unionByName(later)
 
 
 # ---- bounded tables -------------------------------------------------------

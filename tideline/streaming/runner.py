@@ -75,10 +75,12 @@ class Job:
         finally:
             conf.set(name, before)
 
-    def run(self, source: DataFrame, timeout: int = 600) -> StreamingQuery:
-        """Start and wait for a job that ends by itself."""
+    def run(self, source: DataFrame, timeout: int | None = None) -> StreamingQuery:
+        """Start and wait for a job that ends by itself, as long as it takes unless there is a ``timeout``."""
         query = self.start(source)
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             query.stop()
             raise TimeoutError(f"{self.name} did not finish within {timeout} s")
         return query
