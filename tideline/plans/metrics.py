@@ -121,7 +121,11 @@ def _province_sql(legacy: bool) -> str:
 
 def sku_order_window(spark: SparkSession, folder: str) -> DataFrame:
     """Product amounts with a chain of dimensions: part, then supplier, nation and region."""
-    net = windows.sku_order_window(details(spark, folder), "1 day", order=ORDER)
+    return name_products(spark, folder, windows.sku_order_window(details(spark, folder), "1 day", order=ORDER))
+
+
+def name_products(spark: SparkSession, folder: str, net: DataFrame) -> DataFrame:
+    """Follow the dimensions of a product."""
     part = table(spark, folder, "part").select(
         "p_partkey", "p_name", "p_brand",
         # The sample parts name no supplier; any fixed one serves as the next step.

@@ -182,15 +182,60 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
-    """Earliest row of every user and page, repeats dropped ahead of the shuffle."""
-    seen = _state(spark, "first-seen")
+    """Earliest row of every user and page, repeats dropped ahead of the shuffle, with keyed state."""
     feed, pages = _pages(spark, folder)
     rows = pages.select("user_id", "page_id", "ts", "seq")
+    firsts = processors.first_row_stream(rows, ["user_id", "page_id"], ["ts", "seq"])
+    return _run(spark, feed, "stream-first-seen", firsts, rows.schema).drop("batch", "ts")
+
+
+def stream_cart(spark: SparkSession, folder: str) -> DataFrame:
+    """Users that put something into the cart for the first time on a day."""
+    feed, pages = _pages(spark, folder)
+    adds = pages.where("page_id = 'cart'").select("user_id", "seq", "ts", F.to_date("ts").alias("visit_date"))
+    out = processors.daily_unique_stream(adds, "user_id", ["ts", "seq"])
+    firsts = _run(spark, feed, "stream-cart", out, adds.schema)
+    return windows.tumble(firsts, "ts", "1 second", [], [F.count("*").alias("cart_add_uu_ct")])
 
-    def each(batch: DataFrame, batch_id: int) -> DataFrame:
-        return history.first_seen(batch, batch_id, seen, ["user_id", "page_id"], ["ts", "seq"])
 
-    return _run(spark, feed, "stream-first-seen", rows, rows.schema, each).drop("batch", "ts")
+def stream_home_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily unique visitors of the home page and of the product page."""
+    feed, pages = _pages(spark, folder)
+    seen = pages.where("page_id IN ('home', 'good_detail')").select(
+        F.concat_ws("|", "page_id", "mid").alias("place"), "page_id", "seq", "ts", F.to_date("ts").alias("visit_date")
+    )
+    out = processors.daily_unique_stream(seen, "place", ["ts", "seq"])
+    firsts = _run(spark, feed, "stream-home-detail", out, seen.schema)
+    return windows.tumble(firsts, "ts", "10 seconds", [], [
+        F.count_if(F.col("page_id") == "home").alias("home_uv_ct"),
+        F.count_if(F.col("page_id") == "good_detail").alias("good_detail_uv_ct"),
+    ])
+
+
+def stream_sku(spark: SparkSession, folder: str) -> DataFrame:
+    """Product amounts net of replaced lines: each batch stores partial sums, the reader adds them up and names them."""
+    measures = dict(zip(
+        ("split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"),
+        ("original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"),
+    ))
+    versions = _state(spark, "sku-versions")
+    feed = Feed(spark, folder, "lineitem")
+    rows = as_details(feed.stream).select("id", *dict.fromkeys([*ORDER, *measures]))
+
+    def partial(batch: DataFrame, batch_id: int) -> DataFrame:
+        changed = history.retractions(batch, batch_id, versions, ["id"], ORDER, list(measures))
+        start = F.window(F.timestamp_millis("ts_ms"), "1 day").start.alias("w")
+        return changed.groupBy(start, "sku_id").agg(
+            *[F.sum(m).cast("decimal(38,4)").alias(out) for m, out in measures.items()]
+        )
+
+    schema = T.StructType(
+        [T.StructField("w", T.TimestampType()), T.StructField("sku_id", T.LongType())]
+        + [T.StructField(m, T.DecimalType(38, 4)) for m in measures.values()]
+    )
+    parts = _run(spark, feed, "stream-sku", rows, schema, partial)
+    net = windows.tumble(parts, "w", "1 day", ["sku_id"], [windows.total(m) for m in measures.values()])
+    return metrics.name_products(spark, folder, net)
 
 
 def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,6 +376,9 @@ QUERIES = {
     "stream_pay": stream_pay,
     "stream_pay_salted": stream_pay_salted,
     "stream_first_seen": stream_first_seen,
+    "stream_cart": stream_cart,
+    "stream_home_detail": stream_home_detail,
+    "stream_sku": stream_sku,
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_retract": stream_retract,
@@ -374,4 +422,7 @@ ORACLE = {
       FROM (SELECT *, unnest(range(2, k % 4 + 1)) AS i FROM body)
     UNION ALL SELECT 'dirty', seq, 'broken ' || seq FROM log WHERE seq % 7 = 3""",
     "stream_keyword": metrics.ORACLE["keyword_sql"],
+    "stream_cart": metrics.ORACLE["cart_uu_window"],
+    "stream_home_detail": metrics.ORACLE["home_detail_uv_window"],
+    "stream_sku": metrics.ORACLE["sku_order_window"],
 }

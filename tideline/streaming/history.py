@@ -37,20 +37,6 @@ def daily_uniques(
     return seen.read(firsts.schema).where(F.col("batch") == batch_id).select(*firsts.columns)
 
 
-def first_seen(
-    batch: DataFrame, batch_id: int, seen: BatchTable, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """Earliest row of every key that no earlier batch had; remembers it.
-
-    Repeats are dropped before the shuffle, so a key with very many copies
-    costs one row per task.
-    """
-    firsts = keyed.first_per_key(batch, list(keys), list(order))
-    known = seen.read(batch.schema, before=batch_id).select(*keys)
-    seen.write(firsts.join(known, list(keys), "left_anti"), batch_id)
-    return seen.read(batch.schema).where(F.col("batch") == batch_id).select(*batch.columns)
-
-
 def repaired_visitors(
     batch: DataFrame, batch_id: int, origins: BatchTable, key: str, ts: str, flag: str, order: Sequence[str],
     tz: str = "UTC",

@@ -88,21 +88,54 @@ class ReturningUser(_DayState):
         yield fresh.assign(uu_ct=1, back_ct=(gap >= self.gap_days).astype("int64"))
 
 
-def _thin(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Keep the first row per key and day of every Arrow batch: a combiner ahead of the shuffle.
+class FirstRow(StatefulProcessor):
+    """Emit the first row of a key that was never seen before; the state is one flag."""
+
+    def __init__(self, order: list[str], ttl_ms: int | None = None):
+        self.order = order
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        args = (self.ttl_ms,) if self.ttl_ms else ()
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]), *args)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            return
+        best: pd.DataFrame | None = None
+        for chunk in rows:
+            pool = chunk if best is None else pd.concat([best, chunk])
+            best = pool.sort_values(self.order, kind="stable").head(1)
+        if best is not None and not best.empty:
+            self.seen.update((True,))
+            yield best
+
+    def close(self) -> None:
+        pass
+
+
+def _thin(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Keep the first row per key of every Arrow batch: a combiner ahead of the shuffle.
 
     A key with a large share of the rows then sends a few rows per task.
     """
     def firsts(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in chunks:
-            yield chunk.sort_values(order, kind="stable").drop_duplicates([key, "visit_date"])
+            yield chunk.sort_values(order, kind="stable").drop_duplicates(keys)
 
     return df.mapInPandas(firsts, df.schema)
 
 
+def first_row_stream(df: DataFrame, keys: list[str], order: list[str], ttl_ms: int | None = None) -> DataFrame:
+    """Earliest row of each key among the first rows that arrive of it, by one flag of state per key."""
+    return _thin(df, keys, order).groupBy(*keys).transformWithStateInPandas(
+        FirstRow(order, ttl_ms), df.schema, "Append", "ProcessingTime" if ttl_ms else "None"
+    )
+
+
 def daily_unique_stream(df: DataFrame, key: str, order: list[str], ttl_ms: int | None = None) -> DataFrame:
     """``df`` carries ``visit_date``.  A ``ttl_ms`` forgets a key that long after its last row, by processing time."""
-    return _thin(df, key, order).groupBy(key).transformWithStateInPandas(
+    return _thin(df, [key, "visit_date"], order).groupBy(key).transformWithStateInPandas(
         DailyUnique(order, ttl_ms), df.schema, "Append", "ProcessingTime" if ttl_ms else "None"
     )
 
@@ -111,6 +144,6 @@ def returning_user_stream(df: DataFrame, key: str, order: list[str], gap_days: i
     schema = T.StructType(df.schema.fields + [
         T.StructField("uu_ct", T.LongType()), T.StructField("back_ct", T.LongType())
     ])
-    return _thin(df, key, order).groupBy(key).transformWithStateInPandas(
+    return _thin(df, [key, "visit_date"], order).groupBy(key).transformWithStateInPandas(
         ReturningUser(order, gap_days), schema, "Append", "None"
     )
