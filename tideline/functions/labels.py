@@ -50,41 +50,41 @@ SCORE_WEIGHTS = {"category": "0.3", "brand": "0.2", "price": "0.15", "time": "0.
 # Raw scores in the order of AGE_GROUPS.
 RAW_SCORES = {
     "category": [
-        (["珠宝", "礼品箱包", "鞋靴", "服饰内衣", "个护化妆", "数码"], "0.9 0.8 0.6 0.4 0.2 0.1"),
+        (["珠宝", "礼品箱包", "鞋靴", "服饰内衣", "个护化妆", "数码"], ("0.9", "0.8", "0.6", "0.4", "0.2", "0.1")),
         (["母婴", "钟表", "厨具", "电脑办公", "家居家装", "家用电器", "图书、音像、电子书刊", "手机", "汽车用品"],
-         "0.2 0.4 0.6 0.8 0.9 0.7"),
-        (["运动健康", "食品饮料、保健食品"], "0.1 0.2 0.4 0.6 0.8 0.9"),
+         ("0.2", "0.4", "0.6", "0.8", "0.9", "0.7")),
+        (["运动健康", "食品饮料、保健食品"], ("0.1", "0.2", "0.4", "0.6", "0.8", "0.9")),
     ],
     "brand": [
-        (["Redmi", "苹果", "联想", "TCL", "小米"], "0.9 0.7 0.5 0.3 0.2 0.1"),
-        (["长粒香", "金沙河", "索芙特", "CAREMiLLE", "欧莱雅", "香奈儿"], "0.1 0.3 0.5 0.7 0.8 0.9"),
+        (["Redmi", "苹果", "联想", "TCL", "小米"], ("0.9", "0.7", "0.5", "0.3", "0.2", "0.1")),
+        (["长粒香", "金沙河", "索芙特", "CAREMiLLE", "欧莱雅", "香奈儿"], ("0.1", "0.3", "0.5", "0.7", "0.8", "0.9")),
     ],
     "price": [
-        (["高价商品"], "0.1 0.2 0.3 0.4 0.5 0.6"),
-        (["中价商品"], "0.2 0.4 0.6 0.7 0.8 0.7"),
-        (["低价商品"], "0.8 0.6 0.4 0.3 0.2 0.1"),
+        (["高价商品"], ("0.1", "0.2", "0.3", "0.4", "0.5", "0.6")),
+        (["中价商品"], ("0.2", "0.4", "0.6", "0.7", "0.8", "0.7")),
+        (["低价商品"], ("0.8", "0.6", "0.4", "0.3", "0.2", "0.1")),
     ],
     "time": [
-        (["凌晨"], "0.2 0.1 0.1 0.1 0.1 0.1"),
-        (["早晨"], "0.1 0.1 0.1 0.1 0.2 0.3"),
-        (["上午"], "0.2 0.2 0.2 0.2 0.3 0.4"),
-        (["中午"], "0.4 0.4 0.4 0.4 0.4 0.3"),
-        (["下午"], "0.4 0.5 0.5 0.5 0.5 0.4"),
-        (["晚上"], "0.8 0.7 0.6 0.5 0.4 0.3"),
-        (["夜间"], "0.9 0.7 0.5 0.3 0.2 0.1"),
+        (["凌晨"], ("0.2", "0.1", "0.1", "0.1", "0.1", "0.1")),
+        (["早晨"], ("0.1", "0.1", "0.1", "0.1", "0.2", "0.3")),
+        (["上午"], ("0.2", "0.2", "0.2", "0.2", "0.3", "0.4")),
+        (["中午"], ("0.4", "0.4", "0.4", "0.4", "0.4", "0.3")),
+        (["下午"], ("0.4", "0.5", "0.5", "0.5", "0.5", "0.4")),
+        (["晚上"], ("0.8", "0.7", "0.6", "0.5", "0.4", "0.3")),
+        (["夜间"], ("0.9", "0.7", "0.5", "0.3", "0.2", "0.1")),
     ],
     "keyword": [
-        (["时尚与潮流"], "0.9 0.7 0.5 0.3 0.2 0.1"),
-        (["性价比"], "0.2 0.4 0.6 0.7 0.8 0.8"),
-        (["科技与数码"], "0.8 0.6 0.4 0.3 0.2 0.1"),
-        (["学习与发展"], "0.4 0.5 0.6 0.7 0.8 0.7"),
-        (["健康与养生"], "0.1 0.2 0.4 0.6 0.8 0.9"),
-        (["家庭与育儿"], "0.1 0.2 0.4 0.6 0.8 0.7"),
+        (["时尚与潮流"], ("0.9", "0.7", "0.5", "0.3", "0.2", "0.1")),
+        (["性价比"], ("0.2", "0.4", "0.6", "0.7", "0.8", "0.8")),
+        (["科技与数码"], ("0.8", "0.6", "0.4", "0.3", "0.2", "0.1")),
+        (["学习与发展"], ("0.4", "0.5", "0.6", "0.7", "0.8", "0.7")),
+        (["健康与养生"], ("0.1", "0.2", "0.4", "0.6", "0.8", "0.9")),
+        (["家庭与育儿"], ("0.1", "0.2", "0.4", "0.6", "0.8", "0.7")),
     ],
-    "os": [(["Android"], "0.8 0.7 0.6 0.5 0.4 0.3"), (["iOS"], "0.7 0.6 0.5 0.4 0.3 0.2")],
+    "os": [(["Android"], ("0.8", "0.7", "0.6", "0.5", "0.4", "0.3")), (["iOS"], ("0.7", "0.6", "0.5", "0.4", "0.3", "0.2"))],
 }
 # The search profile scores health terms like family terms.
-SEARCH_OVERRIDES = {"健康与养生": "0.1 0.2 0.4 0.6 0.8 0.7"}
+SEARCH_OVERRIDES = {"健康与养生": ("0.1", "0.2", "0.4", "0.6", "0.8", "0.7")}
 # Lowest total of each group, highest first.
 TOTAL_BANDS = [
     ("0.75", "18-24"), ("0.69", "25-29"), ("0.585", "30-34"), ("0.47", "35-39"), ("0.365", "40-49"), ("0.26", "50+"),
@@ -184,13 +184,13 @@ def order_bands(df: DataFrame, create_ms: str, amount: str, tz: str = LABEL_ZONE
 
 # ---- scores ---------------------------------------------------------------
 
-def score_rows(dim: str, weight: str | None = None, overrides: dict[str, str] | None = None) -> dict[str, list[Decimal]]:
+def score_rows(dim: str, weight: str | None = None, overrides: dict[str, tuple[str, ...]] | None = None) -> dict[str, list[Decimal]]:
     """Weighted scores per value of a dimension, in the order of AGE_GROUPS, half-up to three places."""
     factor = Decimal(weight or SCORE_WEIGHTS[dim])
     rows = {v: scores for values, scores in RAW_SCORES[dim] for v in values}
     rows.update(overrides or {})
     return {
-        v: [(Decimal(s) * factor).quantize(Decimal("0.001"), rounding="ROUND_HALF_UP") for s in scores.split()]
+        v: [(Decimal(s) * factor).quantize(Decimal("0.001"), rounding="ROUND_HALF_UP") for s in scores]
         for v, scores in rows.items()
     }
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tideline.functions import labels, times
 from tideline.functions.text import first_token, joined_set, last_token, md5_key, negate
 from tideline.operators import joins, moderation, people as people_ops
-from tideline.plans import sql
+from tideline.plans import label_sql, sql
 from tideline.plans.tables import DAY_MS, literal_rows, page_log, pick, table
 
 AS_OF = "2025-05-15"
@@ -216,27 +216,12 @@ def _grade(hit: str, found: str) -> str:
       CASE WHEN {hit} THEN last_word ELSE {found} END AS violation_msg"""
 
 
-def _bands(value: str, bands: list[tuple], last: str | None, op: str) -> str:
-    parts = " ".join(f"WHEN {value} {op} {edge} THEN '{label}'" for edge, label in bands)
-    return f"CASE {parts} {'' if last is None else f'ELSE ' + repr(last)} END"
-
-
-def _score_rows() -> str:
-    rows = [
-        (dim, value, group, float(score))
-        for dim in labels.RAW_SCORES
-        for value, scores in labels.score_rows(dim).items()
-        for group, score in zip(labels.AGE_GROUPS, scores)
-    ]
-    return sql.values(rows, "score", "dim, val, grp, pts")
-
-
 _CHOICE = "SELECT o_orderkey AS id, " + f"{_GROUPS}[o_orderkey % {len(_GROUPS)} + 1] AS age_group, " + ", ".join(
     f"{_value_list(dim)}[(o_orderkey // {step}) % {len(_value_list(dim))} + 1] AS {name}"
     for name, (dim, step) in _DIMS.items()
 ) + " FROM orders"
 
-_AGE_SQL = f"""{_score_rows()}, o AS ({_CHOICE}), scored AS (SELECT o.*, """ + ", ".join(
+_AGE_SQL = f"""{label_sql.SCORES}, o AS ({_CHOICE}), scored AS (SELECT o.*, """ + ", ".join(
     (f"CASE WHEN age_group = '0-17' THEN -1 ELSE s_{dim}.pts END" if dim == "category" else f"s_{dim}.pts")
     + f" AS {labels.SCORE_COLUMNS[dim]}"
     for dim, _ in _DIMS.values()
@@ -248,15 +233,6 @@ _AGE_SQL = f"""{_score_rows()}, o AS ({_CHOICE}), scored AS (SELECT o.*, """ + "
 _TOTAL = " + ".join(f"coalesce({c}, 0)" for c in labels.SCORE_COLUMNS.values())
 
 
-def _six(prefix: str, dim: str, weight: str, key: str, overrides: dict | None, default: str) -> str:
-    table_rows = labels.score_rows(dim, weight, overrides)
-    return ", ".join(
-        "CASE " + key + " " + " ".join(f"WHEN '{v}' THEN {s[i]}" for v, s in table_rows.items())
-        + f" ELSE {default} END::DOUBLE AS {prefix}_{suffix}"
-        for i, suffix in enumerate(labels.AGE_SUFFIXES)
-    )
-
-
 _MS = "(epoch_us(o_orderdate) // 1000 + (o_orderkey % 24) * 3600000)"
 
 
@@ -277,22 +253,22 @@ ORACLE = {
     a AS (SELECT *, month(b) * 100 + day(b) AS md, date_sub('year', b, DATE '{AS_OF}') AS age,
       (year(b) // 10) * 10 AS decade_n FROM u)
     SELECT id, strftime(b, '%Y-%m-%d') AS birthday,
-      {_bands('md', labels.ZODIAC['label'], labels.YEAR_END_SIGN, '<=')} AS zodiac_sign,
-      {_bands('md', labels.ZODIAC['classic'], labels.YEAR_END_SIGN, '<=')} AS zodiac_classic,
+      {label_sql.SIGN} AS zodiac_sign,
+      {label_sql.CLASSIC_SIGN} AS zodiac_classic,
       decade_n AS birth_decade, decade_n || '年代' AS decade, age,
-      {_bands('age', labels.AGE_LIMITS, labels.OLDEST_GROUP, '<=')} AS age_group FROM a""",
+      {label_sql.AGE_GROUP} AS age_group FROM a""",
     "order_bands": f"""WITH o AS (SELECT o_orderkey AS id, {_MS} AS create_ms, o_totalprice / 100 AS amount FROM orders),
     h AS (SELECT *, (create_ms // 3600000 + 8) % 24 AS h8, (create_ms // 3600000) % 24 AS h0 FROM o)
-    SELECT id, create_ms, amount, {_bands('h8', labels.DAY_PARTS['label'], None, '<')} AS time_period,
+    SELECT id, create_ms, amount, {label_sql.DAY_PART.format('h8')} AS time_period,
       CASE WHEN amount < 1000 THEN '低价商品' WHEN amount <= 4000 THEN '中价商品' ELSE '高价商品' END AS price_sensitive,
-      {_bands('h0', labels.DAY_PARTS['early'], None, '<')} AS time_early,
+      {label_sql.EARLY_PART.format('h0')} AS time_early,
       CASE WHEN amount < 1000 THEN '低价商品' WHEN amount <= 4000 THEN '中间商品' ELSE '高价商品' END AS price_range
     FROM h""",
     "age_score": f"WITH {_AGE_SQL} SELECT * FROM scored",
     "age_total": f"""WITH {_AGE_SQL}, t AS (SELECT id, round({_TOTAL}, 3) AS total_score FROM scored
       WHERE age_group = '18-24') SELECT id, total_score, """
-    + _bands("total_score", labels.TOTAL_BANDS, labels.INVALID_TOTAL, ">=") + " AS new_age_group FROM t",
-    "age_label_job": f"""WITH {sql.LOG}, {_score_rows()},
+    + label_sql.TOTAL_GROUP + " AS new_age_group FROM t",
+    "age_label_job": f"""WITH {sql.LOG}, {label_sql.SCORES},
     p AS (SELECT user_id AS uid, seq, ts_ms FROM log WHERE event_type = 'signup' AND 15 + user_id % 40 BETWEEN 18 AND 24),
     o AS (SELECT user_id AS uid, seq, ts_ms, CAST(during_time AS DOUBLE) AS amount,
       {_value_list('category')}[k % {len(_value_list('category'))} + 1] AS cat,
@@ -302,7 +278,7 @@ ORACLE = {
     t AS (SELECT item, min(ts_ms) AS topic_ms, {_value_list('keyword')}[min(k) % 7 + 1] AS topic FROM log
       WHERE item_type = 'keyword' AND event_type = 'error' GROUP BY item, d),
     j AS (SELECT p.seq AS profile_seq, o.seq AS order_id, s.seq AS search_seq, topic_ms, cat, brand, os, topic,
-      {_bands('h', labels.DAY_PARTS['label'], None, '<')} AS time_period,
+      {label_sql.DAY_PART.format('h')} AS time_period,
       CASE WHEN amount < 1000 THEN '低价商品' WHEN amount <= 4000 THEN '中价商品' ELSE '高价商品' END AS price_sensitive
       FROM p JOIN o ON p.uid = o.uid AND abs(p.ts_ms - o.ts_ms) <= 10800000
       JOIN s ON s.uid = o.uid AND abs(s.ts_ms - o.ts_ms) <= 43200000
@@ -312,15 +288,15 @@ ORACLE = {
       OR (dim = 'keyword' AND val = topic) OR (dim = 'time' AND val = time_period)
       OR (dim = 'price' AND val = price_sensitive))) AS total_score FROM j)
     SELECT profile_seq, order_id, search_seq, topic_ms, '18-24' AS age_group, time_period, price_sensitive, total_score,
-    """ + _bands("total_score", labels.TOTAL_BANDS, labels.INVALID_TOTAL, ">=") + " AS new_age_group FROM r",
+    """ + label_sql.TOTAL_GROUP + " AS new_age_group FROM r",
     "category_levels": """SELECT n_nationkey AS id, n_name AS b3name, r2.r_name AS b2name, r1.r_name AS b1name
     FROM nation JOIN region r2 ON n_regionkey = r2.r_regionkey JOIN region r1 ON r2.r_regionkey = r1.r_regionkey""",
     "device_search_score": f"""WITH {sql.LOG}, {sql.values(REGION_TOPICS, 'topic', 'category_name, search_category')},
     p AS (SELECT seq, uid, split_part(os, ' ', 1) AS os, CASE WHEN item_type = 'keyword' THEN item END AS search_item
       FROM log)
     SELECT seq, uid, os, search_item, r_name AS b1_category, search_category, os AS judge_os,
-      {_six('device', 'os', '0.1', 'os', None, 'NULL')},
-      {_six('search', 'keyword', '0.15', 'search_category', labels.SEARCH_OVERRIDES, '0')}
+      {label_sql.DEVICE_SIX},
+      {label_sql.SEARCH_SIX}
     FROM p LEFT JOIN nation ON search_item = n_name LEFT JOIN region ON n_regionkey = r_regionkey
       LEFT JOIN topic ON r_name = category_name""",
     "time_convert": f"""WITH o AS (SELECT *, {_MS} AS ms FROM orders)
