@@ -21,11 +21,10 @@ import pickle
 import unicodedata
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tideline.llm.classes import Words
 from tideline.llm.frames import bounded_batches, without

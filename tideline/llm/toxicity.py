@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tideline.llm.frames import bounded_batches, held_out, stored, without
 from tideline.llm.labelled import labelled_texts
-from tideline.llm.spans import WORD, Spans, expand, groups
+from tideline.llm.spans import WORD, Spans, groups
 from tideline.plans.tables import table
 
 #: Bounds of the training sample (unlabelled texts: expected number of a uniform sample), the vocabulary and the bags.
