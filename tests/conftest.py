@@ -9,13 +9,14 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tideline.session import build_session
 
     session = build_session(
         "tests",
         "local[4]",
         {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
          "spark.driver.extraJavaOptions": "-Xss4m"},
     )
     session.sparkContext.setLogLevel("ERROR")
