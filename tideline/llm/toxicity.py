@@ -102,14 +102,28 @@ def _sum_rows(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(row, weights=values, minlength=n)
 
 
-def fit_bag(positive: list[np.ndarray], unlabelled: list[np.ndarray], vocabulary: Vocabulary, prior: float) -> np.ndarray:
-    """Weights and bias of a linear classifier that minimises the non-negative risk by Adam."""
-    size, parts = len(vocabulary.hashes), []
+def _numbered(sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Replace the features ``x`` of a text by the numbers of those in the vocabulary."""
+    schema = T.StructType([*without(sample.schema, ["x"]).fields, T.StructField("v", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for batch in batches:
+            sets = batch.column("x")
+            at, number = vocabulary.find(sets.flatten().to_numpy().view(np.uint64))
+            ends = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False))])
+            bounds = np.searchsorted(at, ends).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(number.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in schema.fields[:-1]], found], schema.names)
+
+    return sample.mapInArrow(run, schema)
+
+
+def fit_bag(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float) -> np.ndarray:
+    """Weights and bias of a linear classifier over ``size`` features that minimises the non-negative risk by Adam."""
+    parts = []
     for texts in (positive, unlabelled):
-        h = np.concatenate([*texts, np.zeros(0, dtype=np.int64)]).astype(np.int64).view(np.uint64)
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        at, number = vocabulary.find(h)
-        parts.append((owner[at], number, len(texts)))
+        number = np.concatenate([*texts, np.zeros(0, dtype=np.int32)]).astype(np.int64)
+        parts.append((np.repeat(np.arange(len(texts)), [len(t) for t in texts]), number, len(texts)))
     w = np.zeros(size + 1)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
@@ -161,11 +175,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     vocabulary = Vocabulary(np.array([r.h for r in chosen], dtype=np.int64).view(np.uint64))
 
     def bag(rows: pd.DataFrame) -> pd.DataFrame:
-        split = [[np.asarray(x) for x in rows.x[rows.positive == kind]] for kind in (True, False)]
-        weights = [fit_bag(*split, vocabulary, share).tolist()] if all(split) else []
+        split = [[np.asarray(v) for v in rows.v[rows.positive == kind]] for kind in (True, False)]
+        weights = [fit_bag(*split, size, share).tolist()] if all(split) else []
         return pd.DataFrame({"w": pd.Series(weights, dtype=object)})
 
-    bags = sample.withColumn("bag", F.explode(F.when(
+    size = len(vocabulary.hashes)
+    # Only numbers of the vocabulary travel to the bags.
+    bags = _numbered(sample, vocabulary).withColumn("bag", F.explode(F.when(
         F.col("positive"), F.sequence(F.lit(0), F.lit(BAGS - 1))).otherwise(F.array("bag"))))
     fitted = [r.w for r in bags.groupBy("bag").applyInPandas(bag, "w array<double>").collect()]
     if not fitted:
