@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Callable
 
 #: Words a task remembers; beyond it starts afresh, so memory stays bounded.
-MEMORY = 200_000
+MEMORY = 400_000
 #: Longer words are merged with a heap instead of a scan for each merge.
 SHORT = 64
 
