@@ -13,11 +13,13 @@ from tideline.sources.readers import first_rows, json_table, message_text
 
 # ---- change feeds ---------------------------------------------------------
 
+# The last column is the version of the entry.
 DIM_CONFIG = [
-    ("nation", "dim_base_province", "n_nationkey,n_name", "info", "n_nationkey", "r"),
-    ("supplier", "dim_spu_info", "s_suppkey,s_name,s_nationkey", "info", "s_suppkey", "c"),
-    ("part", "dim_sku_info", "p_partkey,p_name,p_brand", "info", "p_partkey", "u"),
-    ("region", "dim_base_region", "r_regionkey,r_name", "info", "r_regionkey", "d"),
+    ("nation", "dim_replaced", "n_nationkey", "info", "n_nationkey", "c", 1),
+    ("nation", "dim_base_province", "n_nationkey,n_name", "info", "n_nationkey", "u", 2),
+    ("supplier", "dim_spu_info", "s_suppkey,s_name,s_nationkey", "info", "s_suppkey", "c", 1),
+    ("part", "dim_sku_info", "p_partkey,p_name,p_brand", "info", "p_partkey", "u", 1),
+    ("region", "dim_base_region", "r_regionkey,r_name", "info", "r_regionkey", "d", 1),
 ]
 FACT_CONFIG = [
     ("orders", "insert", "dwd_order_insert", "o_orderkey,o_custkey,o_orderpriority", "r"),
@@ -43,9 +45,9 @@ def cdc_route_dim(spark: SparkSession, folder: str) -> DataFrame:
         literal_rows(
             spark, DIM_CONFIG,
             "source_table string, sink_table string, sink_columns string, sink_family string, sink_row_key string, "
-            "op string",
+            "op string, version int",
         ),
-        ["source_table"],
+        ["source_table"], ["version"],
     )
     changes = cdc.keep_changes(dimension_feed(spark, folder), "shop")
     routed = cdc.route_dimensions(changes, config)

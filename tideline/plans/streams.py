@@ -298,13 +298,16 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
     changes = order_changes(feed.stream)
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        # The entry is replaced by a newer version with every batch.
+        versions = [("orders", "dim_order", "o_orderkey,o_custkey,o_orderpriority", "info", "o_orderkey", "c", 1)]
+        versions.append(("orders", "dim_order", "o_orderkey,o_custkey,o_orderpriority", "info", "o_orderkey", "u", 2 + batch_id))
         config = cdc.current_config(
             literal_rows(
-                spark, [("orders", "dim_order", "o_orderkey,o_custkey,o_orderpriority", "info", "o_orderkey", "c")],
+                spark, versions,
                 "source_table string, sink_table string, sink_columns string, sink_family string, "
-                "sink_row_key string, op string",
+                "sink_row_key string, op string, version int",
             ),
-            ["source_table"],
+            ["source_table"], ["version"],
         )
         history.routed_upserts(cdc.keep_changes(batch, "shop"), batch_id, config, store)
 

@@ -7,22 +7,18 @@ from pyspark.sql import types as T
 _S, _L, _I = T.StringType(), T.LongType(), T.IntegerType()
 _MAP = T.MapType(_S, _S)
 
-
 def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(n, _S) for n in names]
 
-
 def _struct(*parts) -> T.StructType:
     fields: list[T.StructField] = []
     for p in parts:
         fields += p if isinstance(p, list) else [p]
     return T.StructType(fields)
 
-
 def _field(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind)
 
-
 # Change of one row of a business table.
 CHANGE = _struct(
     _field("before", _MAP), _field("after", _MAP), _field("source", _MAP), _strings("op"), _field("ts_ms", _L)
@@ -46,33 +42,14 @@ APP_LOG = _struct(
     _field("err", _MAP),
     _field("ts", _L),
 )
-PAGE_LOG = _struct(_field("common", COMMON), _field("page", PAGE), _field("ts", _L))
-
 DIM_CONFIG = _struct(_strings("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key", "op"))
 FACT_CONFIG = _struct(_strings("source_table", "source_type", "sink_table", "sink_columns", "op"))
 
 CART_ADD = _struct(_strings("id", "user_id", "sku_id", "sku_num"), _field("ts_ms", _L))
-ORDER_DETAIL = _struct(
-    _strings(
-        "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id",
-        "coupon_id", "date_id", "create_time", "sku_num", "split_original_amount", "split_activity_amount",
-        "split_coupon_amount", "split_total_amount",
-    ),
-    _field("ts", _L),
-)
-DICTIONARY = _struct(_strings("dic_code"), _field("info", _struct(_strings("dic_name"))))
-CATEGORY_DICTIONARY = _struct(_field("id", _I), _strings("category_name", "search_category"))
 USER_INFO = _struct(
     _field("id", _I), _strings("login_name", "name", "gender"), _field("user_level", _I), _field("birthday", _I),
     _strings("create_time"),
 )
-BODY_INFO = _struct(
-    _field("uid", _I), _field("height", _I), _strings("unit_height"), _field("weight", _I), _strings("unit_weight")
-)
-COMMENT_INFO = _struct(
-    _strings("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt"), _field("ts", _L)
-)
-
 # Metric tables share the window bounds.
 _BOUNDS = _strings("stt", "edt", "cur_date")
 TRAFFIC_METRICS = _struct(
