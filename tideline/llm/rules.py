@@ -3,9 +3,11 @@
 DataFrame functions only.  Lines are normalised (ASCII lower case, white space
 collapsed) and hashed; each document counts a line once.  A line is frequent
 on a host when more than ``MIN_DOCS`` documents and more than ``MAX_SHARE`` of
-the host's documents have it; a host has at most (lines per document) /
-``MAX_SHARE`` such lines.  Frequent lines are removed, and a document that
-keeps less than ``MIN_LEFT`` of the words of its distinct lines is depleted.
+the host's documents have it, as the comparison SQL of the query says.  The
+share rises with the host; a caller that wants a fixed number of documents to
+be enough on a host of any size gives ``many_docs``.  Frequent lines are
+removed, and a document that keeps less than ``MIN_LEFT`` of the words of its
+distinct lines is depleted.
 
 The texts do not travel: the first pass writes a hash and a word count for
 each line, counts are combined before they are shuffled, and Catalyst picks
@@ -91,22 +93,27 @@ def document_lines(docs: DataFrame, keys: list[str], host: str) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """``(host, h)`` of the lines above both limits."""
+def frequent_lines(
+    lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, many_docs: int | None = None,
+) -> DataFrame:
+    """``(host, h)`` of the lines above both limits, or in more than ``many_docs`` documents of any host."""
     sizes = lines.groupBy("host").agg(F.count("*").alias("total"))
     counts = (
         lines.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n"))
         .where(F.col("n") > min_docs)
     )
-    return counts.join(sizes, "host").where(F.col("n") > max_share * F.col("total")).select("host", "h")
+    above = F.col("n") > max_share * F.col("total")
+    if many_docs is not None:
+        above = above | (F.col("n") > many_docs)
+    return counts.join(sizes, "host").where(above).select("host", "h")
 
 
-def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT, many_docs: int | None = None) -> DataFrame:
     """``doc_id``, the counts, base_failed, the words of distinct lines in all and in frequent lines, and ``kept``."""
     keyed = docs.select("doc_id", host, "text", F.xxhash64("text").alias("digest"))
     keys = ["doc_id", "digest"]
     lines = stored(document_lines(keyed, keys, host), "lines")
-    frequent = stored(frequent_lines(lines), "frequent")
+    frequent = stored(frequent_lines(lines, many_docs=many_docs), "frequent")
     removed = (
         lines.select(*keys, "host", F.inline("lines")).join(frequent, ["host", "h"])
         .groupBy(*keys, "host", "h").agg(F.max("w").alias("w"))
