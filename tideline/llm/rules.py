@@ -9,7 +9,11 @@ be enough on a host of any size gives ``many_docs``.  Frequent lines are
 removed, and a document that keeps less than ``MIN_LEFT`` of the words of its
 distinct lines is depleted.
 
-The texts do not travel: the first pass writes a hash and a word count for
+``remove_frequent`` gives the texts that are left: the places of the frequent
+lines are found by hash and the text is cut there, each text once.  ``judge``
+counts the words of the same lines.
+
+For the verdicts the texts do not travel: the first pass writes a hash and a word count for
 each line, counts are combined before they are shuffled, and Catalyst picks
 the join with the frequent lines by their size on disk.
 
@@ -21,14 +25,15 @@ Catalyst from computing them again for every element.
 Defined results: a null text has no words and fails; documents without a host
 share one host of their own; rows of equal id, host and text are counted as
 the rows they are and get equal results; an empty table gives an empty result;
-input columns named like a result give way to it.
+input columns named like a result give way to it.  Blank lines stay in a text,
+and a null text stays null.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tideline.llm.frames import stored
+from tideline.llm.frames import free_name, stored
 from tideline.plans.tables import table
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -83,13 +88,16 @@ def text_counts(docs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def document_lines(docs: DataFrame, keys: list[str], host: str) -> DataFrame:
-    """``keys``, host and the distinct normalised lines of each document as (hash, words)."""
+    """``keys``, host, every line of each document as (hash, words; 0 of a blank one) and the words of its distinct lines."""
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _UPPER.lower())
     lines = F.transform(F.split(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), "\n"), lambda x: F.btrim(x, F.lit(" ")))
-    distinct = F.array_distinct(F.filter(lines, lambda x: x != ""))
-    return docs.select(*keys, F.coalesce(host, F.lit("")).alias("host"), _once(distinct).alias("lines")).select(
-        *keys, "host", F.transform("lines", lambda x: F.struct(
-            F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("w"))).alias("lines"),
+    words = lambda x: F.length(x) - F.length(F.translate(x, " ", "")) + 1
+    distinct = F.array_distinct(F.filter("lines", lambda x: x != ""))
+    return docs.select(*keys, F.coalesce(host, F.lit("")).alias("host"), _once(lines).alias("lines")).select(
+        *keys, "host",
+        F.transform("lines", lambda x: F.struct(
+            F.xxhash64(x).alias("h"), F.when(x == "", 0).otherwise(words(x)).alias("w"))).alias("lines"),
+        F.aggregate(distinct, F.lit(0).cast("long"), lambda a, x: a + words(x)).alias("line_words"),
     )
 
 
@@ -98,8 +106,9 @@ def frequent_lines(
 ) -> DataFrame:
     """``(host, h)`` of the lines above both limits, or in more than ``many_docs`` documents of any host."""
     sizes = lines.groupBy("host").agg(F.count("*").alias("total"))
+    solid = F.filter("lines", lambda x: x["w"] > 0)
     counts = (
-        lines.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n"))
+        lines.select("host", F.explode(F.array_distinct(solid["h"])).alias("h")).groupBy("host", "h").agg(F.count("*").alias("n"))
         .where(F.col("n") > min_docs)
     )
     above = F.col("n") > max_share * F.col("total")
@@ -108,21 +117,45 @@ def frequent_lines(
     return counts.join(sizes, "host").where(above).select("host", "h")
 
 
+def removed_lines(lines: DataFrame, keys: list[str], many_docs: int | None = None) -> DataFrame:
+    """``keys`` and host of the documents with frequent lines, the places of these lines, and the words of the distinct ones."""
+    frequent = stored(frequent_lines(lines, many_docs=many_docs), "frequent")
+    return (
+        lines.select(*keys, "host", F.posexplode("lines").alias("at", "line")).where(F.col("line.w") > 0)
+        .select(*keys, "host", "at", "line.h", "line.w").join(frequent, ["host", "h"])
+        .groupBy(*keys, "host", "h").agg(F.max("w").alias("w"), F.collect_set("at").alias("at"))
+        .groupBy(*keys, "host").agg(
+            F.sum("w").alias("removed_words"), F.sort_array(F.flatten(F.collect_list("at"))).alias("removed_at"))
+    )
+
+
+def remove_frequent(docs: DataFrame, host: str = "source", many_docs: int | None = None) -> DataFrame:
+    """``docs`` with the ``text`` that is left without the frequent lines; ``judge`` counts the words of these lines."""
+    keys = ["doc_id", "digest"]
+    keyed = docs.select("doc_id", host, "text", F.xxhash64("text").alias("digest"))
+    lines = stored(document_lines(keyed, keys, host), "lines")
+    gone, at, raw = (free_name(docs, n) for n in ("_gone", "_at", "_raw"))
+    removed = removed_lines(lines, keys, many_docs).select(F.struct("doc_id", "digest", "host").alias(gone), F.col("removed_at").alias(at))
+    both = docs.join(
+        removed, docs["doc_id"].eqNullSafe(F.col(f"{gone}.doc_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col(f"{gone}.digest"))
+        & (F.coalesce(docs[host], F.lit("")) == F.col(f"{gone}.host")), "left"
+    ).withColumn(raw, _once(F.split("text", "\n")))
+    first = lambda k: F.coalesce(F.get(at, k - 1) + 1, F.lit(0))
+    left = F.transform(F.sequence(F.lit(0), F.size(at)), lambda k: F.slice(
+        raw, first(k) + 1, F.coalesce(F.get(at, k), F.size(raw)) - first(k)))
+    text = F.when(F.col(at).isNull(), F.col("text")).otherwise(F.array_join(F.flatten(left), "\n"))
+    return both.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT, many_docs: int | None = None) -> DataFrame:
     """``doc_id``, the counts, base_failed, the words of distinct lines in all and in frequent lines, and ``kept``."""
     keyed = docs.select("doc_id", host, "text", F.xxhash64("text").alias("digest"))
     keys = ["doc_id", "digest"]
     lines = stored(document_lines(keyed, keys, host), "lines")
-    frequent = stored(frequent_lines(lines, many_docs=many_docs), "frequent")
-    removed = (
-        lines.select(*keys, "host", F.inline("lines")).join(frequent, ["host", "h"])
-        .groupBy(*keys, "host", "h").agg(F.max("w").alias("w"))
-        .groupBy(*keys, "host").agg(F.sum("w").alias("removed_words"))
-        .select(F.col("doc_id").alias("id"), F.col("digest").alias("d"), F.col("host").alias("owner"), "removed_words")
-    )
-    total = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["w"])
+    removed = removed_lines(lines, keys, many_docs).select(
+        F.col("doc_id").alias("id"), F.col("digest").alias("d"), F.col("host").alias("owner"), "removed_words")
     # Copies of a row have equal totals: any of them will do.
-    totals = lines.groupBy(*keys).agg(F.max(total).alias("line_words"))
+    totals = lines.groupBy(*keys).agg(F.max("line_words").alias("line_words"))
     counts = text_counts(keyed.withColumn("host", F.coalesce(host, F.lit(""))), [*keys, "host"])
     both = counts.join(
         removed, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("digest").eqNullSafe(F.col("d"))
