@@ -3,12 +3,15 @@
 Patterns find candidates in every whole text in one narrow pass.  What tells a
 live credential from a documentation example is who has it: the hash of every
 candidate is counted by distinct documents (repositories) and distinct sources
-(owners) over the whole corpus.  Hashes of at least ``EXAMPLE_OWNERS`` owners
-are widely copied examples, the others belong to somebody and look live.
+(owners) over the whole corpus.  Hashes of at least ``EXAMPLE_OWNERS`` owners,
+or in more than ``EXAMPLE_REPOSITORIES`` repositories of whatever owners, are
+widely copied examples, the others belong to somebody and look live.
 
 Beyond the base kinds, long mixed tokens are candidates too.  Alone they prove
-nothing, so they become spans, of the kind ``owned``, only if they have a
-single owner.  Base spans always stay.
+nothing, so they become spans, of the kind ``owned``, only if they have fewer
+than ``EXAMPLE_OWNERS`` owners: those of a single owner among ``spans``, those
+of several in ``shared_spans``.  Both count as live or copied.  Base spans
+always stay.
 
 Only hashes are shuffled, each level of distinct counts combined before it
 moves; the texts stay where they are.
@@ -36,6 +39,8 @@ from tideline.plans.tables import table
 
 #: Owners from which on a candidate is a widely copied example.
 EXAMPLE_OWNERS = 3
+#: A candidate in more distinct documents is one too, even if a single owner has them all.
+EXAMPLE_REPOSITORIES = 10
 #: Least entropy, in bits a character, of a token of the kind ``owned``.
 LEAST_BITS = 3.5
 
@@ -127,20 +132,24 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def find_secrets(docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``doc_id``, counts and digest of the base spans, all spans, and how many candidates are live or copied."""
+def find_secrets(
+    docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
+) -> DataFrame:
+    """``doc_id``, counts and digest of the base spans, all spans, how many candidates are live or copied, shared spans."""
     scanned = stored(scan(docs, owner).withColumn("row", F.monotonically_increasing_id()), "secrets")
     hits = scanned.where(F.size("found") > 0).select("row", F.inline("found"))
     judged = hits.join(ownership(scanned), "h")
-    copied = F.col("owners") >= example_owners
-    shown = (F.col("kind") < 3) | (F.col("owners") == 1)
-    spans = F.transform(
-        F.sort_array(F.collect_list(F.when(shown, F.struct("start", "kind", "end")))),
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") > example_repositories)
+    single = (F.col("kind") < 3) | (F.col("owners") == 1)
+    shared = ~single & (F.col("owners") < example_owners)
+    spans = lambda chosen: F.concat_ws(",", F.transform(
+        F.sort_array(F.collect_list(F.when(chosen, F.struct("start", "kind", "end")))),
         lambda s: F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), s["kind"]), s["start"], s["end"]),
-    )
+    ))
     by_row = judged.groupBy("row").agg(
-        F.concat_ws(",", spans).alias("spans"),
-        F.count_if(shown & ~copied).alias("n_live"), F.count_if(shown & copied).alias("n_copied"),
+        spans(single).alias("spans"), spans(shared).alias("shared_spans"),
+        F.count_if((single | shared) & ~copied).alias("n_live"), F.count_if((single | shared) & copied).alias("n_copied"),
         F.max("repositories").alias("most_repositories"), F.max("owners").alias("most_owners"),
     )
     kinds = F.transform("found", lambda s: s["kind"])
@@ -150,6 +159,7 @@ def find_secrets(docs: DataFrame, owner: str = "source", example_owners: int = E
         "doc_id", count[0].alias("n_assign"), count[1].alias("n_access"), count[2].alias("n_hex"), "base_sha256",
         F.coalesce("spans", F.lit("")).alias("spans"),
         *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in totals],
+        F.coalesce("shared_spans", F.lit("")).alias("shared_spans"),
     )
 
 
