@@ -1,10 +1,11 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Texts are sets of features: words and beginnings of words.  A bounded sample
-of confirmed toxic texts and of unlabelled texts yields a vocabulary (the
-features most enriched among the toxic ones, by a distributed count), and one
-numpy classifier per bag of unlabelled texts, trained in parallel tasks with
-the risk
+Texts are sets of features: words and beginnings of words.  The features of a
+bounded sample of confirmed toxic texts that could be enriched are counted in
+all texts outside the held-out fold, in one narrow pass that sends one count
+per task and feature; the most enriched are the vocabulary.  A bounded sample
+of unlabelled texts, those of the smallest id hashes, is dealt to bags, and one
+numpy classifier per bag is trained in parallel tasks with the risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]),
 
@@ -32,11 +33,11 @@ from tideline.llm.labelled import labelled_texts
 from tideline.llm.spans import WORD, Spans, groups
 from tideline.plans.tables import table
 
-#: Bounds of the training sample (unlabelled texts: expected number of a uniform sample), the vocabulary and the bags.
+#: Bounds of the training sample (ids of unlabelled texts), the vocabulary and the bags.
 MAX_TOXIC, MAX_UNLABELLED, VOCABULARY, BAGS = 4_000, 16_000, 1_024, 4
 #: Beginnings of words, in bytes.
 PREFIXES = (4, 5, 6, 7, 8)
-#: A feature has to occur in so many sampled texts.
+#: A feature has to occur in so many texts, toxic examples and all texts together.
 LEAST_TEXTS = 5
 #: and to be so many standard errors more frequent in toxic ones.
 LEAST_SURPLUS = 2.5
@@ -118,6 +119,26 @@ def _numbered(sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return sample.mapInArrow(run, schema)
 
 
+def _counts(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
+    """``(h, u)``: how many of all texts have each of the features ``hashes``."""
+    vocabulary = Vocabulary(hashes)
+
+    def run(batches):
+        size = len(vocabulary.hashes)
+        count = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for group in groups(batch.column("text")):
+                spans = Spans(group, WORD)
+                h, owner = features(spans)
+                at, number = vocabulary.find(h)
+                row = np.searchsorted(spans.first, owner[at], "right") - 1
+                count += np.bincount(np.unique(row * size + number) % max(1, size), minlength=size)
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(vocabulary.hashes[some].view(np.int64)), pa.array(count[some])], ["h", "u"])
+
+    return docs.select("text").mapInArrow(run, "h long, u long").groupBy("h").agg(F.sum("u").alias("u"))
+
+
 def fit_bag(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float) -> np.ndarray:
     """Weights and bias of a linear classifier over ``size`` features that minimises the non-negative risk by Adam."""
     parts = []
@@ -152,22 +173,29 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.uint64)
     if not 0 < share < 1:
         return none, np.array([np.log(max(share, 1e-9) / max(1 - share, 1e-9))])
-    rest = docs.where(~held_out()).select("text")
-    fraction = min(1.0, MAX_UNLABELLED / max(1, rest.count()))
+    rest = docs.where(~held_out()).select("doc_id", "text")
+    drawn = rest.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_UNLABELLED)
     toxic = _feature_sets(labelled_texts(docs, labels, "toxic", MAX_TOXIC, only=1))
     toxic = toxic.groupBy("doc_id").agg(F.min("x").alias("x")).select(F.lit(True).alias("positive"), "x")
-    other = _feature_sets(rest.sample(fraction, seed=11)).select(F.lit(False).alias("positive"), "x")
+    other = _feature_sets(rest.join(F.broadcast(drawn), "doc_id"))
+    other = other.groupBy("doc_id").agg(F.min("x").alias("x")).select(F.lit(False).alias("positive"), "x")
     sample = stored(
         toxic.union(other).withColumn("bag", F.pmod(F.xxhash64("x"), F.lit(BAGS)).cast("int")), "toxicity"
     )
     sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
     if len(sizes) < 2:
         return none, np.array([np.log(share / (1 - share))])
-    p, u = F.col("p") / sizes[True], F.col("u") / sizes[False]
-    surplus = (p - u) / F.sqrt((p * (1 - p) + 0.01) / sizes[True] + (u * (1 - u) + 0.01) / sizes[False])
+    n_toxic, n_rest = sizes[True], rest.count()
+    p, u = F.col("p") / n_toxic, F.col("u") / n_rest
+    surplus = (p - u) / F.sqrt((p * (1 - p) + 0.01) / n_toxic + (u * (1 - u) + 0.01) / n_rest)
+    toxic_counts = stored(
+        sample.where("positive").select(F.explode("x").alias("h")).groupBy("h").agg(F.count("*").alias("p")), "toxic_counts"
+    )
+    # No count in the other texts lifts a surplus above that of a feature none of them has.
+    possible = toxic_counts.withColumn("u", F.lit(0)).where(surplus >= LEAST_SURPLUS).select("h", "p")
+    candidates = np.array([r.h for r in possible.select("h").collect()], dtype=np.int64).view(np.uint64)
     chosen = (
-        sample.select("positive", F.explode("x").alias("h")).groupBy("h")
-        .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
+        possible.join(_counts(rest, candidates), "h", "left").select("h", "p", F.coalesce("u", F.lit(0)).alias("u"))
         .where(F.col("p") + F.col("u") >= LEAST_TEXTS)
         .withColumn("z", surplus).where(F.col("z") >= LEAST_SURPLUS).orderBy(F.desc("z"), "h")
         .limit(VOCABULARY).collect()
@@ -175,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     vocabulary = Vocabulary(np.array([r.h for r in chosen], dtype=np.int64).view(np.uint64))
 
     def bag(rows: pd.DataFrame) -> pd.DataFrame:
-        split = [[np.asarray(v) for v in rows.v[rows.positive == kind]] for kind in (True, False)]
+        # Sums of floats depend on the order of the texts.
+        split = [sorted(map(np.asarray, rows.v[rows.positive == kind]), key=bytes) for kind in (True, False)]
         weights = [fit_bag(*split, size, share).tolist()] if all(split) else []
         return pd.DataFrame({"w": pd.Series(weights, dtype=object)})
 
@@ -183,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     # Only numbers of the vocabulary travel to the bags.
     bags = _numbered(sample, vocabulary).withColumn("bag", F.explode(F.when(
         F.col("positive"), F.sequence(F.lit(0), F.lit(BAGS - 1))).otherwise(F.array("bag"))))
-    fitted = [r.w for r in bags.groupBy("bag").applyInPandas(bag, "w array<double>").collect()]
+    fitted = sorted(r.w for r in bags.groupBy("bag").applyInPandas(bag, "w array<double>").collect())
     if not fitted:
         return none, np.array([np.log(share / (1 - share))])
     return vocabulary.hashes, np.mean(fitted, axis=0)
