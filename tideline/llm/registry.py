@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from tideline.llm import (
-    byte_bpe, decontaminate, line_dedup, quality, rules, secrets, sharding, simhash, token_counts, toxicity,
+    byte_bpe, decontaminate, filter_audit, line_dedup, quality, rules, secrets, sharding, simhash, token_counts, toxicity,
 )
 
-_MODULES = [decontaminate, toxicity, quality, rules, line_dedup, token_counts, secrets, simhash, sharding, byte_bpe]
+_MODULES = [
+    decontaminate, toxicity, quality, rules, line_dedup, token_counts, secrets, simhash, sharding, byte_bpe, filter_audit,
+]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: text for m in _MODULES for name, text in m.ORACLE.items()}
