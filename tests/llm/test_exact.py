@@ -30,7 +30,7 @@ def test_sql(spark, sf, name):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_windows_in_several_blocks(spark, sf):

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from tideline.llm import (
-    byte_bpe, decontaminate, filter_audit, hard_negatives, line_dedup, quality, rules, secrets, sharding, simhash, token_counts,
-    toxicity,
+    byte_bpe, decontaminate, filter_audit, hard_negatives, line_dedup, quality, rules, sanitise, secrets, sharding, simhash,
+    token_counts, toxicity,
 )
 
 _MODULES = [
     decontaminate, toxicity, quality, rules, line_dedup, token_counts, secrets, simhash, sharding, byte_bpe, filter_audit,
-    hard_negatives,
+    hard_negatives, sanitise,
 ]
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
