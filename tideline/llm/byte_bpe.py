@@ -6,7 +6,7 @@ of hash buckets in the plan.  It gives the right ids, but encoding a corpus
 with it means either bringing the ids back to every place of a word by a
 shuffle of all places, or folding each text's words again; README.md has the
 figures.  ``encode`` therefore folds the same merges in the tasks, each
-distinct word once in the bounded memory of a task, in one narrow pass.
+distinct word once in the bounded memory of a Python worker, in one narrow pass.
 Decoding concatenates the binary pieces of the ids.
 
 Defined results: null counts as empty and gives no ids; repeated rows get equal
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import pickle
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tideline.llm.classes import Words
 from tideline.llm.frames import bounded_batches, free_name, without
-from tideline.llm.merges import Memory, merge
+from tideline.llm.merges import Memory, kept, merge
 from tideline.plans.tables import table
 
 
@@ -79,12 +80,12 @@ def _packed(spark: SparkSession, path: str, pattern: str):
 
 def _mapped(df: DataFrame, name: str, kind: T.DataType, path: str, pattern: str, make, gone: tuple = ()) -> DataFrame:
     """``df``, without the columns ``gone``, with the column ``name`` made from each batch by ``make(coder, batch)``."""
-    packed = _packed(bounded_batches(df.sparkSession), path, pattern)
+    packed, key = _packed(bounded_batches(df.sparkSession), path, pattern), uuid.uuid4().hex
     fields = without(df.schema, [name, *gone]).fields
     schema = T.StructType([*fields, T.StructField(name, kind)])
 
     def run(batches):
-        coder = Coder(*pickle.loads(packed.value))  # lives as long as the task
+        coder = kept(key, lambda: Coder(*pickle.loads(packed.value)))
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], make(coder, batch)], schema.names)
 

@@ -1,31 +1,51 @@
-"""Ranked merges of byte-pair encoding for one word, and a bounded memory of words already done."""
+"""Ranked merges of byte-pair encoding for one word, and a bounded memory of words already done, kept by the Python worker."""
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Callable
 
-#: Words a task remembers; beyond it starts afresh, so memory stays bounded.
-MEMORY = 400_000
+#: Words of one generation of a memory; two generations are kept.
+MEMORY = 300_000
 #: Longer words are merged with a heap instead of a scan for each merge.
 SHORT = 64
 
 
 class Memory(dict):
-    """Values of words, computed on the first look-up."""
+    """Values of words, computed on the first look-up.
+
+    When a generation is full, it becomes the old one and that before it goes;
+    a word found in the old one is taken over, so words that keep coming stay.
+    """
 
     def __init__(self, make: Callable, fixed: dict | None = None):
         super().__init__(fixed or {})
-        self.make, self.fixed = make, fixed or {}
+        self.make, self.fixed, self.old = make, fixed or {}, {}
 
     def __missing__(self, word):
         if len(self) - len(self.fixed) >= MEMORY:
+            self.old = dict(self)
             self.clear()
             self.update(self.fixed)
-        value = self[word] = self.make(word)
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        self[word] = value
         return value
 
 
+_kept: tuple[str, object] | None = None
+
+
+def kept(key: str, build: Callable[[], object]) -> object:
+    """What ``build`` makes, made once in a Python worker and shared by its tasks until another key comes."""
+    global _kept
+    if _kept is None or _kept[0] != key:
+        _kept = None
+        _kept = (key, build())
+    return _kept[1]
+
+
 def merge(parts: list, rank_of: Callable) -> list:
     """Join neighbours, always the leftmost pair of the lowest rank, until no pair has a rank.
 

@@ -3,7 +3,7 @@
 Before any text is read, the merges are run over the vocabulary itself: a
 string that ends up as a single token is proven to be one whenever it is a
 word of its own.  In the texts such words count 1 by a look-up; only the rest
-are merged, each distinct word once in the bounded memory of a task.
+are merged, each distinct word once in the bounded memory of a Python worker.
 
 Follows the normalisation of the vocabulary file: special strings are cut out
 of the raw text (1 token each), then NFC, lower case, and the file's own word
@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import pickle
 import unicodedata
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tideline.llm.classes import Words
 from tideline.llm.frames import bounded_batches, without
-from tideline.llm.merges import Memory, merge
+from tideline.llm.merges import Memory, kept, merge
 from tideline.plans.tables import table
 
 #: Tokens a text may have.
@@ -114,17 +115,20 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT, gone: Seq
         data = json.load(file)
     words = word_pattern(data)
     packed = spark.sparkContext.broadcast(pickle.dumps((data, words, WordCounter(data, words).prove())))
+    key = uuid.uuid4().hex
     fields = without(docs.schema, ["n_bytes", "n_tokens", "over_limit", *gone]).fields
     schema = T.StructType([
         *fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("over_limit", T.BooleanType()),
     ])
 
-    def run(batches):
-        # Lives as long as the task.
+    def build():
         data, words, proven = pickle.loads(packed.value)
         counter = WordCounter(data, words)
-        memory = counter.memory(proven)
+        return counter, counter.memory(proven)
+
+    def run(batches):
+        counter, memory = kept(key, build)
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             counts = pa.array([counter.count(t, memory) for t in texts.to_pylist()], pa.int64())
