@@ -119,7 +119,7 @@ def test_ownership_separates_examples_from_live_ones(spark):
     got = {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert (got[0].n_live, got[0].n_copied, got[0].most_owners) == (0, 1, 5)
     assert (got[9].n_live, got[9].n_copied, got[9].most_repositories) == (1, 0, 2)
-    assert got[11].spans == "owned:4:24" and got[12].spans == ""
+    assert got[11].spans == got[12].spans == "owned:4:24" and (got[11].shared_spans, got[12].shared_spans) == ("", "owned:4:24")
 
 
 def simhash_of(text):

@@ -9,9 +9,9 @@ widely copied examples, the others belong to somebody and look live.
 
 Beyond the base kinds, long mixed tokens are candidates too.  Alone they prove
 nothing, so they become spans, of the kind ``owned``, only if they have fewer
-than ``EXAMPLE_OWNERS`` owners: those of a single owner among ``spans``, those
-of several in ``shared_spans``.  Both count as live or copied.  Base spans
-always stay.
+than ``EXAMPLE_OWNERS`` owners; those of several owners are listed once more in
+``shared_spans``.  All of them count as live or copied.  Base spans always
+stay.
 
 Only hashes are shuffled, each level of distinct counts combined before it
 moves; the texts stay where they are.
@@ -136,20 +136,20 @@ def find_secrets(
     docs: DataFrame, owner: str = "source", example_owners: int = EXAMPLE_OWNERS,
     example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
-    """``doc_id``, counts and digest of the base spans, all spans, how many candidates are live or copied, shared spans."""
+    """``doc_id``, counts and digest of the base spans, all spans, how many of them are live or copied, spans of several owners."""
     scanned = stored(scan(docs, owner).withColumn("row", F.monotonically_increasing_id()), "secrets")
     hits = scanned.where(F.size("found") > 0).select("row", F.inline("found"))
     judged = hits.join(ownership(scanned), "h")
     copied = (F.col("owners") >= example_owners) | (F.col("repositories") > example_repositories)
-    single = (F.col("kind") < 3) | (F.col("owners") == 1)
-    shared = ~single & (F.col("owners") < example_owners)
-    spans = lambda chosen: F.concat_ws(",", F.transform(
-        F.sort_array(F.collect_list(F.when(chosen, F.struct("start", "kind", "end")))),
+    owned = (F.col("kind") == 3) & (F.col("owners") < example_owners)
+    chosen, shared = (F.col("kind") < 3) | owned, owned & (F.col("owners") > 1)
+    spans = lambda which: F.concat_ws(",", F.transform(
+        F.sort_array(F.collect_list(F.when(which, F.struct("start", "kind", "end")))),
         lambda s: F.concat_ws(":", F.get(F.array(*map(F.lit, KINDS)), s["kind"]), s["start"], s["end"]),
     ))
     by_row = judged.groupBy("row").agg(
-        spans(single).alias("spans"), spans(shared).alias("shared_spans"),
-        F.count_if((single | shared) & ~copied).alias("n_live"), F.count_if((single | shared) & copied).alias("n_copied"),
+        spans(chosen).alias("spans"), spans(shared).alias("shared_spans"),
+        F.count_if(chosen & ~copied).alias("n_live"), F.count_if(chosen & copied).alias("n_copied"),
         F.max("repositories").alias("most_repositories"), F.max("owners").alias("most_owners"),
     )
     kinds = F.transform("found", lambda s: s["kind"])
