@@ -94,6 +94,17 @@ def test_lines(results):
     assert rows[3].text == "the same text\nthe same text" and rows[3].n_lines == 2
 
 
+def test_lines_beside_columns_named_like_the_keys(spark):
+    """The names that the join with the deleted lines would like to use."""
+    names = ("_digest", "_digest_", "_found", "_found_", "_ranges", "_there", "_There_")
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{passage}\nown {i}") for i in range(3)], "doc_id long, text string").selectExpr(
+        "*", *[f"'mine' AS `{n}`" for n in names])
+    rows = line_dedup.dedupe_lines(docs).collect()
+    assert all(r[n] == "mine" for r in rows for n in names)
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(0, 0), (1, 1), (2, 1)]
+
+
 def test_tokens(results):
     rows = by_id(results["op6"])
     assert (rows[1].n_bytes, rows[1].n_tokens, rows[2].n_tokens, rows[5].n_tokens) == (0, 0, 0, 0)

@@ -172,14 +172,14 @@ def dedupe_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, names: tuple[str, str] = ("n_lines", "n_removed")
 ) -> DataFrame:
     """The documents without later repeated lines, with the numbers of lines with words and of lines removed."""
-    digest, ranges, there = (free_name(docs, n) for n in ("_digest", "_ranges", "_there"))
+    digest, own, ranges, there = (free_name(docs, n) for n in ("_found", "_digest", "_ranges", "_there"))
     found = repeated_runs(docs, min_words).select(
         F.col("doc_id").alias(there), F.col("digest").alias(digest), F.col("ranges").alias(ranges)
     )
-    keyed = docs.withColumn(digest + "_", F.xxhash64("text"))
+    keyed = docs.withColumn(own, F.xxhash64("text"))
     # Hash the ranges, the smaller side by far: the texts are shuffled but not sorted.
     joined = keyed.join(
-        found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(there)) & (F.col(digest + "_") == F.col(digest)), "left"
+        found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(there)) & (F.col(own) == F.col(digest)), "left"
     ).select(*[F.col(f"`{f.name}`") for f in without(docs.schema, [*names])], ranges)
     fields = joined.schema.fields[:-1]
     schema = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names]])
