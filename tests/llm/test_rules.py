@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tideline.llm import rules
 
 OWN = " ".join(f"w{k}" for k in range(60))
@@ -16,18 +18,31 @@ def large_host(spark):
 
 def test_a_fixed_number_of_documents_is_enough_on_a_large_host(spark):
     docs = large_host(spark)
-    by_share = {r.doc_id: r for r in rules.judge(docs).collect()}
+    by_share = {r.doc_id: r for r in rules.judge(docs, many_docs=40).collect()}
     by_number = {r.doc_id: r for r in rules.judge(docs, many_docs=30).collect()}
     assert all(r.kept and r.removed_words == 0 for r in by_share.values())
     assert all((r.removed_words, r.kept) == ((200, False) if i < 40 else (0, True)) for i, r in by_number.items())
 
 
+def test_the_limit_does_not_rise_with_the_host(spark):
+    """The same 1,001 documents share a line on a host of 1,500 and on one of 30,000 documents, where they are 3 %."""
+    shared = " ".join(f"s{k}" for k in range(200))
+    docs = spark.range(31_500).selectExpr(
+        "id AS doc_id", "if(id < 1500, 'small', 'hot') AS source",
+        f"concat('{OWN} own', id, if(id < 1001 OR id BETWEEN 1500 AND 2500, '\n{shared}', ''), "
+        f"if(id BETWEEN 3000 AND 3999, '\nmore {shared}', '')) AS text")
+    found = {(r.source, r.kept): r.n for r in rules.judge(docs).join(docs.select("doc_id", "source"), "doc_id")
+             .groupBy("source", "kept").agg(F.count("*").alias("n")).collect()}
+    # 1,000 documents with a line of their own are not more than 1,000.
+    assert found == {("small", False): 1001, ("small", True): 499, ("hot", False): 1001, ("hot", True): 28_999}
+
+
 def without_frequent(rows):
     """Texts without frequent lines, by brute force."""
     norm = lambda line: " ".join(line.translate(str.maketrans(rules._UPPER, rules._UPPER.lower())).split())
     total = Counter(r.source or "" for r in rows)
     n = Counter((r.source or "", x) for r in rows for x in {norm(line) for line in (r.text or "").split("\n")} - {""})
-    often = {k for k, v in n.items() if v > rules.MIN_DOCS and v > rules.MAX_SHARE * total[k[0]]}
+    often = {k for k, v in n.items() if v > rules.MIN_DOCS and v > rules.MAX_SHARE * total[k[0]] or v > rules.MANY_DOCS}
     return [None if r.text is None else "\n".join(x for x in r.text.split("\n") if (r.source or "", norm(x)) not in often) for r in rows]
 
 

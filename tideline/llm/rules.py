@@ -3,11 +3,10 @@
 DataFrame functions only.  Lines are normalised (ASCII lower case, white space
 collapsed) and hashed; each document counts a line once.  A line is frequent
 on a host when more than ``MIN_DOCS`` documents and more than ``MAX_SHARE`` of
-the host's documents have it, as the comparison SQL of the query says.  The
-share rises with the host; a caller that wants a fixed number of documents to
-be enough on a host of any size gives ``many_docs``.  Frequent lines are
-removed, and a document that keeps less than ``MIN_LEFT`` of the words of its
-distinct lines is depleted.
+the host's documents have it, and, on a host of any size, when more than
+``MANY_DOCS`` documents have it.  Frequent lines are removed, and a document
+that keeps less than ``MIN_LEFT`` of the words of its distinct lines is
+depleted.
 
 ``remove_frequent`` gives the texts that are left: the places of the frequent
 lines are found by hash and the text is cut there, each text once.  ``judge``
@@ -37,8 +36,9 @@ from tideline.llm.frames import free_name, stored
 from tideline.plans.tables import table
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
-#: A line is frequent in more than so many documents, and in more than this share of the documents of its host.
-MIN_DOCS, MAX_SHARE = 10, 0.05
+#: A line is frequent in more than so many documents, and in more than this share of the documents of its host;
+#: or in more than ``MANY_DOCS`` documents.
+MIN_DOCS, MAX_SHARE, MANY_DOCS = 10, 0.05, 1_000
 #: Share of the words of its distinct lines that a document has to keep.
 MIN_LEFT = 0.3
 
@@ -102,22 +102,20 @@ def document_lines(docs: DataFrame, keys: list[str], host: str) -> DataFrame:
 
 
 def frequent_lines(
-    lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, many_docs: int | None = None,
+    lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, many_docs: int = MANY_DOCS,
 ) -> DataFrame:
-    """``(host, h)`` of the lines above both limits, or in more than ``many_docs`` documents of any host."""
+    """``(host, h)`` of the lines above the first two limits, or in more than ``many_docs`` documents of any host."""
     sizes = lines.groupBy("host").agg(F.count("*").alias("total"))
     solid = F.filter("lines", lambda x: x["w"] > 0)
     counts = (
         lines.select("host", F.explode(F.array_distinct(solid["h"])).alias("h")).groupBy("host", "h").agg(F.count("*").alias("n"))
-        .where(F.col("n") > min_docs)
+        .where(F.col("n") > min(min_docs, many_docs))
     )
-    above = F.col("n") > max_share * F.col("total")
-    if many_docs is not None:
-        above = above | (F.col("n") > many_docs)
-    return counts.join(sizes, "host").where(above).select("host", "h")
+    above = (F.col("n") > min_docs) & (F.col("n") > max_share * F.col("total"))
+    return counts.join(sizes, "host").where(above | (F.col("n") > many_docs)).select("host", "h")
 
 
-def removed_lines(lines: DataFrame, keys: list[str], many_docs: int | None = None) -> DataFrame:
+def removed_lines(lines: DataFrame, keys: list[str], many_docs: int = MANY_DOCS) -> DataFrame:
     """``keys`` and host of the documents with frequent lines, the places of these lines, and the words of the distinct ones."""
     frequent = stored(frequent_lines(lines, many_docs=many_docs), "frequent")
     return (
@@ -129,7 +127,7 @@ def removed_lines(lines: DataFrame, keys: list[str], many_docs: int | None = Non
     )
 
 
-def remove_frequent(docs: DataFrame, host: str = "source", many_docs: int | None = None) -> DataFrame:
+def remove_frequent(docs: DataFrame, host: str = "source", many_docs: int = MANY_DOCS) -> DataFrame:
     """``docs`` with the ``text`` that is left without the frequent lines; ``judge`` counts the words of these lines."""
     keys = ["doc_id", "digest"]
     keyed = docs.select("doc_id", host, "text", F.xxhash64("text").alias("digest"))
@@ -147,7 +145,7 @@ def remove_frequent(docs: DataFrame, host: str = "source", many_docs: int | None
     return both.select(*[(text if c == "text" else F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
-def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT, many_docs: int | None = None) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", min_left: float = MIN_LEFT, many_docs: int = MANY_DOCS) -> DataFrame:
     """``doc_id``, the counts, base_failed, the words of distinct lines in all and in frequent lines, and ``kept``."""
     keyed = docs.select("doc_id", host, "text", F.xxhash64("text").alias("digest"))
     keys = ["doc_id", "digest"]
@@ -193,7 +191,7 @@ lines AS (
 sizes AS (SELECT host, count(*) AS total FROM d GROUP BY host),
 frequent AS (
   SELECT host, norm FROM (SELECT host, norm, count(*) AS n FROM lines GROUP BY ALL) JOIN sizes USING (host)
-  WHERE n > {MIN_DOCS} AND n > CAST({MAX_SHARE} AS DOUBLE) * total),
+  WHERE n > {MIN_DOCS} AND n > CAST({MAX_SHARE} AS DOUBLE) * total OR n > {MANY_DOCS}),
 words AS (
   SELECT r, sum(lw) AS line_words, coalesce(sum(lw) FILTER (f.norm IS NOT NULL), 0) AS removed_words
   FROM lines l LEFT JOIN frequent f ON l.host = f.host AND l.norm = f.norm GROUP BY r),
