@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the same files."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from compare import difference, duck
 
@@ -20,6 +24,18 @@ def test_entry_runs(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
+def test_a_missing_library_leaves_the_other_queries():
+    code = (
+        "import sys\n"
+        "sys.modules.update(dict.fromkeys(('xxhash', 'regex')))\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(QUERIES)), "False"], said.stderr
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     assert difference(QUERIES[name](spark, sf), con, ORACLE[name]) is None
