@@ -126,43 +126,61 @@ def device_search_score(spark: SparkSession, folder: str) -> DataFrame:
     return labels.search_scores(labels.device_scores(named))
 
 
-def age_label_job(spark: SparkSession, folder: str) -> DataFrame:
-    """The label chain on events: sign-ups are profiles, purchases orders, searches searches.
-
-    Ages follow from the user number, and the intervals are wide enough for
-    the sample: three hours around a profile and twelve around an order.
-    """
-    pages = page_log(spark, folder)
-    people = pages.where("event_type = 'signup'").select(
+def people(pages: DataFrame) -> DataFrame:
+    """Sign-ups as profiles; ages follow from the user number."""
+    return pages.where("event_type = 'signup'").select(
         F.col("user_id").alias("uid"), F.col("seq").alias("profile_seq"), F.concat("mid", "vc").alias("login_name"),
         "ts_ms", labels.age_group(F.lit(15) + F.pmod("user_id", F.lit(40))).alias("age_group"),
     )
-    bought = pages.where("event_type = 'purchase'").select(
+
+
+def purchases(pages: DataFrame) -> DataFrame:
+    """Purchases as orders."""
+    return pages.where("event_type = 'purchase'").select(
         F.col("user_id").alias("uid"), F.col("seq").alias("order_id"), F.col("ts_ms").alias("order_ms"),
         F.col("ts_ms").alias("create_ms"), F.col("during_time").cast("double").alias("original_total_amount"),
         pick(F.col("k") % len(_value_list("category")), _value_list("category")).alias("category1_name"),
         pick(F.col("k") % len(_value_list("brand")), _value_list("brand")).alias("tm_name"),
     )
-    searches = pages.where("item_type = 'keyword'").select(
+
+
+def searches(pages: DataFrame) -> DataFrame:
+    return pages.where("item_type = 'keyword'").select(
         F.col("user_id").alias("uid"), F.col("seq").alias("search_seq"), F.col("ts_ms").alias("search_ms"),
         first_token(F.col("os")).alias("os"), F.col("item").alias("keyword"),
     )
-    # One dictionary change per word and day.
-    topics = (
+
+
+def topics(pages: DataFrame) -> DataFrame:
+    """One dictionary change per word and day."""
+    return (
         pages.where("item_type = 'keyword' AND event_type = 'error'")
         .groupBy(F.col("item").alias("keyword"), F.to_date("ts").alias("d"))
         .agg(F.min("ts_ms").alias("topic_ms"), F.min("k").alias("k"))
         .select("keyword", "topic_ms", pick(F.col("k") % 7, _value_list("keyword")).alias("keyword_type"))
     )
-    scored = people_ops.age_label_job(
-        people, bought, searches, topics, profile_ms=3 * 3_600_000, search_ms=12 * 3_600_000, topic_ms=DAY_MS
-    )
+
+
+def label_columns(scored: DataFrame) -> DataFrame:
     return scored.select(
         "profile_seq", "order_id", "search_seq", "topic_ms", "age_group", "time_period", "price_sensitive",
         F.col("total_score").cast("double").alias("total_score"), "new_age_group",
     )
 
 
+def age_label_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The label chain on events: sign-ups are profiles, purchases orders, searches searches.
+
+    The intervals are wide enough for the sample: three hours around a profile
+    and twelve around an order.
+    """
+    pages = page_log(spark, folder)
+    return label_columns(people_ops.age_label_job(
+        people(pages), purchases(pages), searches(pages), topics(pages),
+        profile_ms=3 * 3_600_000, search_ms=12 * 3_600_000, topic_ms=DAY_MS,
+    ))
+
+
 # ---- scalar functions -----------------------------------------------------
 
 def time_convert(spark: SparkSession, folder: str) -> DataFrame:

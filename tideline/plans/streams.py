@@ -9,22 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tideline.functions.labels import AGE_GROUPS
 from tideline.functions.text import explode_words
-from tideline.functions.times import date_text
-from tideline.operators import applog, cdc, windows
-from tideline.plans import metrics, sql
+from tideline.functions.times import date_text, datetime_text, from_millis, to_millis
+from tideline.operators import applog, cdc, facts, people as people_ops, windows
+from tideline.operators.joins import lookup
+from tideline.plans import metrics, profiles, sql, trade
 from tideline.plans.feeds import order_changes
 from tideline.plans.tables import (
-    ORDER, app_log_text, as_details, as_double, as_page_log, literal_rows, table,
+    DAY_MS, ORDER, app_log_text, as_details, as_double, as_orders, as_page_log, literal_rows, orders, page_log, table,
 )
 from tideline.session import new_folder, partitions_for
-from tideline.sinks.writers import BatchTable, newest_rows, write_kinds
+from tideline.sinks.writers import BatchTable, WindowTable, newest_rows, write_kinds
 from tideline.sources.readers import read_files
-from tideline.streaming import history, processors
+from tideline.streaming import changelog, history, processors
+from tideline.streaming.bloom import BloomShape, new_rows
 from tideline.streaming.joins import interval_join_stream
-from tideline.streaming.runner import Job, bounded_delay, monotonous
+from tideline.streaming.runner import BatchWriter, Job, bounded_delay, monotonous
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -34,48 +37,75 @@ TIMES = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate"}
 
 
 class Feed:
-    """A sample table that arrives in ``SLICES`` parts, one after the other in event time."""
-
-    def __init__(self, spark: SparkSession, folder: str, name: str):
-        self.folder = folder
-        self.rows = table(spark, folder, name)
-        self.micros = F.coalesce(F.unix_micros(TIMES[name]), F.lit(-(1 << 62)))
-        cuts = [k / SLICES for k in range(1, SLICES)]
-        edges = self.rows.select(self.micros.alias("t")).approxQuantile("t", cuts, 0.01) or [0] * len(cuts)
+    """A sample table (or ``rows``) that arrives in ``SLICES`` parts, one after the other in event time.
+
+    ``deal`` numbers the slice of each row instead, from 0.  A ``delay`` of
+    some slices lets a feed come later than others of its job.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, name: str, rows: DataFrame | None = None, micros: Column | None = None,
+        deal: Column | None = None, delay: int = 0,
+    ):
+        self.folder, self.delay = folder, delay
+        self.rows = table(spark, folder, name) if rows is None else rows
+        if deal is None:
+            self.place = F.coalesce(F.unix_micros(TIMES[name]) if micros is None else micros, F.lit(-(1 << 62)))
+            cuts = [k / SLICES for k in range(1, SLICES)]
+            edges = self.rows.select(self.place.alias("t")).approxQuantile("t", cuts, 0.01) or [0] * len(cuts)
+        else:
+            self.place, edges = deal, range(1, SLICES)
         self.bounds = [-(1 << 63), *map(int, edges), (1 << 63) - 1]
         self.path = new_folder(spark, f"feed-{name}")
-        self.land(0)
+        self.rows.limit(0).write.parquet(self.path)
         self.stream = read_files(spark, self.path, self.rows.schema)
 
     def land(self, k: int) -> None:
-        part = self.rows.where((self.micros >= self.bounds[k]) & (self.micros < self.bounds[k + 1]))
-        part.write.mode("append").parquet(self.path)
+        if 0 <= k < SLICES:
+            part = self.rows.where((self.place >= self.bounds[k]) & (self.place < self.bounds[k + 1]))
+            part.write.mode("append").parquet(self.path)
 
     def run(self, job: Job, source: DataFrame) -> None:
         """Run ``job`` on ``source``, made of ``stream``, once for each slice."""
-        for k in range(SLICES):
-            if k:
-                self.land(k)
-            job.run(source)
+        run_together([self], job, source)
+
+
+def run_together(feeds: list[Feed], job: Job, source: DataFrame) -> None:
+    """Run ``job`` on ``source``, made of the streams of all feeds, once for each slice; delayed feeds come later."""
+    for k in range(SLICES + max(f.delay for f in feeds)):
+        for feed in feeds:
+            feed.land(k - feed.delay)
+        job.run(source)
+
+
+def _job(spark: SparkSession, name: str, folder: str, write: BatchWriter, mode: str = "append", persist: bool = False, **kw) -> Job:
+    """A job that uses its input up; the state is partitioned for the size of the sample folder."""
+    return Job(
+        name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode, persist=persist,
+        partitions=partitions_for(spark, folder), **kw,
+    )
 
 
 def _run(
-    spark: SparkSession, feed: Feed, name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
-    mode: str = "append",
+    spark: SparkSession, feed: Feed | list[Feed], name: str, source: DataFrame, schema: T.StructType, each: BatchFn | None = None,
+    mode: str = "append", closing: Callable[[], None] | None = None, **kw,
 ) -> DataFrame:
     """Run a job whose batches, after ``each``, land in a batch table; returns that table.
 
-    The state is partitioned for the size of the input.
+    ``closing`` lands what moves the watermark beyond all rows; the job then
+    runs once more, and ends with a batch for what that sets free.
     """
     found = BatchTable(spark, new_folder(spark, name))
+    feeds = feed if isinstance(feed, list) else [feed]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         found.write(each(batch, batch_id) if each else batch, batch_id)
 
-    feed.run(Job(
-        name, new_folder(spark, f"{name}-checkpoint"), each_batch=write, interval=None, output_mode=mode,
-        persist=each is not None, partitions=partitions_for(spark, feed.folder),
-    ), source)
+    job = _job(spark, name, feeds[0].folder, write, mode, each is not None, **kw)
+    run_together(feeds, job, source)
+    if closing:
+        closing()
+        job.run(source)
     return found.read(schema)
 
 
@@ -263,32 +293,180 @@ def stream_retract(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Running profile of each user."""
+    """Running profile of each user; the state has one entry for each value of a set."""
     sets = ["os", "ch", "md", "ba", "search_item"]
     feed, pages = _pages(spark, folder)
     rows = pages.select(
         "seq", "ts_ms", "ts", "mid", "os", "ch", "md", "ba",
         F.when(F.col("item_type") == "keyword", F.col("item")).alias("search_item"),
     )
-    totals = _state(spark, "profile-totals")
-    schema = T.StructType(_long("seq", "ts_ms") + _text("mid") + _long("pv") + _text(*sets))
+    out = processors.running_profile_stream(rows, "mid", ["ts", "seq"], sets)
+    return _run(spark, feed, "stream-profile", out, out.schema).drop("batch", "ts")
 
-    def each(batch: DataFrame, batch_id: int) -> DataFrame:
-        return history.profiles(batch, batch_id, totals, "mid", ["ts", "seq"], sets, "ts").drop("ts")
 
-    return _run(spark, feed, "stream-profile", rows, schema, each).drop("batch")
+def stream_visitor_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """New-visitor flags corrected by the first day of each visitor, with keyed state."""
+    feed, pages = _pages(spark, folder)
+    rows = pages.select(
+        "seq", "mid", "ts", "is_new", F.col("is_new").alias("is_new_fixed"), F.to_date("ts").alias("visit_date"))
+    out = processors.visitor_repair_stream(rows, "mid", ["ts", "seq"], "is_new_fixed")
+    return _run(spark, feed, "stream-visitor-repair", out, rows.schema).drop("batch", "ts", "visit_date")
 
 
-def stream_visitor_repair(spark: SparkSession, folder: str) -> DataFrame:
-    """New-visitor flags corrected by the first day of each visitor."""
-    origins = _state(spark, "visitor-origins")
+# ---- changelogs -----------------------------------------------------------
+
+def stream_order_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with order, activity and coupon as a changelog, folded at the end.
+
+    Orders and coupons arrive a slice later than their lines, activities two,
+    so rows are taken back and added again with what was missing.
+    """
+    lines, placed, activity, coupon = (
+        Feed(spark, folder, name, delay=delay) for name, delay in (("lineitem", 0), ("orders", 1), ("lineitem", 2), ("lineitem", 1)))
+    rows = as_details(lines.stream).withColumn("create_ms", F.col("ts_ms")).withColumn(
+        "line_amount", facts.line_amount(F.col("sku_num").cast("string"), F.col("split_original_amount").cast("string")))
+    header = as_orders(placed.stream, table(spark, folder, "customer")).select("order_id", "user_id", "province_id")
+    key = [F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_orderkey").alias("order_id")]
+    changes = changelog.join_changes(
+        rows, header,
+        {"activity": activity.stream.where("l_discount >= 0.08").select(
+            *key, F.col("l_suppkey").alias("activity_id"), F.col("l_suppkey").alias("activity_rule_id")),
+         "coupon": coupon.stream.where("l_tax >= 0.07").select(*key, F.col("l_partkey").alias("coupon_id"))},
+        "order_id", "id", {"activity": {"activity_id": max, "activity_rule_id": min}, "coupon": {"coupon_id": max}},
+    )
+    found = _run(spark, [lines, placed, activity, coupon], "stream-order-detail", changes, changes.schema).drop("batch")
+    amounts = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+    return as_double(changelog.fold(found).select(
+        "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
+        date_text(from_millis(F.col("create_ms"))).alias("date_id"), "create_ms", "sku_num", *amounts, "line_amount", "ts_ms",
+    ), *amounts, "line_amount")
+
+
+def stream_order_cancel(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of cancelled orders as a changelog, folded at the end; the cancellation arrives a slice after the lines."""
+    lines, placed = Feed(spark, folder, "lineitem"), Feed(spark, folder, "orders", delay=1)
+    rows = as_details(lines.stream).select("id", "order_id", "sku_id", "sku_num", "split_total_amount")
+    when = from_millis(to_millis(F.col("o_orderdate")))
+    cancelled = placed.stream.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("order_id"), date_text(when).alias("order_cancel_date_id"), datetime_text(when).alias("cancel_time"))
+    changes = changelog.join_changes(rows, cancelled, {}, "order_id", "id")
+    found = _run(spark, [lines, placed], "stream-order-cancel", changes, changes.schema).drop("batch")
+    return as_double(changelog.fold(found), "split_total_amount")
+
+
+def stream_retract_ttl(spark: SparkSession, folder: str) -> DataFrame:
+    """A version is taken back when the next one follows within 200 days; timers forget the older ones."""
+    feed = Feed(spark, folder, "lineitem")
+    rows = as_details(feed.stream).select("id", *ORDER)
+    out = changelog.retraction_stream(
+        rows, ["id"], ORDER, ["split_original_amount"], "ts_ms", 200 * DAY_MS, delay="1 second")
+    return as_double(_run(spark, feed, "stream-retract-ttl", out, out.schema).drop("batch"), "split_original_amount")
+
+
+def stream_province(spark: SparkSession, folder: str) -> DataFrame:
+    """Order amount and number of orders by province and day, net of replaced lines, in tables rewritten by window.
+
+    The number of orders can go down: ``refs`` counts the surviving lines of
+    each order in each window, and an order without any does not count.
+    """
+    feed = Feed(spark, folder, "lineitem")
+    rows = as_details(feed.stream).select("id", "order_id", "split_total_amount", *ORDER)
+    changes = changelog.retraction_stream(rows, ["id"], ORDER, ["split_total_amount"], "ts_ms")
+    placed = orders(spark, folder).select("order_id", "province_id")
+    refs = WindowTable(spark, new_folder(spark, "province-refs"), "stt", ["province_id", "order_id"])
+    found = WindowTable(spark, new_folder(spark, "province-orders"), "stt", ["province_id"])
+    bounds = ["stt", "edt", "cur_date"]
+    amount = lambda name: F.sum(name).cast("decimal(38,4)")
+    schema = T.StructType(_text(*bounds) + [T.StructField("province_id", T.IntegerType())])
+    ref_schema = T.StructType([
+        *schema.fields, *_long("order_id", "n"), T.StructField("amount", T.DecimalType(38, 4))])
+    out_schema = T.StructType([
+        *schema.fields, T.StructField("order_amount", T.DecimalType(38, 4)), *_long("order_count")])
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        located = batch.join(placed, "order_id").withColumn("ts", F.timestamp_millis("ts_ms"))
+        part = located.groupBy(F.window("ts", "1 day"), "province_id", "order_id").agg(
+            F.sum(F.when(F.col("row_kind") == "+", 1).otherwise(-1)).alias("n"), amount("split_total_amount").alias("amount"))
+        part = part.select(*windows.window_bounds(), *[c for c in part.columns if c != "window"])
+        both = refs.touched(part, batch_id, ref_schema).unionByName(part)
+        refs.upsert(both.groupBy(*bounds, "province_id", "order_id").agg(F.sum("n").alias("n"), amount("amount").alias("amount")), batch_id)
+        found.upsert(refs.written(ref_schema, batch_id).groupBy(*bounds, "province_id").agg(
+            amount("amount").alias("order_amount"), F.count_if(F.col("n") > 0).alias("order_count")), batch_id)
+
+    feed.run(_job(spark, "stream-province", folder, each, persist=True), changes)
+    named = lookup(found.current(out_schema), table(spark, folder, "nation"), "province_id", "n_nationkey", {"n_name": "province_name"})
+    return as_double(named, "order_amount")
+
+
+# ---- joins ----------------------------------------------------------------
+
+def stream_pay_outer(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases with the clicks around them; a purchase without one comes out once the watermark has passed its interval."""
+    feed, pages = _pages(spark, folder)
+    pay = pages.where("event_type = 'purchase'").select(
+        "user_id", F.col("seq").alias("p_seq"), F.col("ts").alias("p_ts"))
+    click = pages.where("event_type = 'click'").select(
+        "user_id", F.col("seq").alias("d_seq"), F.col("ts").alias("d_ts"))
+    pairs = interval_join_stream(pay, click, "user_id", "p_ts", "d_ts", -30 * 60_000, 5_000, how="left").select(
+        "user_id", "p_seq", "d_seq")
+
+    def closing() -> None:
+        # A purchase and a click of two users that do not exist, long after all others.
+        last = feed.rows.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts"))
+        kinds = last.select("ts", F.explode(F.array(F.lit("purchase"), F.lit("click"))).alias("event_type")).withColumn(
+            "user_id", F.when(F.col("event_type") == "purchase", -1).otherwise(-2).cast("long"))
+        rows = kinds.select(*[
+            F.col(f.name) if f.name in kinds.columns else F.lit('{"k": 0}' if f.name == "props" else None).cast(f.dataType).alias(f.name)
+            for f in feed.rows.schema.fields])
+        rows.write.mode("append").parquet(feed.path)
+
+    return _run(spark, feed, "stream-pay-outer", pairs, pairs.schema, closing=closing).drop("batch")
+
+
+def stream_age_label(spark: SparkSession, folder: str) -> DataFrame:
+    """The label chain as one stream: three interval joins, each passing a watermark on, then the scores."""
     feed, pages = _pages(spark, folder)
-    rows = pages.select("seq", "mid", "ts", "is_new", F.col("is_new").alias("is_new_fixed"))
+    topics = profiles.topics(page_log(spark, folder)).withColumn("topic_ts", F.timestamp_millis("topic_ms"))
+    changes = Feed(spark, folder, "topics", rows=topics, micros=F.unix_micros("topic_ts"))
+    stamp = lambda df, ms, out: df.withColumn(out, F.timestamp_millis(ms))
+    hour = 3_600_000
+    people = stamp(profiles.people(pages).where(F.col("age_group") == AGE_GROUPS[0]), "ts_ms", "people_ts")
+    bought, searches = stamp(profiles.purchases(pages), "order_ms", "order_ts"), stamp(profiles.searches(pages), "search_ms", "search_ts")
+    found = interval_join_stream(bought, people, "uid", "order_ts", "people_ts", -3 * hour, 3 * hour)
+    # Only the time of the order goes on as event time.
+    found = interval_join_stream(found.drop("people_ts"), searches, "uid", "order_ts", "search_ts", -12 * hour, 12 * hour, delay=None)
+    known = changes.stream.where(F.col("keyword_type").isNotNull())
+    found = interval_join_stream(found.drop("search_ts"), known, "keyword", "order_ts", "topic_ts", -DAY_MS, DAY_MS, delay=None)
+    scored = profiles.label_columns(people_ops.scored(found.drop("order_ts", "topic_ts")))
+    return _run(spark, [feed, changes], "stream-age-label", scored, scored.schema).drop("batch")
+
+
+# ---- an approximate filter, and state that expires -------------------------
+
+def stream_bloom_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct order and time: keys that a Bloom filter has surely not seen skip the exact look-up."""
+    columns = ["l_partkey", "l_suppkey", "l_extendedprice"]
+    feed = Feed(spark, folder, "lineitem", deal=F.pmod(F.xxhash64(*columns), F.lit(SLICES)))
+    rows = as_details(feed.stream).select("order_id", "ts_ms")
+    filters, seen = _state(spark, "bloom-words"), _state(spark, "bloom-seen")
+    shape = BloomShape.for_keys(1_000_000, 0.01)
 
     def each(batch: DataFrame, batch_id: int) -> DataFrame:
-        return history.repaired_visitors(batch, batch_id, origins, "mid", "ts", "is_new_fixed", ["ts", "seq"])
+        return new_rows(batch, batch_id, filters, seen, ["order_id", "ts_ms"], shape)
 
-    return _run(spark, feed, "stream-visitor-repair", rows, rows.schema, each).drop("batch", "ts")
+    return _run(spark, feed, "stream-bloom-dedup", rows, rows.schema, each).drop("batch")
+
+
+def stream_daily_unique_ttl(spark: SparkSession, folder: str) -> DataFrame:
+    """First visit of each visitor and day; the state of a visitor expires a day after the last visit.
+
+    Expiry goes by processing time, so it needs triggers that run once each.
+    """
+    feed, pages = _pages(spark, folder)
+    rows = pages.select("mid", "seq", "ts", F.to_date("ts").alias("visit_date"))
+    out = processors.daily_unique_stream(rows, "mid", ["ts", "seq"], ttl_ms=DAY_MS)
+    found = _run(spark, feed, "stream-daily-unique-ttl", out, rows.schema, once=True)
+    return found.select("mid", "seq", date_text(F.col("visit_date")).alias("visit_date"))
 
 
 def stream_route(spark: SparkSession, folder: str) -> DataFrame:
@@ -390,6 +568,14 @@ QUERIES = {
     "stream_route": stream_route,
     "stream_fanout": stream_fanout,
     "stream_keyword": stream_keyword,
+    "stream_order_detail": stream_order_detail,
+    "stream_order_cancel": stream_order_cancel,
+    "stream_retract_ttl": stream_retract_ttl,
+    "stream_province": stream_province,
+    "stream_pay_outer": stream_pay_outer,
+    "stream_age_label": stream_age_label,
+    "stream_bloom_dedup": stream_bloom_dedup,
+    "stream_daily_unique_ttl": stream_daily_unique_ttl,
 }
 
 _PAY_SQL = f"""WITH {sql.LOG}
@@ -397,10 +583,23 @@ SELECT p.user_id, p.seq AS p_seq, c.seq AS d_seq FROM log p JOIN log c ON p.user
   AND c.ts >= p.ts - INTERVAL 30 MINUTE AND c.ts <= p.ts + INTERVAL 5 SECOND
 WHERE p.event_type = 'purchase' AND c.event_type = 'click'"""
 
+_DAILY_SQL = f"""WITH {sql.LOG} SELECT mid, seq, strftime(d, '%Y-%m-%d') AS visit_date FROM log
+    QUALIFY row_number() OVER (PARTITION BY mid, d ORDER BY ts, seq) = 1"""
+
 ORACLE = {
+    "stream_order_detail": trade.ORACLE["order_detail_fact"],
+    "stream_order_cancel": trade.ORACLE["order_cancel_fact"],
+    "stream_retract_ttl": metrics.ORACLE["retract_dedup_ttl"],
+    "stream_province": metrics.ORACLE["province_order_window"],
+    "stream_pay_outer": f"""WITH {sql.LOG}
+    SELECT p.user_id, p.seq AS p_seq, c.seq AS d_seq FROM (SELECT * FROM log WHERE event_type = 'purchase') p
+    LEFT JOIN (SELECT * FROM log WHERE event_type = 'click') c ON p.user_id = c.user_id
+      AND c.ts >= p.ts - INTERVAL 30 MINUTE AND c.ts <= p.ts + INTERVAL 5 SECOND""",
+    "stream_age_label": profiles.ORACLE["age_label_job"],
+    "stream_bloom_dedup": metrics.ORACLE["exact_dedup"],
+    "stream_daily_unique_ttl": _DAILY_SQL,
     "stream_traffic": metrics.ORACLE["traffic_window"],
-    "stream_daily_unique": f"""WITH {sql.LOG} SELECT mid, seq, strftime(d, '%Y-%m-%d') AS visit_date FROM log
-    QUALIFY row_number() OVER (PARTITION BY mid, d ORDER BY ts, seq) = 1""",
+    "stream_daily_unique": _DAILY_SQL,
     "stream_login": metrics.ORACLE["login_window"],
     "stream_pay": _PAY_SQL,
     "stream_pay_salted": _PAY_SQL,

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tideline.functions.times import to_millis
 from tideline.operators.joins import salted_join
 from tideline.session import prepare
-from tideline.sources.readers import read_files
 
 DAY_MS = 86_400_000
 
@@ -32,12 +31,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _zoned(prepare(spark).read.schema(_schema(path)).parquet(path))
 
 
-def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A sample table as a stream of the files named like it."""
-    schema = _schema(f"{folder}/{name}.parquet")
-    return _zoned(read_files(prepare(spark), folder, schema, f"{name}.parquet"))
-
-
 def pick(index: Column, values: list[str]) -> Column:
     """Value at a position of a fixed list, counted from 0."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
@@ -136,7 +129,11 @@ ORDER = ["ts_ms", "sku_id", "supplier_id", "split_original_amount"]
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the province of their customer."""
-    placed = table(spark, folder, "orders").select(
+    return as_orders(table(spark, folder, "orders"), table(spark, folder, "customer"))
+
+
+def as_orders(placed: DataFrame, customers: DataFrame) -> DataFrame:
+    rows = placed.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -144,10 +141,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
         to_millis(F.col("o_orderdate")).alias("order_ms"),
     )
-    people = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("province_id")
-    )
-    return salted_join(placed, people, ["user_id"], "left", ["order_id"])
+    people = customers.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("province_id"))
+    return salted_join(rows, people, ["user_id"], "left", ["order_id"])
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -78,6 +78,52 @@ class BatchTable:
         other.write(rows, 0)
 
 
+class WindowTable(BatchTable):
+    """A keyed table by window: a batch writes what lies around its windows anew, and nothing else.
+
+    ``window`` is a text column, ``keys`` tell the rows of a window apart.
+    Windows with equal first ``prefix`` characters (a month, for bounds of the
+    usual form) share a part of the table, the unit that is rewritten.  Readers
+    take each part from the last batch that wrote it.  A batch that runs again,
+    or rows that arrive again, leave the same table.
+    """
+
+    PART = "part"
+
+    def __init__(self, spark: SparkSession, path: str, window: str, keys: Sequence[str], prefix: int = 7):
+        super().__init__(spark, path)
+        self.window, self.keys, self.prefix = window, list(keys), prefix
+
+    def _stored(self, schema: T.StructType, before: int | None = None) -> DataFrame:
+        return self.read(T.StructType([*schema.fields, T.StructField(self.PART, T.StringType())]), before)
+
+    def current(self, schema: T.StructType, before: int | None = None) -> DataFrame:
+        """The rows as they are, or as they were before a batch."""
+        return self._newest(self._stored(schema, before)).select(*schema.names)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        # Both are partition columns: no file is read for them.
+        last = rows.groupBy(self.PART).agg(F.max("batch").alias("_last"))
+        return rows.join(last, self.PART).where(F.col("batch") == F.col("_last"))
+
+    def touched(self, df: DataFrame, batch_id: int, schema: T.StructType | None = None) -> DataFrame:
+        """What the parts that ``df`` has rows for held before the batch."""
+        schema = schema or df.schema
+        parts = df.select(F.substring(self.window, 1, self.prefix).alias(self.PART)).distinct()
+        return self._newest(self._stored(schema, batch_id)).join(parts, self.PART, "left_semi").select(*schema.names)
+
+    def upsert(self, df: DataFrame, batch_id: int) -> None:
+        """Replace the rows with the keys of ``df``, keep the others."""
+        kept = self.touched(df, batch_id).join(df, [self.window, *self.keys], "left_anti")
+        rows = kept.select(*df.columns).unionByName(df).withColumn(self.PART, F.substring(self.window, 1, self.prefix))
+        # A few files for each part; AQE cuts a large one.
+        self.write(rows.hint("rebalance", self.PART), batch_id, [self.PART])
+
+    def written(self, schema: T.StructType, batch_id: int) -> DataFrame:
+        """The parts that a batch wrote."""
+        return self._stored(schema).where(F.col("batch") == batch_id).select(*schema.names)
+
+
 def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("batch",), op: str | None = None) -> DataFrame:
     """Upsert view of a batch table: the last row per key, deleted keys left out."""
     from tideline.operators.keyed import latest_per_key

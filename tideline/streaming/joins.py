@@ -21,18 +21,24 @@ def interval_join_stream(
     right_ts: str,
     lower_ms: int,
     upper_ms: int,
-    delay: str = "3 seconds",
+    delay: str | None = "3 seconds",
     hot: Sequence = (),
     salts: int = 16,
     spread: Sequence[str] = (),
+    how: str = "inner",
+    right_delay: str = "3 seconds",
 ) -> DataFrame:
     """Pairs with equal ``on`` and ``lower_ms <= right - left <= upper_ms``, both ends included.
 
-    The two watermarks bound the state.  AQE does not split the
+    The two watermarks bound the state; without ``delay`` the left side already
+    has one, as the result of a join has.  With ``how="left"`` a left row
+    without a partner comes out once the watermark has passed its interval; a
+    partner that is late by more than its delay is dropped.  AQE does not split the
     partitions of a stream, so known ``hot`` keys are given; their left rows are spread over ``salts`` by
     ``spread`` and their right rows are repeated.
     """
-    early, late = bounded_delay(left, left_ts, delay), bounded_delay(right, right_ts, delay)
+    early = left if delay is None else bounded_delay(left, left_ts, delay)
+    late = bounded_delay(right, right_ts, delay or right_delay)
 
     def is_hot(key: str) -> Column:
         return F.col(key).isin(*hot) if hot else F.lit(False)
@@ -47,4 +53,4 @@ def interval_join_stream(
         & (F.col(right_ts) >= F.col(left_ts) + _seconds(lower_ms))
         & (F.col(right_ts) <= F.col(left_ts) + _seconds(upper_ms))
     )
-    return early.join(late, near).drop("_on", "_salt", "_copy")
+    return early.join(late, near, how).drop("_on", "_salt", "_copy")

@@ -8,6 +8,7 @@ rows.
 
 from __future__ import annotations
 
+import datetime
 import sys
 from collections.abc import Iterator
 
@@ -147,3 +148,92 @@ def returning_user_stream(df: DataFrame, key: str, order: list[str], gap_days: i
     return _thin(df, [key, "visit_date"], order).groupBy(key).transformWithStateInPandas(
         ReturningUser(order, gap_days), schema, "Append", "None"
     )
+
+
+class VisitorRepair(StatefulProcessor):
+    """Correct a claimed new-visitor flag by the first day of the visitor, which is the whole state.
+
+    The rows of a visitor not seen before wait for the first of them within
+    the batch; those of a known one pass through chunk by chunk.
+    """
+
+    def __init__(self, order: list[str], flag: str):
+        self.order, self.flag = order, flag
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.first = handle.getValueState("first_day", _STATE)
+
+    def _repaired(self, chunk: pd.DataFrame, first_day) -> pd.DataFrame:
+        wrong = (chunk[self.flag] == "1") & (chunk["visit_date"] != first_day)
+        return chunk.assign(**{self.flag: chunk[self.flag].mask(wrong, "0")})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if not self.first.exists():
+            waiting = [chunk for chunk in rows if len(chunk)]
+            if not waiting:
+                return
+            best = pd.concat([c.sort_values(self.order, kind="stable").head(1) for c in waiting])
+            row = best.sort_values(self.order, kind="stable").iloc[0]
+            day = row["visit_date"]
+            self.first.update((day if row[self.flag] == "1" else day - datetime.timedelta(days=1),))
+            rows = waiting
+        first_day = self.first.get()[0]
+        for chunk in rows:
+            if len(chunk):
+                yield self._repaired(chunk, first_day)
+
+    def close(self) -> None:
+        pass
+
+
+class RunningProfile(StatefulProcessor):
+    """Running row count and distinct values of a key, with one map entry for each value of a set.
+
+    The rows of a key within a batch are sorted in memory; the batch size
+    bounds them.
+    """
+
+    def __init__(self, order: list[str], sets: list[str], count: str):
+        self.order, self.sets, self.count = order, sets, count
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", T.StructType([T.StructField("n", T.LongType())]))
+        self.known = {
+            s: handle.getMapState(
+                f"values_{s}", T.StructType([T.StructField("v", T.StringType())]), T.StructType([T.StructField("yes", T.BooleanType())]))
+            for s in self.sets
+        }
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        chunks = [chunk for chunk in rows if len(chunk)]
+        if not chunks:
+            return
+        batch = pd.concat(chunks).sort_values(self.order, kind="stable")
+        n = self.total.get()[0] if self.total.exists() else 0
+        out = {self.count: range(n + 1, n + 1 + len(batch))}
+        self.total.update((n + len(batch),))
+        for s in self.sets:
+            values = {k[0] for k in self.known[s].keys()}
+            text, texts = ",".join(sorted(values)), []
+            for v in batch[s].tolist():
+                if v is not None and v not in values:
+                    values.add(v)
+                    self.known[s].updateValue((v,), (True,))
+                    text = ",".join(sorted(values))
+                texts.append(text)
+            out[s] = texts
+        yield batch.assign(**out)
+
+    def close(self) -> None:
+        pass
+
+
+def visitor_repair_stream(df: DataFrame, key: str, order: list[str], flag: str) -> DataFrame:
+    """As :func:`tideline.operators.keyed.repair_new_visitors`; ``df`` carries ``visit_date``."""
+    return df.groupBy(key).transformWithStateInPandas(VisitorRepair(order, flag), df.schema, "Append", "None")
+
+
+def running_profile_stream(df: DataFrame, key: str, order: list[str], sets: list[str], count: str = "pv") -> DataFrame:
+    """As :func:`tideline.operators.keyed.running_profile`, in comma lists."""
+    schema = T.StructType([*df.schema.fields, T.StructField(count, T.LongType())])
+    return df.groupBy(key).transformWithStateInPandas(RunningProfile(order, sets, count), schema, "Append", "None")
