@@ -39,6 +39,23 @@ def test_windows_in_several_blocks(spark, sf):
         sorted(decontaminate.find_items(d, b, block_windows=n).select("doc_id", "hits", "item_ids").collect()) for n in (10**6, 150)
     )
     assert one == many and any(r.hits for r in one)
+    kept = [sorted(r.doc_id for r in decontaminate.drop_contaminated(d, b, block_windows=n).collect()) for n in (10**6, 150)]
+    assert kept[0] == kept[1] == sorted(r.doc_id for r in decontaminate.find_items(d, b).where("NOT contaminated").collect())
+
+
+def test_a_preamble_of_all_items(spark):
+    """20,000 items share their first 30 words: the blocks hold each window once, with a number instead of the items."""
+    preamble = " ".join(f"p{i}" for i in range(30))
+    items = spark.range(20_000).selectExpr("concat('i', id) AS item_id", f"concat('{preamble} own', id, ' last', id) AS text")
+    numbered, sets = decontaminate.numbered_windows(decontaminate.item_windows(items))
+    assert numbered.count() == 21 + 2 * 20_000 and sets.count() == 2 * 20_000
+    docs = spark.createDataFrame(
+        [(1, f"see {preamble} end"), (2, f"{preamble} own7 last7"), (3, "p1 p2 p3"), (4, None), (5, f"see {preamble} end")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find_items(docs, items, block_windows=9_000).collect()}
+    assert len(got[1].item_ids) == len(got[2].item_ids) == 20_000 and list(got[1].hits) == [1, 31] and list(got[2].hits) == [0, 32]
+    assert (got[3].contaminated, got[4].n_words, len(got[5].item_ids)) == (False, 0, 20_000)
+    packed = [len(block.value) for block, _ in decontaminate.Blocks(numbered, 9_000)]
+    assert len(packed) == 5 and max(packed) < 9_000 * 300
 
 
 def test_search_against_brute_force(spark):

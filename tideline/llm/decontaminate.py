@@ -1,10 +1,11 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search over words.
 
 Patterns are the windows of consecutive words of the benchmark items.  They
-are found by Spark, made distinct, and taken in blocks of at most
-``block_windows``, so a broadcast has a fixed bound however large the
-benchmark is; each block is one narrow pass over the documents, without a
-shuffle.  In a pass
+are found by Spark, made distinct, and taken in blocks of bounded number and
+size, so a broadcast has a bound however large the benchmark is and however
+many items share a window: it holds windows and a number for the set of their
+items, never the items.  Each block is one narrow pass over the documents,
+without a shuffle.  In a pass
 
 * a shift table over hashed pairs of words tells how far a scan may jump; many
   scans run side by side in numpy, one for each stretch of a document,
@@ -12,6 +13,10 @@ shuffle.  In a pass
   first selects the test strings,
 * and the bytes of the words decide.
 
+What a pass finds is the places in a text and the numbers of item sets.  The
+items are joined to the numbers by Spark, once for each different text with a
+hit.
+
 Defined results: a null text or item has no words; an item without words has
 no window; a null item id takes part in hits but is not listed; repeated rows
 get equal results; an empty benchmark hits nothing; input columns named like a
@@ -34,8 +39,8 @@ from tideline.plans.tables import table
 
 #: Words of a window.
 WINDOW = 10
-#: Windows searched in one pass: about 150 bytes each, in the driver and in every Python worker.
-BLOCK_WINDOWS = 100_000
+#: Windows searched in one pass and their bytes, in the driver and in every Python worker.
+BLOCK_WINDOWS, BLOCK_BYTES = 100_000, 16 << 20
 #: Scans run over stretches of so many window places.
 STRETCH = 512
 
@@ -48,15 +53,25 @@ def lower_ascii(text: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows ``(pattern, items)``: space-joined words, sorted ids of the items that have them."""
+    """Distinct ``(pattern, item)``: space-joined words of each window of each item."""
     words = F.regexp_extract_all(lower_ascii(F.coalesce("text", F.lit(""))), F.lit(WORDS), F.lit(0))
     sized = benchmark.select(F.col("item_id").cast("string").alias("item"), words.alias("w")).where(F.size("w") > 0)
     last = F.greatest(F.size("w") - F.lit(window), F.lit(0))
     cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("w", i + 1, window), " "))
-    return (
-        sized.select("item", F.explode(F.array_distinct(cut)).alias("pattern"))
-        .groupBy("pattern").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
+    return sized.select(F.explode(F.array_distinct(cut)).alias("pattern"), "item").distinct()
+
+
+def numbered_windows(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(pattern, number)`` of every window, and ``(number, item)`` of every set of items that some windows have.
+
+    The number is a hash of the number of items, the sum of their hashes and
+    the exclusive or of other ones: windows with the same items share it.
+    """
+    total = F.sum(F.xxhash64("item").cast("decimal(38,0)"))
+    key = F.xxhash64(F.count("item"), total.cast("string"), F.bit_xor(F.xxhash64(F.lit(1), "item")))
+    numbered = stored(windows.groupBy("pattern").agg(key.alias("number")), "windows")
+    one = numbered.groupBy("number").agg(F.min("pattern").alias("pattern"))
+    return numbered, windows.join(one, "pattern").where(F.col("item").isNotNull()).select("number", "item")
 
 
 class Tables:
@@ -114,10 +129,11 @@ class Tables:
 class Block:
     """The tables of one block of windows; travels as plain rows and is built once per Python worker."""
 
-    _built: tuple[str, list[Tables], list[list[str]]] | None = None
+    _built: tuple[str, list[Tables], list[int]] | None = None
 
     @classmethod
-    def of(cls, key: str, rows: list[tuple[str, list[str]]]) -> tuple[list[Tables], list[list[str]]]:
+    def of(cls, key: str, rows: list[tuple[str, int]]) -> tuple[list[Tables], list[int]]:
+        """The tables, and the number of the item set of each window."""
         if cls._built is None or cls._built[0] != key:
             by_length: dict[int, list[int]] = {}
             for n, (pattern, _) in enumerate(rows):
@@ -127,19 +143,21 @@ class Block:
                 texts = [rows[n][0] for n in numbers]
                 h = Spans(whole(texts), WORD).hashes().reshape(len(texts), length)
                 tables.append(Tables([t.encode() for t in texts], numbers, h))
-            cls._built = (key, tables, [items for _, items in rows])
+            cls._built = (key, tables, [number for _, number in rows])
         return cls._built[1:]
 
 
-def _pass(df: DataFrame, names: tuple[str, str, str], block, key: str) -> DataFrame:
-    """Search one block; extend the word count, occurrences and items of each row."""
-    count, places, ids = names
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+def _search(df: DataFrame, fields: list[T.StructField], names: tuple[str, str, str], block, key: str) -> DataFrame:
+    """``fields`` of each row, its word count, the places of one block's windows, and the numbers of their item sets."""
+    schema = T.StructType([
+        *fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.ArrayType(T.IntegerType())),
+        T.StructField(names[2], T.ArrayType(T.LongType())),
+    ])
 
     def run(batches):
-        tables, items = Block.of(key, pickle.loads(block.value))
+        tables, sets = Block.of(key, pickle.loads(block.value))
         for batch in batches:
-            n_words, hits, found = [], [], []
+            n_words, hits, found = [np.zeros(0, dtype=np.int64)], [], []
             for group in groups(batch.column("text")):
                 spans = Spans(group, WORD)
                 n_words.append(np.diff(spans.first))
@@ -151,22 +169,33 @@ def _pass(df: DataFrame, names: tuple[str, str, str], block, key: str) -> DataFr
                     for (i, n), row in zip(pairs, rows.tolist()):
                         begin = i - int(spans.first[row])
                         own[row][0].append((begin, begin + t.length))
-                        own[row][1].add(n)
+                        own[row][1].add(sets[n])
                 hits += [_united(places) for places, _ in own]
-                found += [sorted({x for n in numbers for x in items[n]}) for _, numbers in own]
-            if any(hits):
-                before = batch.column(places).to_pylist()
-                hits = [_united([*zip(b[::2], b[1::2]), *zip(x[::2], x[1::2])]) if b else x for b, x in zip(before, hits)]
-                found = [sorted({*b, *x}) if b else x for b, x in zip(batch.column(ids).to_pylist(), found)]
-                new = {places: pa.array(hits, pa.list_(pa.int32())), ids: pa.array(found, pa.list_(pa.string()))}
-            else:
-                new = {places: batch.column(places), ids: batch.column(ids)}
-            new[count] = pa.array(np.concatenate(n_words) if n_words else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([new.get(f.name, batch.column(f.name)) for f in schema.fields], schema.names)
+                found += [sorted(numbers) for _, numbers in own]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(f.name) for f in fields], pa.array(np.concatenate(n_words)),
+                 pa.array(hits, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.int64()))], schema.names)
 
     return df.mapInArrow(run, schema)
 
 
+class Blocks:
+    """The windows of a benchmark in blocks; one is on the driver at a time."""
+
+    def __init__(self, numbered: DataFrame, block_windows: int):
+        self.windows = numbered.withColumn("block", F.xxhash64("pattern"))
+        count, size = numbered.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()
+        self.n = max(1, -(-count // block_windows), -(-size // BLOCK_BYTES))
+        self.name = uuid.uuid4().hex
+
+    def __iter__(self):
+        """A broadcast of (pattern, number) and its key."""
+        for b in range(self.n):
+            rows = self.windows.where(F.pmod("block", F.lit(self.n)) == b).select("pattern", "number").collect()
+            packed = pickle.dumps([(r.pattern, r.number) for r in rows])
+            yield self.windows.sparkSession.sparkContext.broadcast(packed), f"{self.name}/{b}"
+
+
 def _united(places: list[tuple[int, int]]) -> list[int]:
     """Union of word ranges, as a flat list of begins and ends."""
     out: list[int] = []
@@ -184,36 +213,75 @@ RESULTS = ("n_words", "hits", "item_ids", "contaminated")
 
 def find_items(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
-    names: tuple[str, str, str, str] = RESULTS,
+    names: tuple[str, str, str, str] = RESULTS, gone: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The documents with the columns ``names``."""
-    spark = bounded_batches(docs.sparkSession)
-    windows = stored(item_windows(benchmark, window).withColumn("block", F.xxhash64("pattern")), "windows")
-    blocks = max(1, -(-windows.count() // block_windows))
-    df = docs.select(
-        *[docs[f"`{f.name}`"] for f in without(docs.schema, [*names])],
-        F.lit(0).cast("long").alias(names[0]), F.array().cast("array<int>").alias(names[1]),
-        F.array().cast("array<string>").alias(names[2]),
+    """The documents, without the columns ``gone``, with the columns ``names``; written once to the shared folder."""
+    bounded_batches(docs.sparkSession)
+    numbered, items = numbered_windows(stored(item_windows(benchmark, window), "item_windows"))
+    digest, sets, found_at, found_sets, number = (
+        free_name(docs, n) for n in ("_digest", "_sets", "_found_at", "_found_sets", "_number"))
+    keyed = docs.withColumn(digest, F.xxhash64("text"))
+    count, places, ids, contaminated = names
+    plain = (count, places, sets)
+    base, more = None, None
+    for block, key in Blocks(numbered, block_windows):
+        if base is None:
+            base = stored(_search(keyed, without(keyed.schema, [*names, *gone]).fields, plain, block, key), "hits")
+        else:
+            found = _search(keyed.select(digest, "text"), [keyed.schema[digest]], plain, block, key).where(F.size(places) > 0)
+            found = stored(found.drop(count).dropDuplicates([digest]), "hits")
+            more = found if more is None else more.union(found)
+        block.destroy()
+    if more is not None:
+        # At most one row for each text and block.
+        rest = more.groupBy(digest).agg(
+            F.flatten(F.collect_list(places)).alias(found_at), F.flatten(F.collect_list(sets)).alias(found_sets))
+        pairs = F.concat(places, F.coalesce(found_at, F.slice(places, 1, 0)))
+        numbers = F.array_union(sets, F.coalesce(found_sets, F.slice(sets, 1, 0)))
+        base = base.join(rest, digest, "left").withColumns({places: united(pairs), sets: numbers}).drop(found_at, found_sets)
+    listed = (
+        base.where(F.size(sets) > 0).dropDuplicates([digest]).select(digest, F.explode(sets).alias(number))
+        .join(items.withColumnRenamed("number", number), number).groupBy(digest).agg(F.array_sort(F.collect_set("item")).alias(ids))
     )
-    search = uuid.uuid4().hex
-    for b in range(blocks):
-        rows = [
-            (r.pattern, list(r["items"]))
-            for r in windows.where(F.pmod("block", F.lit(blocks)) == b).select("pattern", "items").toLocalIterator()
-        ]
-        df = _pass(df, names[:3], spark.sparkContext.broadcast(pickle.dumps(rows)), f"{search}/{b}")
-    return df.withColumn(names[3], F.size(names[1]) > 0)
+    none = F.array().cast("array<string>")
+    joined = base.join(listed, digest, "left").withColumn(ids, F.coalesce(ids, none))
+    kept = [F.col(f"`{f.name}`") for f in without(docs.schema, [*names, *gone])]
+    return joined.select(*kept, count, places, ids, (F.size(places) > 0).alias(contaminated))
+
+
+def united(pairs: Column) -> Column:
+    """Union of word ranges, a flat array of begins and ends, as such an array in order."""
+    ranges = F.sort_array(F.transform(F.sequence(F.lit(0), (F.size(pairs) / 2).cast("int") - 1), lambda i: F.struct(
+        F.get(pairs, 2 * i).alias("b"), F.get(pairs, 2 * i + 1).alias("e"))))
 
+    def merge(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.greatest(last, x["e"])))
+        return F.when((F.size(done) > 0) & (x["b"] <= last), longer).otherwise(F.concat(done, F.array(x["b"], x["e"])))
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents without any window of the benchmark, with their own columns."""
-    names = tuple(free_name(docs, f"_{n}") for n in RESULTS)
-    return find_items(docs, benchmark, window, names=names).where(~F.col(names[3])).drop(*names)
+    empty = F.array().cast("array<int>")
+    return F.when(F.size(pairs) > 0, F.aggregate(ranges, empty, merge)).otherwise(empty)
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS,
+) -> DataFrame:
+    """Documents without any window of the benchmark, with their own columns; narrow, one pass for each block."""
+    bounded_batches(docs.sparkSession)
+    numbered, _ = numbered_windows(stored(item_windows(benchmark, window), "item_windows"))
+    names = tuple(free_name(docs, f"_{n}") for n in ("n_words", "hits", "sets"))
+    kept, blocks = docs, Blocks(numbered, block_windows)
+    for k, (block, key) in enumerate(blocks, 1):
+        kept = _search(kept, list(docs.schema.fields), names, block, key).where(F.size(names[1]) == 0).drop(*names)
+        if k < blocks.n:  # one block is alive at a time
+            kept = stored(kept, "kept")
+            block.destroy()
+    return kept
 
 
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    hits = find_items(docs, table(spark, folder, "benchmark"))
+    hits = find_items(docs, table(spark, folder, "benchmark"), gone=("text",))
     covered = F.aggregate(
         F.transform("hits", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x
     )
