@@ -31,5 +31,5 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, bound: int,
     ids = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     if only is not None:
         ids = ids.where(F.col("y") == only)
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    ids = smallest_hashes(ids, "doc_id", bound, ids.count())
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")

@@ -3,9 +3,11 @@
 Texts are sets of features: words and beginnings of words.  The features of a
 bounded sample of confirmed toxic texts that could be enriched are counted in
 all texts outside the held-out fold, in one narrow pass that sends one count
-per task and feature; the most enriched are the vocabulary.  A bounded sample
-of unlabelled texts, those of the smallest id hashes, is dealt to bags, and one
-numpy classifier per bag is trained in parallel tasks with the risk
+per task and feature; the most enriched are the vocabulary.  All texts outside
+the fold are the unlabelled ones.  They become their features of the
+vocabulary, equal sets with their number, and are dealt to bags of bounded
+size; a set that is more frequent than there are bags counts in all of them.
+One numpy classifier per bag is trained in parallel tasks with the risk
 
     prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)]),
 
@@ -33,8 +35,8 @@ from tideline.llm.labelled import labelled_texts
 from tideline.llm.spans import WORD, Spans, groups
 from tideline.plans.tables import table
 
-#: Bounds of the training sample (ids of unlabelled texts), the vocabulary and the bags.
-MAX_TOXIC, MAX_UNLABELLED, VOCABULARY, BAGS = 4_000, 16_000, 1_024, 4
+#: Bounds of the confirmed toxic texts, of the features considered and chosen, and of the sets of a bag.
+MAX_TOXIC, MAX_CANDIDATES, VOCABULARY, BAG_SETS = 4_000, 32_768, 1_024, 16_000
 #: Beginnings of words, in bytes.
 PREFIXES = (4, 5, 6, 7, 8)
 #: A feature has to occur in so many texts, toxic examples and all texts together.
@@ -103,27 +105,36 @@ def _sum_rows(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(row, weights=values, minlength=n)
 
 
-def _numbered(sample: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Replace the features ``x`` of a text by the numbers of those in the vocabulary."""
-    schema = T.StructType([*without(sample.schema, ["x"]).fields, T.StructField("v", T.ArrayType(T.IntegerType()))])
-
+def _numbered(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``v``: for each text the sorted numbers of its features in the vocabulary, as packed 16-bit integers."""
     def run(batches):
         for batch in batches:
-            sets = batch.column("x")
-            at, number = vocabulary.find(sets.flatten().to_numpy().view(np.uint64))
-            ends = np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy(zero_copy_only=False))])
-            bounds = np.searchsorted(at, ends).astype(np.int32)
-            found = pa.ListArray.from_arrays(pa.array(bounds), pa.array(number.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in schema.fields[:-1]], found], schema.names)
+            sets = []
+            for group in groups(batch.column("text")):
+                spans = Spans(group, WORD)
+                h, owner = features(spans)
+                at, number = vocabulary.find(h)
+                row = np.searchsorted(spans.first, owner[at], "right") - 1
+                size = max(1, len(vocabulary.hashes))
+                pair = np.unique(row * size + number)
+                bounds = np.searchsorted(pair, np.arange(group.last - group.first + 1) * size)
+                packed = (pair % size).astype("<u2")
+                sets += [packed[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary())], ["v"])
+
+    return docs.select("text").mapInArrow(run, "v binary")
+
 
-    return sample.mapInArrow(run, schema)
+def _unpacked(sets: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype="<u2") for x in sets]
 
 
 def _counts(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
     """``(h, u)``: how many of all texts have each of the features ``hashes``."""
-    vocabulary = Vocabulary(hashes)
+    known = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches):
+        vocabulary = Vocabulary(known.value)
         size = len(vocabulary.hashes)
         count = np.zeros(size, dtype=np.int64)
         for batch in batches:
@@ -139,27 +150,31 @@ def _counts(docs: DataFrame, hashes: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, u long").groupBy("h").agg(F.sum("u").alias("u"))
 
 
-def fit_bag(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float) -> np.ndarray:
-    """Weights and bias of a linear classifier over ``size`` features that minimises the non-negative risk by Adam."""
+def fit_bag(positive: list[np.ndarray], unlabelled: list[np.ndarray], weights: np.ndarray, size: int, prior: float) -> np.ndarray:
+    """Weights and bias of a linear classifier over ``size`` features that minimises the non-negative risk by Adam.
+
+    ``weights`` are the numbers of unlabelled texts of each set.
+    """
     parts = []
-    for texts in (positive, unlabelled):
-        number = np.concatenate([*texts, np.zeros(0, dtype=np.int32)]).astype(np.int64)
-        parts.append((np.repeat(np.arange(len(texts)), [len(t) for t in texts]), number, len(texts)))
+    for texts, share in ((positive, np.ones(len(positive))), (unlabelled, weights)):
+        number = np.concatenate([*texts, np.zeros(0, dtype="<u2")]).astype(np.int64)
+        parts.append((np.repeat(np.arange(len(texts)), [len(t) for t in texts]), number, len(texts), share / share.sum()))
     w = np.zeros(size + 1)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
-        f = [_sum_rows(r, w[v], n) + w[size] for r, v, n in parts]
+        f = [_sum_rows(r, w[v], n) + w[size] for r, v, n, _ in parts]
         # Derivatives of l(f) and l(-f) are -s(-f) and s(f).
         up = [1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in f]
-        negative = np.logaddexp(0, f[1]).mean() - prior * np.logaddexp(0, f[0]).mean()
+        negative = np.logaddexp(0, f[1]) @ parts[1][3] - prior * np.logaddexp(0, f[0]) @ parts[0][3]
         if negative >= 0:
             slope = [-prior * (1 - up[0]) - prior * up[0], up[1]]
         else:
             slope = [prior * up[0], -up[1]]
         g = DECAY * w
-        for (r, v, n), d in zip(parts, slope):
-            g[:size] += np.bincount(v, weights=d[r], minlength=size) / n
-            g[size] += d.mean()
+        for (r, v, _, share), d in zip(parts, slope):
+            d = d * share
+            g[:size] += np.bincount(v, weights=d[r], minlength=size)
+            g[size] += d.sum()
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w = w - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return w
@@ -173,26 +188,20 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     none = np.zeros(0, dtype=np.uint64)
     if not 0 < share < 1:
         return none, np.array([np.log(max(share, 1e-9) / max(1 - share, 1e-9))])
+    prior = np.array([np.log(share / (1 - share))])
     rest = docs.where(~held_out()).select("doc_id", "text")
-    drawn = rest.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_UNLABELLED)
     toxic = _feature_sets(labelled_texts(docs, labels, "toxic", MAX_TOXIC, only=1))
-    toxic = toxic.groupBy("doc_id").agg(F.min("x").alias("x")).select(F.lit(True).alias("positive"), "x")
-    other = _feature_sets(rest.join(F.broadcast(drawn), "doc_id"))
-    other = other.groupBy("doc_id").agg(F.min("x").alias("x")).select(F.lit(False).alias("positive"), "x")
-    sample = stored(
-        toxic.union(other).withColumn("bag", F.pmod(F.xxhash64("x"), F.lit(BAGS)).cast("int")), "toxicity"
-    )
-    sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
-    if len(sizes) < 2:
-        return none, np.array([np.log(share / (1 - share))])
-    n_toxic, n_rest = sizes[True], rest.count()
+    toxic = stored(toxic.groupBy("doc_id").agg(F.min("x").alias("x")), "toxicity")
+    n_toxic, n_rest = toxic.count(), rest.count()
+    if not n_toxic or not n_rest:
+        return none, prior
     p, u = F.col("p") / n_toxic, F.col("u") / n_rest
     surplus = (p - u) / F.sqrt((p * (1 - p) + 0.01) / n_toxic + (u * (1 - u) + 0.01) / n_rest)
-    toxic_counts = stored(
-        sample.where("positive").select(F.explode("x").alias("h")).groupBy("h").agg(F.count("*").alias("p")), "toxic_counts"
-    )
+    counts = toxic.select(F.explode("x").alias("h")).groupBy("h").agg(F.count("*").alias("p"))
     # No count in the other texts lifts a surplus above that of a feature none of them has.
-    possible = toxic_counts.withColumn("u", F.lit(0)).where(surplus >= LEAST_SURPLUS).select("h", "p")
+    possible = stored(
+        counts.withColumn("u", F.lit(0)).where(surplus >= LEAST_SURPLUS).orderBy(F.desc("p"), "h").limit(MAX_CANDIDATES)
+        .select("h", "p"), "toxic_counts")
     candidates = np.array([r.h for r in possible.select("h").collect()], dtype=np.int64).view(np.uint64)
     chosen = (
         possible.join(_counts(rest, candidates), "h", "left").select("h", "p", F.coalesce("u", F.lit(0)).alias("u"))
@@ -201,21 +210,32 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         .limit(VOCABULARY).collect()
     )
     vocabulary = Vocabulary(np.array([r.h for r in chosen], dtype=np.int64).view(np.uint64))
+    size = len(vocabulary.hashes)
 
-    def bag(rows: pd.DataFrame) -> pd.DataFrame:
-        # Sums of floats depend on the order of the texts.
-        split = [sorted(map(np.asarray, rows.v[rows.positive == kind]), key=bytes) for kind in (True, False)]
-        weights = [fit_bag(*split, size, share).tolist()] if all(split) else []
-        return pd.DataFrame({"w": pd.Series(weights, dtype=object)})
+    def known(x: list[int]) -> bytes:
+        return np.unique(vocabulary.find(np.array(x, dtype=np.int64).view(np.uint64))[1]).astype("<u2").tobytes()
 
-    size = len(vocabulary.hashes)
-    # Only numbers of the vocabulary travel to the bags.
-    bags = _numbered(sample, vocabulary).withColumn("bag", F.explode(F.when(
-        F.col("positive"), F.sequence(F.lit(0), F.lit(BAGS - 1))).otherwise(F.array("bag"))))
-    fitted = sorted(r.w for r in bags.groupBy("bag").applyInPandas(bag, "w array<double>").collect())
-    if not fitted:
-        return none, np.array([np.log(share / (1 - share))])
-    return vocabulary.hashes, np.mean(fitted, axis=0)
+    # At most MAX_TOXIC sets of VOCABULARY numbers.
+    inside = toxic.select(F.array_intersect("x", F.lit([r.h for r in chosen]).cast("array<bigint>")).alias("x"))
+    positive = docs.sparkSession.sparkContext.broadcast(sorted(known(r.x or []) for r in inside.collect()))
+    sets = stored(_numbered(rest, vocabulary).groupBy("v").agg(F.count("*").alias("n")), "unlabelled")
+    bags = max(1, -(-sets.count() // BAG_SETS))
+    own = F.array(F.pmod(F.xxhash64("v"), F.lit(bags)).cast("int"))
+    dealt = sets.select(
+        "v", F.when(F.col("n") >= bags, F.col("n") / bags).otherwise(F.col("n").cast("double")).alias("n"),
+        F.explode(F.when(F.col("n") >= bags, F.sequence(F.lit(0), F.lit(bags - 1))).otherwise(own)).alias("bag"))
+
+    def bag(rows: pd.DataFrame) -> pd.DataFrame:
+        # Sums of floats depend on the order of the sets.
+        rows = rows.sort_values("v")
+        weights = fit_bag(_unpacked(positive.value), _unpacked(rows["v"].tolist()), rows["n"].to_numpy(), size, share)
+        return pd.DataFrame({"w": [weights.tolist()]})
+
+    # One row of fixed width for each bag: summed in order, so that the mean is the same whatever the tasks.
+    fitted = dealt.groupBy("bag").applyInPandas(bag, "w array<double>")
+    mean = fitted.select(F.posexplode("w").alias("i", "x")).groupBy("i").agg(
+        F.avg(F.col("x").cast("decimal(38,12)")).alias("x")).orderBy("i").collect()
+    return vocabulary.hashes, np.array([float(r.x) for r in mean])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score", gone: Sequence[str] = ()) -> DataFrame:
