@@ -15,6 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     The number of rounds grows with the logarithm of the longest chain, and a
     node with many neighbours is combined before it is shuffled.  Each round
     is written to the shared folder.
+
+    Links of a node to itself and repeated links add nothing; a link with a
+    null end must not occur; no links give no nodes.
     """
     edges = stored(
         links.where(F.col("a") != F.col("b"))
