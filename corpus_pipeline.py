@@ -3,6 +3,12 @@
 Quality classifier, line deduplication, near-duplicate removal and benchmark
 decontamination keep the columns of ``documents``; the last stage encodes what
 is left and decodes it again.
+
+Defined results: without labels no document is rejected; rows of equal id and
+text are one document to line deduplication and leave one row of their group;
+null and empty texts share a fingerprint, so one of them stays, and have no
+tokens; null ids are ordinary rows, after all others in the order of ids; extra
+columns travel on to the fourth stage; empty tables give empty results.
 """
 
 from __future__ import annotations
