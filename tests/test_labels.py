@@ -1,12 +1,13 @@
 """Label functions at their edges, and the published sample record."""
 
 import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions import labels, text, times
-from tideline.operators import moderation, people
+from tideline.operators import moderation, people, survivors
 
 
 def value(spark, column, **inputs):
@@ -137,3 +138,61 @@ def test_long_word_lists(spark):
     listed = {tuple(r) for r in moderation.moderate(df, "msg", dictionary).collect()}
     assert listed == {tuple(r) for r in moderation.moderate(df, "msg", dictionary, "id").collect()}
     assert {(r[0], r[3]) for r in listed} == {(1, "P1"), (2, ""), (3, "P0")}
+
+
+# ---- labels merged from several sources -------------------------------------
+
+def labelled(df, column):
+    return {r.uid: r[column] for r in df.collect()}
+
+
+def test_weights(spark):
+    schema = "uid long, ts_ms long, value string, unit string, source string"
+    weights = {"device": "1.0", "order": "0.8"}
+    base = spark.createDataFrame([
+        (1, 1, "65 kg", "kg", "device"), (1, 5, "70kg", "kg", "order"), (2, 1, "128.8", "斤", "order"), (3, 1, "29.9", "kg", "device"),
+        (3, 2, "200.1", "kg", "device"), (4, 1, "fat", "kg", "device"), (5, 1, "50", "kg", "toy"), (6, 1, "64.45", "kg", "order"),
+        (7, 1, "60", "斤", "order"), (8, 1, "400", "斤", "order"), (None, 1, "60", "kg", "order"), (9, 1, None, None, None),
+    ], schema)
+    later = spark.createDataFrame([
+        (1, 9, "66.0", "kg", "order"), (2, 9, "64.44", "kg", "order"), (6, 9, "61", "kg", "device"), (10, 9, "44.25", "kg", "device"),
+    ], schema)
+    got = labelled(survivors.weight_labels(survivors.weighed(base, weights), survivors.weighed(later, weights)), "weight")
+    assert {k: str(v) for k, v in got.items()} == {1: "65.0", 2: "64.4", 6: "61.0", 7: "30.0", 8: "200.0", 10: "44.3"}
+    assert str(labelled(survivors.weight_labels(survivors.weighed(base, weights), survivors.weighed(later.limit(0), weights)), "weight")[6]) == "64.5"
+
+
+def test_heights(spark):
+    records = spark.createDataFrame([
+        # Sources agree within 5: the newest.
+        (1, 1, "175", "cm", "device"), (1, 2, "180", "cm", "order"),
+        # Sources differ: the mode of the last three, not the older 170s.
+        (2, 1, "170", "cm", "device"), (2, 2, "170", "cm", "device"), (2, 3, "180", "cm", "order"), (2, 4, "171", "cm", "device"), (2, 5, "1.80", "m", "order"),
+        # Differ without a mode: the newest.
+        (3, 1, "160", "cm", "device"), (3, 2, "170", "cm", "order"), (3, 3, "180", "cm", "profile"),
+        # Special and impossible values, also as the newest record.
+        (4, 1, "168 cm", "cm", "device"), (4, 2, "666", "cm", "order"), (4, 3, "99", "cm", "order"), (4, 4, "251", "cm", "order"), (4, 5, "tall", "cm", "order"),
+        (5, 1, "888", "cm", "device"), (None, 1, "170", "cm", "device"),
+        # A tie of two: the newest.
+        (6, 1, "160", "cm", "device"), (6, 2, "170", "cm", "order"),
+        # The same time: the larger value counts as the newest.
+        (7, 1, "160", "cm", "device"), (7, 1, "164", "cm", "device"),
+    ], "uid long, ts_ms long, value string, unit string, source string")
+    assert labelled(survivors.height_labels(records), "height") == {1: 180, 2: 180, 3: 180, 4: 168, 6: 170, 7: 164}
+    assert labelled(survivors.height_labels(records, apart=3), "height")[1] == 180
+
+
+def test_genders(spark):
+    categories = spark.createDataFrame(
+        [("dress", "female", Decimal("1.0")), ("suit", "male", Decimal("1.0")), ("pan", "family", Decimal("1.0"))],
+        "category string, side string, weight decimal(4,3)")
+    rows = [(1, "buy", "dress"), (1, "view", "suit"), (2, "cart", "suit"), (3, "view", "pan"), (4, "view", "dress"), (4, "view", "suit")]
+    # 3 of 10 purchases for the family, and scores of 1.0 and 0.9; then 3 of 11.
+    rows += [(5, "buy", "pan")] * 3 + [(5, "buy", "book")] * 5 + [(5, "buy", "dress"), (5, "buy", "suit"), (5, "cart", "dress"), (5, "view", "dress")]
+    rows += [(5, "view", "suit")] * 2
+    rows += [(6, k, c) for _, k, c in rows if _ == 5] + [(6, "buy", "book")]
+    rows += [(7, "buy", "pan"), (7, "buy", "dress"), (8, "return", "dress"), (None, "buy", "dress")]
+    got = {r.uid: r for r in survivors.gender_labels(spark.createDataFrame(rows, "uid long, kind string, category string"), categories).collect()}
+    assert {k: r.gender for k, r in got.items()} == {
+        1: "female", 2: "male", 3: "unknown", 4: "unknown", 5: "family", 6: "female", 7: "female"}
+    assert (got[5].female_score, got[5].male_score) == (Decimal("1.0"), Decimal("0.9")) and got[3].family_share is None

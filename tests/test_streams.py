@@ -1,14 +1,17 @@
 """Streaming jobs fed file by file: several micro-batches give the batch result."""
 
+import datetime
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators import keyed
 from tideline.plans.tables import ORDER, as_page_log, details, page_log, table
 from tideline.session import new_folder
-from tideline.sinks.writers import BatchTable, newest_rows, print_rows
+from tideline.sinks.writers import BatchTable, WindowTable, newest_rows, print_rows
 from tideline.sources.readers import read_files
-from tideline.streaming import history, processors
+from tideline.streaming import bloom, changelog, history, processors
 from tideline.streaming.runner import Job, bounded_delay, event_time, late_rows
 
 SETS = ["os", "ch"]
@@ -92,29 +95,245 @@ def test_returning_users_across_batches(spark, pages, feed):
 
 
 def test_visitor_repair(spark, pages, feed):
-    origins = BatchTable(spark, new_folder(spark, "origins"))
-
-    def each(batch, n):
-        return history.repaired_visitors(batch, n, origins, "mid", "ts", "is_new", ["ts", "seq"])
-
     part = pages.select("seq", "mid", "ts", "is_new")
-    table, _, _ = run(spark, "t-repair", feed.select(*part.columns), each)
+    rows_in = feed.select(*part.columns, F.to_date("ts").alias("visit_date"))
+    table, batches, _ = run(spark, "t-repair", processors.visitor_repair_stream(rows_in, "mid", ["ts", "seq"], "is_new"))
     want = keyed.repair_new_visitors(part, "mid", "ts", "is_new", ["ts", "seq"])
+    assert len(batches) >= 3
     assert rows(table.read(part.schema), "seq", "is_new") == rows(want, "seq", "is_new")
 
 
 def test_profiles(spark, pages, feed):
-    totals = BatchTable(spark, new_folder(spark, "totals"))
     part = pages.select("seq", "mid", "ts", *SETS)
-
-    def each(batch, n):
-        return history.profiles(batch, n, totals, "mid", ["ts", "seq"], SETS, "ts")
-
-    table, _, _ = run(spark, "t-profile", feed.select(*part.columns), each)
+    out = processors.running_profile_stream(feed.select(*part.columns), "mid", ["ts", "seq"], SETS)
+    table, _, _ = run(spark, "t-profile", out)
     want = keyed.running_profile(part, "mid", ["ts", "seq"], SETS, "ts")
     assert rows(table.read(want.schema), "seq", "pv", *SETS) == rows(want, "seq", "pv", *SETS)
 
 
+@pytest.mark.parametrize("form", ["profile", "repair"])
+def test_a_batch_reads_and_updates_no_more_as_the_job_ages(spark, tmp_path, form):
+    """The same visitors with the same values in every batch: rows read and state entries do not grow."""
+    folder = str(tmp_path / "ageing")
+    for n in range(5):
+        spark.range(60).selectExpr(
+            f"{n} * 1000 + id AS seq", "concat('m', id % 20) AS mid", f"timestamp_seconds({n} * 100000 + id) AS ts",
+            "concat('os', id % 3) AS os", "concat('ch', id % 2) AS ch", "'1' AS is_new", f"to_date(timestamp_seconds({n} * 100000 + id)) AS visit_date",
+        ).coalesce(1).write.mode("append").parquet(folder)
+    source = read_files(spark, folder, spark.read.parquet(folder).schema, "*.parquet", max_files=1)
+    out = (processors.running_profile_stream(source, "mid", ["ts", "seq"], SETS) if form == "profile"
+           else processors.visitor_repair_stream(source, "mid", ["ts", "seq"], "is_new"))
+    _, _, query = run(spark, f"t-age-{form}", out)
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [60] * 5
+    totals = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in progress]
+    updated = [sum(op["numRowsUpdated"] for op in p["stateOperators"]) for p in progress]
+    assert len(set(totals)) == 1 and max(updated[1:]) <= updated[0]
+
+
+# ---- changelogs -----------------------------------------------------------
+
+def order_streams(spark, tmp_path, batches):
+    """Streams of lines, orders and coupons from (lines, orders, coupons) of each batch."""
+    kinds = {
+        "lines": "id string, order_id long, amount decimal(10,2), at timestamp", "orders": "order_id long, user_id long, v long",
+        "coupons": "id string, order_id long, coupon_id long, v long",
+    }
+    found = []
+    for i, (name, schema) in enumerate(kinds.items()):
+        folder = str(tmp_path / name)
+        for parts in batches:
+            spark.createDataFrame(parts[i], schema).coalesce(1).write.mode("append").parquet(folder)
+        found.append(read_files(spark, folder, spark.read.parquet(folder).schema, "*.parquet", max_files=1))
+    return found
+
+
+def day(n):
+    return datetime.datetime(2024, 1, n, 1, 2, 3, 456789)
+
+
+BATCHES = [
+    # A line before its order; an order before its lines; a coupon before its line.
+    ([("a", 1, Decimal("1.10"), day(1)), ("b", 1, Decimal("2.20"), day(2)), ("n", None, Decimal("1"), day(1))], [(2, 20, 1), (None, 9, 1)], [("c", 2, 7, 1)]),
+    # The late order, a line of the other one, and a repeated line.
+    ([("c", 2, Decimal("3.30"), None), ("a", 1, Decimal("1.10"), day(1))], [(1, 10, 5)], []),
+    # A late coupon takes rows back; an order is replaced; an older version of it does not count.
+    ([("d", 3, Decimal("4.40"), day(4))], [(2, 21, 2), (1, 11, 4)], [("a", 1, 8, 1), ("a", 1, 9, 2), (None, 1, 1, 1)]),
+]
+FULL = [
+    ("a", 1, Decimal("1.10"), day(1), 10, 9), ("a", 1, Decimal("1.10"), day(1), 10, 9), ("b", 1, Decimal("2.20"), day(2), 10, None),
+    ("c", 2, Decimal("3.30"), None, 21, 7),
+]
+
+
+def joined_changes(spark, tmp_path, name, **kw):
+    lines, orders, coupons = order_streams(spark, tmp_path, BATCHES)
+    changes = changelog.join_changes(lines, orders, {"coupon": coupons}, "order_id", "id", version="v", **kw)
+    table, _, query = run(spark, name, changes)
+    return table.read(changes.schema), changes.columns
+
+
+@pytest.mark.parametrize("hot", [[], [1, 2]])
+def test_a_changelog_folds_to_the_join(spark, tmp_path, hot):
+    found, columns = joined_changes(spark, tmp_path, f"t-changes-{len(hot)}", hot=hot, salts=3)
+    assert columns == ["row_kind", "id", "order_id", "amount", "at", "user_id", "coupon_id"]
+    by_batch = {b: [r for r in found.collect() if r.batch == b] for b in range(3)}
+    assert by_batch[0] == []
+    assert sorted((r.row_kind, r.id) for r in by_batch[1]) == [("+", "a"), ("+", "a"), ("+", "b"), ("+", "c")]
+    # Taken back: both copies of a without the coupon, and c with the replaced order.
+    assert sorted((r.id, r.user_id, r.coupon_id) for r in by_batch[2] if r.row_kind == "-" and r.coupon_id in (None, 7)) == [
+        ("a", 10, None), ("a", 10, None), ("c", 20, 7)]
+    assert sorted(map(tuple, changelog.fold(found.drop("batch")).collect()), key=str) == sorted(FULL, key=str)
+
+
+def test_combined_extras_and_a_batch_that_runs_again(spark, tmp_path):
+    """A job that fails after its batch was written repeats it from its checkpoint: the table is as if it had not."""
+    lines, orders, coupons = order_streams(spark, tmp_path, BATCHES)
+    changes = changelog.join_changes(
+        lines, orders, {"coupon": coupons.drop("v")}, "order_id", "id", {"coupon": {"coupon_id": min}}, version="v")
+    table = BatchTable(spark, new_folder(spark, "again"))
+    failed = []
+
+    def write(batch, batch_id):
+        table.write(batch, batch_id)
+        if batch_id in (1, 2) and batch_id not in failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    job = Job("t-again", new_folder(spark, "t-again-cp"), each_batch=write, interval=None)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost after the write"):
+            job.run(changes, 240)
+    job.run(changes, 240)
+    assert failed == [1, 2]
+    want = [(*r[:-1], 8 if r[0] == "a" else r[-1]) for r in FULL]
+    assert sorted(map(tuple, changelog.fold(table.read(changes.schema).drop("batch")).collect()), key=str) == sorted(want, key=str)
+
+
+def test_timed_retraction(spark, tmp_path):
+    """A version within the limit is taken back, one beyond it is not; a timer forgets it once the watermark has passed."""
+    folder = str(tmp_path / "versions")
+    for part in ([("a", 1_000, 1), ("b", 1_000, 2)], [("a", 11_000, 3), ("b", 11_001, 4), ("c", 30_000, 5)], [("c", 30_500, 6), ("c", 60_000, 7)]):
+        spark.createDataFrame(part, "id string, ts_ms long, n long").coalesce(1).write.mode("append").parquet(folder)
+    source = read_files(spark, folder, "id string, ts_ms long, n long", "*.parquet", max_files=1)
+    out = changelog.retraction_stream(source, ["id"], ["ts_ms", "n"], ["n"], "ts_ms", 10_000)
+    table, _, query = run(spark, "t-timed", out)
+    got = sorted((r.id, r.ts_ms, r.n, r.row_kind) for r in table.read(out.schema).collect())
+    assert got == sorted([
+        ("a", 1_000, 1, "+"), ("a", 1_000, -1, "-"), ("a", 11_000, 3, "+"), ("b", 1_000, 2, "+"), ("b", 11_001, 4, "+"),
+        ("c", 30_000, 5, "+"), ("c", 30_000, -5, "-"), ("c", 30_500, 6, "+"), ("c", 60_000, 7, "+"),
+    ])
+    # The versions of a and b are forgotten; that of c, its timer and its index entries are left.
+    last = query.recentProgress[-1]["stateOperators"][0]
+    most = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert last["numRowsTotal"] < most and last["numRowsRemoved"] + sum(
+        p["stateOperators"][0]["numRowsRemoved"] for p in query.recentProgress) > 0
+
+
+def test_a_late_match_of_an_outer_join(spark, tmp_path):
+    """A partner within the delay joins; a later one is dropped, and the row has come out alone."""
+    from tideline.streaming.joins import interval_join_stream
+
+    left, right = str(tmp_path / "left"), str(tmp_path / "right")
+    schema = {left: "k long, l_ms long", right: "k long, r_ms long"}
+
+    def put(path, *rows_in):
+        spark.createDataFrame(list(rows_in), schema[path]).coalesce(1).write.mode("append").parquet(path)
+
+    def source(path, ms, out):
+        return event_time(read_files(spark, path, schema[path]), ms, out)
+
+    put(left, (1, 100_000), (2, 100_000), (3, 100_000))
+    put(right, (9, 100_000))
+    pairs = interval_join_stream(source(left, "l_ms", "lt"), source(right, "r_ms", "rt"), "k", "lt", "rt", -5_000, 5_000, how="left")
+    pairs = pairs.select("k", "l_ms", "r_ms")
+    table = BatchTable(spark, new_folder(spark, "outer"))
+    job = Job("t-outer", new_folder(spark, "t-outer-cp"), each_batch=table.write, interval=None)
+    job.run(pairs, 240)
+    # Behind the newest right row, but not by more than the delay.
+    put(right, (1, 98_000))
+    put(left, (8, 200_000))
+    job.run(pairs, 240)
+    put(right, (8, 200_000), (7, 210_000))
+    put(left, (7, 300_000))
+    job.run(pairs, 240)
+    put(right, (2, 99_000), (6, 300_000))
+    job.run(pairs, 240)
+    got = sorted((r.k, r.r_ms) for r in table.read(pairs.schema).where("k < 5").collect())
+    assert sorted(got, key=str) == [(1, 98_000), (2, None), (3, None)]
+
+
+# ---- keyed windows and the filter -----------------------------------------
+
+def test_a_window_table_rewrites_touched_parts_only(spark):
+    t = WindowTable(spark, new_folder(spark, "windows"), "stt", ["k"])
+    schema = spark.createDataFrame([], "stt string, k int, n long").schema
+
+    def write(batch, *rows_in):
+        t.upsert(spark.createDataFrame(list(rows_in), schema), batch)
+
+    def now(**kw):
+        return sorted(map(tuple, t.current(schema, **kw).collect()))
+
+    write(0, ("2024-01-05 00:00:00", 1, 1), ("2024-01-06 00:00:00", 1, 2), ("2024-02-01 00:00:00", 1, 3))
+    write(1, ("2024-01-05 00:00:00", 2, 4), ("2024-01-06 00:00:00", 1, 5))
+    want = [("2024-01-05 00:00:00", 1, 1), ("2024-01-05 00:00:00", 2, 4), ("2024-01-06 00:00:00", 1, 5), ("2024-02-01 00:00:00", 1, 3)]
+    assert now() == want
+    write(1, ("2024-01-05 00:00:00", 2, 4), ("2024-01-06 00:00:00", 1, 5))
+    assert now() == want and now(before=1)[1] == ("2024-01-06 00:00:00", 1, 2)
+    # A corrected row; February is not written again.
+    write(2, ("2024-01-06 00:00:00", 1, 6))
+    assert now() == [*want[:2], ("2024-01-06 00:00:00", 1, 6), want[3]]
+    parts = t._stored(schema).select("part", "batch").distinct().collect()
+    assert sorted((r.part, r.batch) for r in parts) == [("2024-01", 0), ("2024-01", 1), ("2024-01", 2), ("2024-02", 0)]
+
+
+def test_a_window_sink_of_a_stream_reads_back_as_the_batch(spark, pages, feed):
+    """Counts by window, each batch written twice."""
+    t = WindowTable(spark, new_folder(spark, "sink"), "stt", ["os"])
+    part = feed.select("ts", "os")
+    schema = spark.createDataFrame([], "stt string, os string, n long").schema
+
+    def counts(df):
+        return df.groupBy(F.date_format(F.date_trunc("day", "ts"), "yyyy-MM-dd HH:mm:ss").alias("stt"), "os").agg(F.count("*").alias("n"))
+
+    def each(batch, n):
+        for _ in range(2):
+            new = counts(batch).unionByName(t.touched(counts(batch), n)).groupBy("stt", "os").agg(F.sum("n").alias("n"))
+            t.upsert(new, n)
+
+    Job("t-sink", new_folder(spark, "t-sink-cp"), each_batch=each, interval=None).run(part, 240)
+    assert rows(t.current(schema), "stt", "os", "n") == rows(counts(pages), "stt", "os", "n")
+
+
+@pytest.mark.parametrize("n,p", [(20_000, 0.01), (20_000, 0.05)])
+def test_the_filter_keeps_its_rate_and_loses_nothing(spark, n, p):
+    shape = bloom.BloomShape.for_keys(n, p)
+    assert bloom.false_positives(n / shape.words, shape.hashes) <= p and shape.words * 64 < 20 * n
+    held, other = spark.range(n).selectExpr("id", "id * 7 AS t"), spark.range(n, 3 * n).selectExpr("id", "id * 7 AS t")
+    half = [held.where(f"id % 2 = {k}") for k in (0, 1)]
+    words = bloom.merge_filters(*[bloom.add_keys(h, ["id", "t"], shape) for h in half])
+    assert words.count() <= shape.words
+    assert bloom.maybe_seen(held, ["id", "t"], words, shape).where("NOT maybe").count() == 0
+    wrong = bloom.maybe_seen(other, ["id", "t"], words, shape).where("maybe").count()
+    assert wrong <= 2 * n * p * 1.15
+    assert bloom.maybe_seen(other, ["id", "t"], words.limit(0), shape).where("maybe").count() == 0
+
+
+def test_filtered_deduplication_in_batches(spark, tmp_path):
+    """A filter far too small: nearly every key may have been seen, and still no row is lost or repeated."""
+    filters, seen = (BatchTable(spark, new_folder(spark, n)) for n in ("words", "seen"))
+    shape = bloom.BloomShape(4, 3)
+    found = []
+    for n in range(3):
+        batch = spark.range(200).selectExpr(f"(id + {n} * 70) % 300 AS k", "'x' AS v").unionByName(
+            spark.createDataFrame([(1, "x"), (1, "x")], "k long, v string"))
+        for _ in range(2):
+            fresh = bloom.new_rows(batch, n, filters, seen, ["k"], shape)
+        found += [(n, r.k) for r in fresh.collect()]
+    assert sorted(k for _, k in found) == list(range(300))
+
+
 def test_retractions(spark, sf, tmp_path):
     lines = details(spark, sf).select("id", *ORDER)
     edges = lines.approxQuantile("ts_ms", [0.3, 0.6], 0.01)

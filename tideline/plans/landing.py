@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.operators import cdc, people
 from tideline.plans.feeds import FACT_CONFIG, order_changes
 from tideline.plans.tables import literal_rows, table
 from tideline.session import new_folder
-from tideline.sinks.writers import write_partitioned
-from tideline.sources.readers import read_words
+from tideline.sinks.writers import apply_table_config, write_partitioned
+from tideline.sources.readers import initial_then_changes, read_words
 
 
 def legacy_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,7 +81,60 @@ def landed_routes(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("sink_table", "op", "ts_ms", "row_key", F.col("batch").cast("bigint").alias("batch"))
 
 
+#: The snapshot of ``snapshot_then_changes`` is taken at this time.
+TAKEN_MS = 700_000
+
+
+def snapshot_then_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as they stand after a snapshot and the changes of them; a change older than the snapshot does not count."""
+    orders = table(spark, folder, "orders")
+    changes = order_changes(orders)
+    snapshot = cdc.snapshot_changes(
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "shop", "orders", F.lit(TAKEN_MS))
+    feed = initial_then_changes(snapshot, changes.select(*snapshot.columns))
+    image = cdc.row_image()
+    rows = feed.select(
+        image["o_orderkey"].alias("row_key"), "op", image["o_orderstatus"].alias("status"), "seq")
+    return cdc.current_rows(rows, ["row_key"], ["seq"]).drop("seq")
+
+
+def landed_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Sink tables created, filled, dropped and created anew by two versions of a configuration, then read back."""
+    path, database = new_folder(spark, "catalog"), f"tideline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    columns = "sink_table string, sink_columns string, op string, version int"
+    first = [("dim_part", "p_partkey,p_name", "r", 1), ("dim_supplier", "s_suppkey,s_name", "c", 1), ("dim_nation", "n_nationkey,n_name", "c", 1)]
+    # One stays, one gets another column and starts empty, one goes and one comes.
+    second = [
+        ("dim_part", "p_partkey,p_name", "c", 2), ("dim_supplier", "s_suppkey,s_name,s_nationkey", "u", 2), ("dim_nation", "", "d", 2),
+        ("dim_region", "r_regionkey,r_name", "c", 2)]
+    sources = {"dim_part": "part", "dim_supplier": "supplier", "dim_nation": "nation", "dim_region": "region"}
+
+    def fill(name: str, keep: Column) -> None:
+        sink = spark.table(f"{database}.{name}")
+        rows = table(spark, folder, sources[name]).select(*[F.col(c).cast("string") for c in sink.columns])
+        rows.where(keep).write.insertInto(f"{database}.{name}")
+
+    odd = lambda c: F.pmod(F.col(c).cast("long"), F.lit(2)) == 1
+    apply_table_config(literal_rows(spark, first, columns), database, path, ["version"])
+    for name, key in (("dim_part", "p_partkey"), ("dim_supplier", "s_suppkey"), ("dim_nation", "n_nationkey")):
+        fill(name, odd(key))
+    apply_table_config(literal_rows(spark, second, columns), database, path, ["version"])
+    for name, key in (("dim_part", "p_partkey"), ("dim_supplier", "s_suppkey")):
+        fill(name, ~odd(key))
+    fill("dim_region", F.lit(True))
+    left = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").collect()]
+    found = None
+    for name in sorted(left):
+        rows = spark.table(f"{database}.{name}")
+        cells = rows.select(F.lit(name).alias("sink_table"), F.concat_ws("|", *rows.columns).alias("row"))
+        found = cells if found is None else found.unionByName(cells)
+    return found
+
+
 QUERIES = {
+    "snapshot_then_changes": snapshot_then_changes,
+    "landed_catalog": landed_catalog,
     "legacy_changes": legacy_changes,
     "comment_records": comment_records,
     "landed_words": landed_words,
@@ -87,6 +142,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "snapshot_then_changes": f"""SELECT CAST(o_orderkey AS VARCHAR) AS row_key,
+      CASE WHEN o_orderkey * 1000 < {TAKEN_MS} THEN 'r' WHEN o_orderstatus = 'O' THEN 'c' ELSE 'u' END AS op, o_orderstatus AS status
+    FROM orders WHERE o_orderkey * 1000 < {TAKEN_MS} OR o_orderstatus IN ('O', 'P')""",
+    "landed_catalog": """SELECT 'dim_part' AS sink_table, p_partkey || '|' || p_name AS row FROM part
+    UNION ALL SELECT 'dim_supplier', s_suppkey || '|' || s_name || '|' || s_nationkey FROM supplier WHERE s_suppkey % 2 = 0
+    UNION ALL SELECT 'dim_region', r_regionkey || '|' || r_name FROM region""",
     "legacy_changes": """SELECT CASE o_orderstatus WHEN 'O' THEN 'c' WHEN 'P' THEN 'u' ELSE 'd' END AS op,
       o_orderkey * 1000 AS ts_ms, 'orders' AS source_table, CAST(o_orderkey AS VARCHAR) AS id,
       CASE o_orderstatus WHEN 'O' THEN NULL WHEN 'P' THEN 'O' ELSE o_orderstatus END AS old_status,

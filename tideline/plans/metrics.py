@@ -120,20 +120,27 @@ def _province_sql(legacy: bool) -> str:
 
 
 def sku_order_window(spark: SparkSession, folder: str) -> DataFrame:
-    """Product amounts with a chain of dimensions: part, then supplier, nation and region."""
+    """Product amounts with a chain of six dimensions."""
     return name_products(spark, folder, windows.sku_order_window(details(spark, folder), "1 day", order=ORDER))
 
 
 def name_products(spark: SparkSession, folder: str, net: DataFrame) -> DataFrame:
-    """Follow the dimensions of a product."""
-    part = table(spark, folder, "part").select(
-        "p_partkey", "p_name", "p_brand",
-        # The sample parts name no supplier; any fixed one serves as the next step.
-        F.pmod(F.col("p_partkey"), F.lit(10)).alias("spu"),
+    """Follow the dimensions of a product: product, product group, brand, and three levels of categories.
+
+    The sample has no such groups; suppliers, brands of the parts, customers,
+    nations and regions stand for them.
+    """
+    sku = table(spark, folder, "part").select(
+        "p_partkey", "p_name", F.pmod(F.col("p_partkey"), F.lit(10)).alias("spu"),
+        F.regexp_extract("p_brand", "[0-9]+", 0).alias("tm"), F.col("p_size").cast("long").alias("category3"),
     )
+    brand = table(spark, folder, "part").select(
+        F.regexp_extract("p_brand", "[0-9]+", 0).alias("id"), F.col("p_brand").alias("tm_name")).distinct()
     named = lookup_chain(net, [
-        (part, "sku_id", "p_partkey", {"p_name": "sku_name", "p_brand": "trademark_name", "spu": "spu_id"}),
-        (table(spark, folder, "supplier"), "spu_id", "s_suppkey", {"s_name": "spu_name", "s_nationkey": "category2_id"}),
+        (sku, "sku_id", "p_partkey", {"p_name": "sku_name", "spu": "spu_id", "tm": "tm_id", "category3": "category3_id"}),
+        (table(spark, folder, "supplier"), "spu_id", "s_suppkey", {"s_name": "spu_name"}),
+        (brand, "tm_id", "id", {"tm_name": "trademark_name"}),
+        (table(spark, folder, "customer"), "category3_id", "c_custkey", {"c_name": "category3_name", "c_nationkey": "category2_id"}),
         (table(spark, folder, "nation"), "category2_id", "n_nationkey",
          {"n_name": "category2_name", "n_regionkey": "category1_id"}),
         (table(spark, folder, "region"), "category1_id", "r_regionkey", {"r_name": "category1_name"}),
@@ -153,10 +160,12 @@ net AS (
     CAST(sum(CASE WHEN nxt IS NULL THEN split_coupon_amount ELSE 0 END) AS DOUBLE) AS coupon_reduce_amount,
     CAST(sum(CASE WHEN nxt IS NULL THEN split_total_amount ELSE 0 END) AS DOUBLE) AS order_amount
   FROM ver GROUP BY w, sku_id)
-SELECT net.*, p_name AS sku_name, p_brand AS trademark_name, s_suppkey AS spu_id, s_name AS spu_name,
-  n_nationkey AS category2_id, n_name AS category2_name, r_regionkey AS category1_id, r_name AS category1_name
+SELECT net.*, p_name AS sku_name, p_partkey % 10 AS spu_id, s_name AS spu_name, regexp_extract(p_brand, '[0-9]+') AS tm_id,
+  p_brand AS trademark_name, CAST(p_size AS BIGINT) AS category3_id, c_name AS category3_name, c_nationkey AS category2_id,
+  n_name AS category2_name, n_regionkey AS category1_id, r_name AS category1_name
 FROM net LEFT JOIN part ON sku_id = p_partkey LEFT JOIN supplier ON p_partkey % 10 = s_suppkey
-  LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+  LEFT JOIN customer ON p_size = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 
 def retract_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,6 +191,13 @@ def _retract_sql(condition: str) -> str:
     UNION ALL SELECT {columns}, CAST(-split_original_amount AS DOUBLE), '-' FROM ver WHERE {condition}"""
 
 
+def processing_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Page views by the time they are processed; whatever the windows, they hold every row once."""
+    views = windows.tumble_processing_time(
+        page_log(spark, folder), "10 seconds", ["page_id"], [F.count("*").alias("n"), F.sum("during_time").alias("dur")])
+    return views.groupBy("page_id").agg(F.sum("n").alias("pv_ct"), F.sum("dur").alias("dur_sum"))
+
+
 def first_seen(spark: SparkSession, folder: str) -> DataFrame:
     lines = details(spark, folder).select("id", *ORDER)
     return as_double(keyed.first_per_key(lines, ["id"], ORDER), "split_original_amount")
@@ -231,9 +247,12 @@ QUERIES = {
     "exact_dedup": exact_dedup,
     "user_running_profile": user_running_profile,
     "last_in_window": last_in_window,
+    "processing_windows": processing_windows,
 }
 
 ORACLE = {
+    "processing_windows": f"""WITH {sql.LOG}
+    SELECT page_id, count(*) AS pv_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum FROM log GROUP BY page_id""",
     "traffic_window": _traffic_sql(10),
     "traffic_window_day": _traffic_sql(DAY),
     "cart_uu_window": f"""WITH {sql.LOG}, f AS (

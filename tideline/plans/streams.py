@@ -27,7 +27,7 @@ from tideline.sources.readers import read_files
 from tideline.streaming import changelog, history, processors
 from tideline.streaming.bloom import BloomShape, new_rows
 from tideline.streaming.joins import interval_join_stream
-from tideline.streaming.runner import BatchWriter, Job, bounded_delay, monotonous
+from tideline.streaming.runner import BatchWriter, Job, bounded_delay, late_rows, monotonous
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -457,6 +457,23 @@ def stream_bloom_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, feed, "stream-bloom-dedup", rows, rows.schema, each).drop("batch")
 
 
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that arrive behind the watermark are dropped and counted; a third of the events arrives late.
+
+    The watermark is the newest time of the slices before, so of the rows of a
+    slice those behind it are late.
+    """
+    feed = Feed(spark, folder, "events", deal=F.pmod(F.col("event_id"), F.lit(SLICES)))
+    rows = monotonous(as_page_log(feed.stream).select("seq", "ts"), "ts").dropDuplicates(["seq", "ts"])
+    found = BatchTable(spark, new_folder(spark, "stream-late"))
+    job = _job(spark, "stream-late", folder, lambda batch, batch_id: found.write(batch, batch_id))
+    late = 0
+    for k in range(SLICES):
+        feed.land(k)
+        late += late_rows(job.run(rows))
+    return found.read(rows.schema).agg(F.count("*").alias("kept")).select("kept", F.lit(late).cast("long").alias("late"))
+
+
 def stream_daily_unique_ttl(spark: SparkSession, folder: str) -> DataFrame:
     """First visit of each visitor and day; the state of a visitor expires a day after the last visit.
 
@@ -576,6 +593,7 @@ QUERIES = {
     "stream_age_label": stream_age_label,
     "stream_bloom_dedup": stream_bloom_dedup,
     "stream_daily_unique_ttl": stream_daily_unique_ttl,
+    "stream_late": stream_late,
 }
 
 _PAY_SQL = f"""WITH {sql.LOG}
@@ -598,6 +616,12 @@ ORACLE = {
     "stream_age_label": profiles.ORACLE["age_label_job"],
     "stream_bloom_dedup": metrics.ORACLE["exact_dedup"],
     "stream_daily_unique_ttl": _DAILY_SQL,
+    # The watermark has milliseconds.
+    "stream_late": """WITH slice AS (SELECT event_id % 3 AS k, epoch_us(ts) AS t FROM events),
+    top AS (SELECT k, max(t) // 1000 * 1000 AS newest FROM slice GROUP BY k),
+    seen AS (SELECT a.k, max(b.newest) AS mark FROM top a LEFT JOIN top b ON b.k < a.k GROUP BY a.k)
+    SELECT count(*) FILTER (mark IS NULL OR t > mark) AS kept, count(*) FILTER (t <= mark) AS late
+    FROM slice JOIN seen USING (k)""",
     "stream_traffic": metrics.ORACLE["traffic_window"],
     "stream_daily_unique": _DAILY_SQL,
     "stream_login": metrics.ORACLE["login_window"],
