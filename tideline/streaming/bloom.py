@@ -22,6 +22,8 @@ WORDS = T.StructType([T.StructField("word", T.LongType()), T.StructField("bits",
 
 def false_positives(keys_per_word: float, hashes: int) -> float:
     """Expected rate when words hold a Poisson number of keys, each with ``hashes`` draws of 64 bits."""
+    if keys_per_word > 300:  # all bits are set
+        return 1.0
     rate, weight = 0.0, math.exp(-keys_per_word)
     for n in range(1, int(keys_per_word + 12 * math.sqrt(keys_per_word) + 20)):
         weight *= keys_per_word / n
