@@ -251,11 +251,14 @@ def test_byte_bpe_digests(spark, sf, docs):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
 
 
-def test_fold_over_arrays_gives_the_same_ids(spark):
+def test_fold_over_arrays_gives_the_same_ids(spark, docs):
+    """Distinct words of the sample, odd ones, and a longer one."""
     ranks = byte_bpe.read_ranks(RANKS)
     coder = byte_bpe.Coder(ranks, byte_bpe.word_pattern(public_tokenizers.PATTERN, ranks))
-    words = [" thanedble", "x", " Ünïcödé", "日本語", "!!!", " 12345", "reoranstble"]
+    words = {" thanedble", "x", " Ünïcödé", "日本語", "!!!", " 12345", "reoranstble", "ab" * 30}
+    words = sorted(words.union(*[coder.words.findall(d.text) for d in docs[:60]]))
     got = byte_bpe.fold_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks).collect()
+    assert len(words) > 2_000
     assert {r.word: list(r.ids) for r in got} == {w: np.frombuffer(coder.encode(w), dtype="<u4").tolist() for w in words}
 
 

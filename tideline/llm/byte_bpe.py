@@ -2,12 +2,11 @@
 
 ``fold_words`` is the fold over arrays: Spark higher-order functions merge the
 bytes of distinct words, the lowest rank first, with the rank map as a literal
-of hash buckets in the plan.  It gives the right ids, but encoding a corpus
-with it means either bringing the ids back to every place of a word by a
-shuffle of all places, or folding each text's words again; README.md has the
-figures.  ``encode`` therefore folds the same merges in the tasks, each
-distinct word once in the bounded memory of a Python worker, in one narrow pass.
-Decoding concatenates the binary pieces of the ids.
+of the plan.  Every round copies the arrays of a word, so a word of n bytes
+costs n squared, and the ids would have to come back to all places of a word by
+a shuffle; README.md has the figures.  ``encode`` therefore folds the same
+merges in the tasks, each distinct word once in the bounded memory of a Python
+worker, in one narrow pass.  Decoding concatenates the binary pieces of the ids.
 
 Defined results: null counts as empty and gives no ids; repeated rows get equal
 results; input columns named like a result give way to it.
@@ -23,6 +22,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tideline.llm.classes import Words
@@ -134,54 +134,74 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return coded.select("doc_id", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 
-#: Buckets of the literal rank map.
-BUCKETS = 1 << 16
+#: Slots of each of the two halves of the literal rank map.
+SLOTS = 1 << 16
+#: More than any rank: a pair that does not merge.
+NONE = 1 << 30
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as an array of ``BUCKETS`` arrays of (piece, rank): a constant of the plan."""
-    from zlib import crc32
+def _slots(h: int) -> tuple[int, int]:
+    return h % SLOTS, (h >> 20) % SLOTS
 
-    buckets: list[list[str]] = [[] for _ in range(BUCKETS)]
+
+def rank_map(ranks: dict[bytes, int]) -> list[list[tuple[int, int]]]:
+    """Two tables of (hash, rank): a piece is at its slot of the first or at that of the second (cuckoo hashing)."""
+    tables: list[list] = [[None] * SLOTS, [None] * SLOTS]
     for piece, rank in ranks.items():
-        buckets[crc32(piece) % BUCKETS].append(f"{piece.hex()}:{rank}")
-    text = "|".join(",".join(b) for b in buckets)
-    parsed = F.transform(F.split(F.lit(text), r"\|"), lambda b: F.when(b == "", F.array().cast("array<string>")).otherwise(
-        F.split(b, ",")))
-    return F.transform(parsed, lambda b: F.transform(b, lambda x: F.struct(
-        F.unhex(F.split_part(x, F.lit(":"), F.lit(1))).alias("piece"),
-        F.split_part(x, F.lit(":"), F.lit(2)).cast("int").alias("rank"),
-    )))
+        entry, side = (xxhash.xxh64_intdigest(piece, 42), rank), 0
+        for _ in range(10_000):
+            at = _slots(entry[0])[side]
+            entry, tables[side][at] = tables[side][at], entry
+            if entry is None:
+                break
+            side = 1 - side
+        else:
+            raise ValueError("the rank map is too full")
+    return [[(h - (h >> 63 << 64), r) for h, r in (x or (0, NONE) for x in t)] for t in tables]
 
 
-def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
-    """Distinct ``word`` strings with ``ids``, by higher-order functions only."""
-    table_name, parts = free_name(words, "_ranks"), free_name(words, "_parts")
+def rank_of(ranks: dict[bytes, int]):
+    """A function from a binary column to its rank, or ``NONE``; the map is a constant of the plan."""
+    constant = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    (k1, r1), (k2, r2) = ([constant(x) for x in zip(*t)] for t in rank_map(ranks))
 
     def rank(piece: Column) -> Column:
-        bucket = F.get(F.col(table_name), F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int"))
-        return F.get(F.filter(bucket, lambda x: x["piece"] == piece), F.lit(0))["rank"]
+        def look(h: Column) -> Column:
+            a = h.bitwiseAND(SLOTS - 1).cast("int")
+            b = F.shiftrightunsigned(h, 20).bitwiseAND(SLOTS - 1).cast("int")
+            return F.when(F.get(k1, a) == h, F.get(r1, a)).when(F.get(k2, b) == h, F.get(r2, b)).otherwise(NONE)
+
+        return F.get(F.transform(F.array(F.xxhash64(piece)), look), F.lit(0))
+
+    return rank
+
+
+def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
+    """Distinct ``word`` strings with ``ids``, by higher-order functions only: a round merges the leftmost pair of the
+    lowest rank and looks up the two pairs that this makes anew."""
+    rank = rank_of(ranks)
 
     def step(acc: Column, _: Column) -> Column:
-        pairs = F.transform(F.slice(acc, 1, F.size(acc) - 1), lambda p, i: F.concat(p, F.get(acc, i + 1)))
-        ranked = F.transform(pairs, lambda p, i: F.struct(rank(p).alias("r"), i.alias("i")))
-        best = F.array_min(F.filter(ranked, lambda x: x["r"].isNotNull()))
-        return F.when(best.isNull(), acc).otherwise(F.concat(
-            F.slice(acc, 1, best["i"]), F.array(F.get(pairs, best["i"])),
-            F.slice(acc, best["i"] + 3, F.size(acc)),
-        ))
+        parts, near = acc["parts"], acc["near"]
+        i = F.array_position(near, F.array_min(near)).cast("int")
+        merged = F.concat(F.get(parts, i - 1), F.get(parts, i))
+        before = F.when(i > 1, F.array(rank(F.concat(F.get(parts, i - 2), merged)))).otherwise(F.slice(near, 1, 0))
+        after = F.when(i + 1 < F.size(parts), F.array(rank(F.concat(merged, F.get(parts, i + 1))))).otherwise(F.slice(near, 1, 0))
+        done = F.struct(
+            F.concat(F.slice(parts, F.lit(1), i - 1), F.array(merged), F.slice(parts, i + 2, F.size(parts))).alias("parts"),
+            F.concat(F.slice(near, F.lit(1), F.greatest(i - 2, F.lit(0))), before, after, F.slice(near, i + 2, F.size(parts))).alias("near"),
+        )
+        return F.when((F.size(near) == 0) | (F.array_min(near) == NONE), acc).otherwise(done)
 
     raw = F.encode(F.col(word), "UTF-8")
     single = F.transform(F.sequence(F.lit(1), F.length(raw)), lambda i: F.substring(raw, i, F.lit(1)))
+    near = F.transform(F.slice(F.sequence(F.lit(1), F.length(raw)), F.lit(1), F.length(raw) - 1), lambda i: rank(F.substring(raw, i, F.lit(2))))
     rounds = F.slice(F.sequence(F.lit(1), F.length(raw)), F.lit(1), F.length(raw) - 1)
-    whole = rank(raw)
-    merged = F.when(whole.isNotNull(), F.array(raw)).otherwise(F.aggregate(rounds, single, step))
-    literal = words.sparkSession.range(1).select(rank_literal(ranks).alias(table_name))
-    # One row of fixed size beside each word, not a product of two tables.
-    return (
-        words.join(F.broadcast(literal), F.lit(True)).withColumn(parts, merged)
-        .withColumn("ids", F.transform(parts, rank)).drop(table_name, parts)
-    )
+    folded = F.aggregate(rounds, F.struct(single.alias("parts"), near.alias("near")), step, lambda acc: acc["parts"])
+    merged = F.when(rank(raw) < NONE, F.array(raw)).otherwise(folded)
+    parts = free_name(words, "_parts")
+    return words.withColumn(parts, F.explode(F.array(merged))).withColumn(
+        "ids", F.transform(parts, lambda p: rank(p).cast("int"))).drop(parts)
 
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
