@@ -239,6 +239,37 @@ def test_odd_texts_as_the_libraries():
         assert counter.count(text, memory) == len(words.encode(text, add_special_tokens=False).ids)
 
 
+def test_words_merged_side_by_side():
+    """Random ranks, so that a new pair may have a lower rank than the one before; lengths around the limits of a block."""
+    import random
+
+    from tideline.llm import merges
+
+    draw = random.Random(7)
+    pieces = [bytes([b]) for b in range(256)]
+    ranks = {p: i for i, p in enumerate(pieces)}
+    alphabet = [b"a", b"b", b"c", b"\xc3\xa9"]
+    longer = list({b"".join(draw.choices(alphabet, k=draw.randint(2, 6))) for _ in range(800)})
+    draw.shuffle(longer)
+    ranks |= {p: 256 + i for i, p in enumerate(longer)}
+    words = [b"".join(draw.choices(alphabet, k=draw.choice([0, 1, 2, 3, 9, 30, 64, 65, 200]))) for _ in range(3 * merges.BLOCK)]
+    words[5], words[-1] = b"a", b"zzzz"
+
+    def plain(word):
+        if word in ranks:
+            return [ranks[word]]
+        parts = [word[i:i + 1] for i in range(len(word))]
+        while True:
+            found = [(r, i) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
+            if not found:
+                return [ranks[p] for p in parts]
+            _, i = min(found)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in merges.Pairs(ranks).ids(words)]
+    assert got[::7] == [plain(w) for w in words[::7]] and got[5] == [97] and got[-1] == [122] * 4
+
+
 def test_byte_bpe_digests(spark, sf, docs):
     import tiktoken
 

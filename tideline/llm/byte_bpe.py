@@ -5,8 +5,9 @@ bytes of distinct words, the lowest rank first, with the rank map as a literal
 of the plan.  Every round copies the arrays of a word, so a word of n bytes
 costs n squared, and the ids would have to come back to all places of a word by
 a shuffle; README.md has the figures.  ``encode`` therefore folds the same
-merges in the tasks, each distinct word once in the bounded memory of a Python
-worker, in one narrow pass.  Decoding concatenates the binary pieces of the ids.
+merges in the tasks, in one narrow pass: the distinct new words of many texts
+are merged side by side as arrays, and kept in the bounded memory of a Python
+worker.  Decoding concatenates the binary pieces of the ids.
 
 Defined results: null counts as empty and gives no ids; repeated rows get equal
 results; input columns named like a result give way to it.
@@ -18,6 +19,8 @@ import base64
 import hashlib
 import pickle
 import uuid
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tideline.llm.classes import Words
 from tideline.llm.frames import bounded_batches, free_name, without
-from tideline.llm.merges import Memory, kept, merge
+from tideline.llm.merges import Memory, Pairs, kept
 from tideline.plans.tables import table
 
 
@@ -48,29 +51,48 @@ def word_pattern(pattern: str, ranks: dict[bytes, int]) -> Words:
     return Words.fitted(pattern, members)
 
 
+#: Characters of texts whose new words are merged together.
+TOGETHER = 1 << 20
+
+
 class Coder:
     """Ids of texts and texts of ids."""
 
     def __init__(self, ranks: dict[bytes, int], words: Words):
-        self.ranks, self.words = ranks, words.compiled()
-        self.pieces = {rank: piece for piece, rank in ranks.items()}
-        self.memory = Memory(self._word)
-
-    def _word(self, word: str) -> bytes:
-        raw = word.encode()
-        if raw in self.ranks:
-            parts = [raw]
-        else:
-            get = self.ranks.get
-            parts = merge([raw[i:i + 1] for i in range(len(raw))], lambda a, b: get(a + b))
-        return np.array([self.ranks[p] for p in parts], dtype="<u4").tobytes()
+        self.pairs, self.words = Pairs(ranks), words.compiled()
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.memory = Memory(lambda word: self._ids([word])[0])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        return self.pairs.ids([w.encode() for w in words])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.memory.__getitem__, self.words.findall(text)))
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        waiting, length = [], 0
+        for text in texts:
+            waiting.append(self.words.findall(text))
+            length += len(text)
+            if length >= TOGETHER:
+                yield from self._encoded(waiting)
+                waiting, length = [], 0
+        yield from self._encoded(waiting)
+
+    def _encoded(self, texts: list[list[str]]) -> Iterator[bytes]:
+        self.memory.learn(chain.from_iterable(texts), self._ids)
+        for words in texts:
+            yield b"".join(map(self.memory.__getitem__, words))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        """The pieces of the ids, concatenated: the value buffer of the pieces taken in order."""
+        values = self.pieces.take(pa.array(np.frombuffer(ids, dtype="<u4"))).buffers()[2]
+        return values.to_pybytes() if values else b""
 
 
 def _packed(spark: SparkSession, path: str, pattern: str):
@@ -95,7 +117,7 @@ def _mapped(df: DataFrame, name: str, kind: T.DataType, path: str, pattern: str,
 def encode(docs: DataFrame, path: str, pattern: str, name: str = "ids", text: str = "text") -> DataFrame:
     """The documents with the ids of ``text`` as little-endian unsigned 32-bit integers in a binary column."""
     return _mapped(docs, name, T.BinaryType(), path, pattern, lambda coder, batch: pa.array(
-        [coder.encode(t) for t in pc.fill_null(batch.column(text), "").to_pylist()], pa.binary()
+        list(coder.encode_all(pc.fill_null(batch.column(text), "").to_pylist())), pa.binary()
     ))
 
 
@@ -115,8 +137,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, name: str = "coded", go
 
     def make(coder: Coder, batch: pa.RecordBatch) -> pa.Array:
         counts, coded, decoded = [], [], []
-        for text in pc.fill_null(batch.column("text"), "").to_pylist():
-            ids = coder.encode(text)
+        for ids in coder.encode_all(pc.fill_null(batch.column("text"), "").to_pylist()):
             counts.append(len(ids) // 4)
             coded.append(hashlib.sha256(ids).hexdigest())
             decoded.append(hashlib.sha256(coder.decode(ids)).hexdigest())

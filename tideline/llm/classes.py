@@ -70,14 +70,13 @@ class Matcher:
             inner = f"[{name}--[{_set(extra)}]]" if extra else name
             exact = exact.replace(name, f"[{inner}{_set(missing)}]")
         self.exact = regex.compile(exact, regex.V1)
-        odd = {x for pair in words.gaps.values() for part in pair for x in part} | {chr(i) for i in words.lower}
-        self.odd = regex.compile(f"[{_set(odd)}]") if odd else None
+        self.odd = {x for pair in words.gaps.values() for part in pair for x in part} | {chr(i) for i in words.lower}
 
     def findall(self, text: str, lower: bool = False) -> list[str]:
         """Words of a text, lower-cased first if asked for."""
         if text.isascii():
             return self.plain.findall(text.lower() if lower else text)
-        odd = self.odd is not None and self.odd.search(text) is not None
+        odd = not self.odd.isdisjoint(text)
         if lower:
             # One character at a time, without the rule for a final sigma.
             text = text.replace("Σ", "σ")
