@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # Processors travel with the job, so workers need no copy of this package.
@@ -150,6 +150,18 @@ def returning_user_stream(df: DataFrame, key: str, order: list[str], gap_days: i
     )
 
 
+def first_rows(df: DataFrame, keys: list, order: list[str]) -> DataFrame:
+    """Earliest row of each key so far, as native aggregate state, combined ahead of the shuffle.
+
+    For update mode: each batch gives the keys it has rows of, and over several
+    batches the earliest row of a key is the result.  With a watermark on a
+    time window among the ``keys`` the state of a window ends with it.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return first.select(*[c for c in df.columns if c in keys], *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
 class VisitorRepair(StatefulProcessor):
     """Correct a claimed new-visitor flag by the first day of the visitor, which is the whole state.
 
