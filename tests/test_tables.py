@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import keyed
 from tideline.plans import streams
+from tideline.plans.registry import QUERIES
 from tideline.plans.tables import page_log
 from tideline.session import new_folder
 from tideline.sinks.writers import BatchTable
@@ -113,3 +114,15 @@ def test_visitors_in_tables_give_the_batch_result(spark, sf, form):
         want, columns = keyed.returning_users(pages, ["mid"], "ts", order, 2), ["seq", "uu_ct", "back_ct"]
     got = in_batches(spark, parts, f"visitors-{form}", step)
     assert sorted((tuple(r[c] for c in columns) for r in got), key=str) == rows(want, *columns)
+
+
+@pytest.mark.parametrize("name", ["comment_fact", "comment_named", "refund_fact", "cdc_route_dim"])
+def test_rows_are_not_shuffled_by_a_key_with_few_values(spark, sf, name):
+    """The small dictionary goes to the rows: its key, of a few values, deals no rows to tasks."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    few = ("appraise", "dic_code", "_row_key", "row_key", "refund_type", "refund_reason_type")
+    assert not [line for line in dealt if any(f"hashpartitioning({c}#" in line for c in few)]
+    # Configurations may be grouped by their own key; the rows are joined to them where they are.
+    assert "SortMergeJoin [source_table" not in plan and "SortMergeJoin [appraise" not in plan
+    assert "BroadcastHashJoin" in plan
