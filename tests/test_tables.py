@@ -126,3 +126,18 @@ def test_rows_are_not_shuffled_by_a_key_with_few_values(spark, sf, name):
     # Configurations may be grouped by their own key; the rows are joined to them where they are.
     assert "SortMergeJoin [source_table" not in plan and "SortMergeJoin [appraise" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    """A task's share stays the same: the number of partitions follows the files, and a larger setting stays."""
+    from tideline.session import grow_shuffle
+
+    name, needed = "spark.sql.shuffle.partitions", 9 * 3
+    before = spark.conf.get(name)
+    (tmp_path / "part").write_bytes(b"x" * (9 << 20))
+    try:
+        assert grow_shuffle(spark, str(tmp_path), target_mb=1) == needed == int(spark.conf.get(name))
+        spark.conf.set(name, "100")
+        assert grow_shuffle(spark, str(tmp_path), target_mb=1) == 100
+    finally:
+        spark.conf.set(name, before)
