@@ -209,3 +209,16 @@ def test_zero_window_of_replaced_rows_stays(spark):
     assert got == {"1970-01-01": (0.0, 0), "1970-01-02": (7.0, 1)}
     kept = windows.province_order_window(marked, "1 day", legacy_count=True)
     assert {r.cur_date: r.order_count for r in kept.collect()} == {"1970-01-01": 1, "1970-01-02": 1}
+
+
+def test_last_versions_with_the_places_of_all(spark):
+    """As marked versions, and of equal last versions one counts, as SQL's next row decides it."""
+    day = 86_400_000
+    lines = spark.createDataFrame(
+        [(1, 0, 0, 10), (1, day, 1, 7), (2, day, 0, 5), (3, 2 * day, 0, 4), (3, 2 * day, 0, 4)], "id long, ts_ms long, seq long, amt long"
+    ).selectExpr("*", "id AS order_id", "'p' AS province_id", "CAST(amt AS DECIMAL(16,2)) AS split_total_amount")
+    place = ["order_id", "ts_ms", "province_id"]
+    marked = keyed.last_and_places(lines, ["id"], ["ts_ms", "seq"], place, ["split_total_amount"])
+    for legacy, counts in ((False, [0, 2, 1]), (True, [1, 2, 1])):
+        out = windows.province_order_window(marked, "1 day", legacy_count=legacy).orderBy("stt").collect()
+        assert [(float(r.order_amount), r.order_count) for r in out] == list(zip([0.0, 12.0, 4.0], counts))

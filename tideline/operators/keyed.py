@@ -196,6 +196,20 @@ def mark_superseded(
     return rows.withColumn(out, replaced).drop("_next")
 
 
+def last_and_places(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], place: Sequence[str], measures: Sequence[str], out: str = "superseded",
+) -> DataFrame:
+    """For sums by ``place``: place and measures of the last version of each key, and each place of any version as a replaced row.
+
+    Replaced versions add nothing to such sums but their place, so they are not
+    joined back: both parts are aggregates, combined before the shuffle.  The
+    measures of a replaced row are null.
+    """
+    last = df.groupBy(*keys).agg(F.max_by(_pick([*place, *measures]), _pick(order)).alias("_r")).select("_r.*", F.lit(False).alias(out))
+    places = df.select(*place).distinct().withColumn(out, F.lit(True))
+    return last.unionByName(places, allowMissingColumns=True)
+
+
 def retract(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Sequence[str],
     ts_ms: str | None = None, ttl_ms: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
