@@ -67,6 +67,16 @@ def test_marking_replaced_versions_sorts_no_history(spark, sf):
     assert " Window " not in text and "partial_max" in text
 
 
+def test_provinces_are_summed_without_the_text_of_ids(spark, sf, no_broadcast):
+    text = plan(QUERIES["province_order_window"](spark, sf))
+    assert "concat_ws" not in text and "partial_max_by" in text
+
+
+def test_named_whole_numbers_are_a_set(spark, sf):
+    text = plan(QUERIES["order_detail_hot"](spark, sf))
+    assert "INSET" in text and not re.search(r"= 62\) OR|= 62 OR", text)
+
+
 def jobs_of(spark, build):
     """Number of jobs that run while ``build()`` makes a plan."""
     spark.sparkContext.setJobGroup("build", "")

@@ -10,21 +10,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: Salts over which the rows of a named key are spread.
 SALTS = 64
 
 
-def is_hot(on: Sequence[str], hot: Sequence) -> Column:
+def is_hot(on: Sequence[str], hot: Sequence, df: DataFrame | None = None) -> Column:
     """Whether the row's key is one of the named ones; ``hot`` holds values, or tuples for several columns.
 
     Compared with ``=``, as the join compares the two sides, so the sides agree
-    whatever the types of their key columns.
+    whatever the types of their key columns.  Whole numbers are looked up in a
+    set where ``df`` shows the column to hold such: many comparisons make a
+    method that the JVM does not compile.
     """
     rows = [h if isinstance(h, tuple) else (h,) for h in hot]
     if any(len(r) != len(on) for r in rows):
         raise ValueError(f"named keys need {len(on)} values: {', '.join(on)}")
+    whole = df is not None and len(on) == 1 and isinstance(df.schema[on[0]].dataType, T.IntegralType)
+    if whole and all(type(value) is int for value, in rows):
+        return F.coalesce(F.col(on[0]).isin([value for value, in rows]), F.lit(False))
     named = F.lit(False)
     for row in rows:
         same = F.lit(True)
@@ -63,10 +68,10 @@ def salted_joins(
     if not spread:
         raise ValueError("salting needs columns to spread the rows by")
     joined = many.withColumn(
-        "_salt", F.when(is_hot(on, hot), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+        "_salt", F.when(is_hot(on, hot, many), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
     )
     for one, how in sides:
-        last = F.when(is_hot(on, hot), salts - 1).otherwise(0)
+        last = F.when(is_hot(on, hot, one), salts - 1).otherwise(0)
         repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
         joined = joined.join(repeated, [*on, "_salt"], how)
     return joined.drop("_salt")
@@ -115,8 +120,8 @@ def interval_join(
     probe = left.withColumn("_slice", F.explode(F.sequence(first, last)))
     build = right.withColumn("_slice", slice_of(F.col(right_ms)))
     if hot:
-        salt = F.when(is_hot(on, hot), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
-        last_salt = F.when(is_hot(on, hot), salts - 1).otherwise(0)
+        salt = F.when(is_hot(on, hot, probe), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+        last_salt = F.when(is_hot(on, hot, build), salts - 1).otherwise(0)
         probe = probe.withColumn("_salt", salt)
         build = build.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
         pairs = probe.join(build, [*on, "_slice", "_salt"]).drop("_salt")
