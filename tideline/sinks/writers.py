@@ -51,15 +51,17 @@ class BatchTable:
     batch finds the same history.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, compression: str | None = None):
         self.spark = spark
         self.path = path
+        self.compression = compression
 
-    def write(self, df: DataFrame, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    def write(self, df: DataFrame, batch_id: int, partition_by: Sequence[str] = (), part: int | None = None) -> None:
+        """Write a batch, or its ``part``, the column of that name for readers; this replaces what it wrote before."""
         writer: DataFrameWriter = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/batch={batch_id}")
+        writer.parquet(f"{self.path}/batch={batch_id}" + ("" if part is None else f"/part={part}"), compression=self.compression)
 
     def exists(self) -> bool:
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
